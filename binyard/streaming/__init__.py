@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reports are season-scoped batch reads; the reference has no streams,
+watermarks or state, so this package holds no operators.  A caller that
+wants a report refreshed as new facts land can run it from a
+``foreachBatch`` sink or a scheduled batch job: every report is a pure
+function of its catalog and seasons.
+"""
