@@ -453,4 +453,4 @@ _add("bin_intake", lambda cat: bin_intake(cat, ALL_SEASONS),
 
 def run(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     check = CHECKS[name]
-    return rounded(check.build(TestdataCatalog(spark, sf_dir)), check.schema)
+    return rounded(check.build(TestdataCatalog.shared(spark, sf_dir)), check.schema)

@@ -21,17 +21,48 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from binyard.sources.schemas import BOUNDED, schema_of
 
 
 def conform(df: DataFrame, generation: str, name: str) -> DataFrame:
     schema = schema_of(generation, name)
-    have = set(df.columns)
+    have = {f.name: f.dataType for f in df.schema.fields}
     missing = [f.name for f in schema.fields if f.name not in have]
     if missing:
         raise ValueError(f"{generation}.{name} lacks columns {missing}")
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    if all(have[f.name] == f.dataType for f in schema.fields):
+        return df.select([f.name for f in schema.fields])
+    return df.select([F.col(f.name) if have[f.name] == f.dataType
+                      else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _sql_literal(v, dt: T.DataType) -> str:
+    if v is None:
+        return f"CAST(NULL AS {dt.simpleString()})"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dt, T.DoubleType):
+        return f"CAST('{float(v)!r}' AS DOUBLE)"
+    return f"CAST({int(v)} AS {dt.simpleString()})"
+
+
+def local_table(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A small literal table as an inline ``VALUES`` relation.
+
+    Unlike ``createDataFrame`` (an RDD scan, one Spark job per use), an inline
+    table is a local relation: broadcasting it runs no job and Catalyst can
+    fold it.  Meant for code lists of a few dozen rows.
+    """
+    names = [f.name for f in schema.fields]
+    values = ", ".join("(" + ", ".join(_sql_literal(v, f.dataType) for v, f in zip(r, schema.fields))
+                       + ")" for r in rows)
+    cols = ", ".join(f"CAST({n} AS {f.dataType.simpleString()}) AS {n}"
+                     for n, f in zip(names, schema.fields))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({', '.join(names)})")
 
 
 class Catalog:
@@ -43,7 +74,12 @@ class Catalog:
         raise NotImplementedError
 
     def table(self, generation: str, name: str) -> DataFrame:
-        return conform(self._load(generation, name), generation, name)
+        """Conformed table; built once per catalog (DataFrames are immutable plans)."""
+        cache = self.__dict__.setdefault("_conformed", {})
+        key = (generation, name)
+        if key not in cache:
+            cache[key] = conform(self._load(generation, name), generation, name)
+        return cache[key]
 
     @staticmethod
     def is_bounded(name: str) -> bool:

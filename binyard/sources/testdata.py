@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from binyard.config import CURRENT, LEGACY
-from binyard.sources.catalog import FrameCatalog
+from binyard.sources.catalog import FrameCatalog, local_table
 from binyard.sources.schemas import schema_of
 
 SPLIT_YEAR = 1999          # first order year that belongs to the current ERP
@@ -144,6 +144,9 @@ def _by_pairs(c: Column, pairs, default=None) -> Column:
     return expr if default is None else expr.otherwise(default)
 
 
+_SHARED: dict = {}
+
+
 class TestdataCatalog(FrameCatalog):
     """ERP catalog derived lazily from ``<sf_dir>/<table>.parquet``."""
 
@@ -159,7 +162,7 @@ class TestdataCatalog(FrameCatalog):
             tables[(gen, "qa_AssessmentT")] = (lambda g=gen: self._qa_AssessmentT(g))
         for (gen, name), rows in LOOKUP_ROWS.items():
             tables[(gen, name)] = (lambda g=gen, n=name, r=rows:
-                                   spark.createDataFrame(r, schema_of(g, n)))
+                                   local_table(spark, r, schema_of(g, n)))
         for name in ("ma_Grader_BatchT", "ma_Bin_DeliveryT", "ma_Pallet_DetailT",
                      "ma_Export_Bin_DetailT", "ma_Bin_UsageT", "ma_Repack_Input_CartonT",
                      "sw_ProductT"):
@@ -169,7 +172,19 @@ class TestdataCatalog(FrameCatalog):
         super().__init__(spark, tables)
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        cache = self.__dict__.setdefault("_raw", {})
+        if name not in cache:
+            cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return cache[name]
+
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "TestdataCatalog":
+        """One catalog per (session, directory), reused by every query."""
+        key = (id(spark), sf_dir.rstrip("/"))
+        cat = _SHARED.get(key)
+        if cat is None or cat.spark is not spark:
+            cat = _SHARED[key] = cls(spark, sf_dir)
+        return cat
 
     def _orders(self, generation: str) -> DataFrame:
         split = F.col("o_orderdate") >= _ntz(f"{SPLIT_YEAR}-01-01 00:00:00")
