@@ -51,23 +51,29 @@ def _t(cat: Catalog, gen: str):
     return lambda name: cat.table(gen, name)
 
 
+def _d(cat: Catalog, gen: str):
+    return lambda name: cat.dim(gen, name)
+
+
 def _header_lookups(hdr: DataFrame, cat: Catalog, gen: str) -> DataFrame:
     t = _t(cat, gen)
+    D = _d(cat, gen)
     hdr = lookup(hdr, t("sw_FarmT"), "FarmID", ["FarmCode", "FarmName"])
     hdr = lookup(hdr, t("sw_Farm_BlockT"), "BlockID", ["BlockCode", "BlockName", "SubdivisionID"])
-    hdr = lookup(hdr, t("sw_MaturityT"), "MaturityID", ["MaturityCode"], bounded=True)
+    hdr = lookup(hdr, D("sw_MaturityT"), "MaturityID", ["MaturityCode"])
     hdr = lookup(hdr, t("sw_CompanyT"), ("GrowerCompanyID", "CompanyID"), ["CompanyName"],
                  rename={"CompanyName": "owner"})
-    hdr = lookup(hdr, t("ma_ShiftT"), "ShiftID", ["ShiftCode"], bounded=True)
-    hdr = lookup(hdr, t("sw_SubdivisionT"), "SubdivisionID",
-                 ["SubdivisionCode", "SubdivisionDesc"], bounded=True)
-    return lookup(hdr, t("sw_Pick_NoT"), "PickNoID", ["PickNo"], bounded=True)
+    hdr = lookup(hdr, D("ma_ShiftT"), "ShiftID", ["ShiftCode"])
+    hdr = lookup(hdr, D("sw_SubdivisionT"), "SubdivisionID",
+                 ["SubdivisionCode", "SubdivisionDesc"])
+    return lookup(hdr, D("sw_Pick_NoT"), "PickNoID", ["PickNo"])
 
 
 def pallet_measures(cat: Catalog, seasons: Iterable[int],
                     config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
     """Per batch: sampleKgs (SQL sum) and looseKgs (R na.rm sum) - one pass."""
     t = _t(cat, CURRENT)
+    D = _d(cat, CURRENT)
     exports = (t("ma_Export_Bin_DetailT")
                .groupBy("PalletDetailID")
                .agg(F.count(F.lit(1)).alias("_n_export"),
@@ -76,8 +82,8 @@ def pallet_measures(cat: Catalog, seasons: Iterable[int],
     p = t("ma_Pallet_DetailT").select("PalletDetailID", "GraderBatchID", "ProductID",
                                       "NoOfUnits", "CreatedDateTime")
     p = lookup(p, t("sw_ProductT"), "ProductID", ["NetFruitWeight", "SampleFlag", "GradeID"])
-    p = lookup(p, t("sw_GradeT"), "GradeID", ["GradeDesc", "PoolTypeID"], bounded=True)
-    p = lookup(p, t("sys_fi_Pool_TypeT"), "PoolTypeID", ["PoolByRule"], bounded=True)
+    p = lookup(p, D("sw_GradeT"), "GradeID", ["GradeDesc", "PoolTypeID"])
+    p = lookup(p, D("sys_fi_Pool_TypeT"), "PoolTypeID", ["PoolByRule"])
     p = attach(p, exports, "PalletDetailID")
     in_season = timestamp_season_filter("CreatedDateTime", seasons, config)
     weight = F.col("NoOfUnits") * F.col("NetFruitWeight")
@@ -96,6 +102,7 @@ def pallet_measures(cat: Catalog, seasons: Iterable[int],
 
 def _current(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
     t = _t(cat, CURRENT)
+    D = _d(cat, CURRENT)
     hdr = t("ma_Grader_BatchT").filter(
         ~F.col("PresizeInputFlag")
         & season_code_filter("SeasonID", seasons, CURRENT, config)
@@ -135,6 +142,7 @@ def _current(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
 
 def _legacy(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
     t = _t(cat, LEGACY)
+    D = _d(cat, LEGACY)
     batches = t("ma_Grader_BatchT").filter(season_code_filter("SeasonID", seasons, LEGACY, config))
     hdr = lookup(batches, t("sw_FarmT"), "FarmID", ["FarmCode", "FarmName", "GrowerCompanyID"])
     hdr = lookup(hdr, t("sw_CompanyT"), ("GrowerCompanyID", "CompanyID"), ["CompanyName"],
@@ -149,10 +157,10 @@ def _legacy(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
             .agg(F.max("BinID").alias("BinID"), server_sum("BinQty").alias("BinQty")))
     bins = lookup(bins, t("ma_BinT"), "BinID", ["HarvestDate", "BlockID", "StorageTypeID", "ESPID"])
     bins = lookup(bins, t("sw_Farm_BlockT"), "BlockID", ["BlockCode", "BlockName", "SubdivisionID"])
-    bins = lookup(bins, t("sw_SubdivisionT"), "SubdivisionID",
-                  ["SubdivisionCode", "SubdivisionDesc"], bounded=True)
-    bins = lookup(bins, t("sw_Storage_TypeT"), "StorageTypeID", ["StorageTypeDesc"], bounded=True)
-    bins = lookup(bins, t("sw_ESPT"), "ESPID", ["ESPCode"], bounded=True)
+    bins = lookup(bins, D("sw_SubdivisionT"), "SubdivisionID",
+                  ["SubdivisionCode", "SubdivisionDesc"])
+    bins = lookup(bins, D("sw_Storage_TypeT"), "StorageTypeID", ["StorageTypeDesc"])
+    bins = lookup(bins, D("sw_ESPT"), "ESPID", ["ESPCode"])
 
     out = attach(hdr, bins.drop("BinID"), "GraderBatchID")
     return out.select(

@@ -33,10 +33,10 @@ _SITE = "_site_company"
 
 def _place_lookups(df: DataFrame, cat: Catalog, gen: str) -> DataFrame:
     t = lambda n: cat.table(gen, n)
+    D = lambda n: cat.dim(gen, n)
     df = lookup(df, t("sw_FarmT"), "FarmID", ["FarmCode", "FarmName", "GrowerCompanyID"])
     df = lookup(df, t("sw_Farm_BlockT"), "BlockID", ["BlockCode", "BlockName", "SubdivisionID"])
-    df = lookup(df, t("sw_SubdivisionT"), "SubdivisionID", ["SubdivisionCode", "SubdivisionDesc"],
-                bounded=True)
+    df = lookup(df, D("sw_SubdivisionT"), "SubdivisionID", ["SubdivisionCode", "SubdivisionDesc"])
     df = lookup(df, t("sw_CompanyT"), ("GrowerCompanyID", "CompanyID"), ["CompanyName"],
                 rename={"CompanyName": "owner"})
     return lookup(df, t("sw_CompanyT"), ("FirstStorageSiteCompanyID", "CompanyID"),
@@ -55,14 +55,15 @@ def current_storage_site(config_split: int = C.CURRENT_SITE_SPLIT_SEASON_ID):
 
 def _current(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
     t = lambda n: cat.table(CURRENT, n)
+    D = lambda n: cat.dim(CURRENT, n)
     bins = t("ma_Bin_DeliveryT").filter(
         ~F.col("PresizeFlag") & season_code_filter("SeasonID", seasons, CURRENT, config))
     bins = _place_lookups(bins, cat, CURRENT)
-    bins = lookup(bins, t("sw_Pick_NoT"), "PickNoID", ["PickNoDesc"], bounded=True)
-    bins = lookup(bins, t("sw_TreatmentT"), "TreatmentID", ["TreatmentDesc"], bounded=True)
-    bins = lookup(bins, t("sw_TagT"), "TagID", ["TagDesc"], bounded=True)
-    bins = lookup(bins, t("sw_Growing_TypeT"), "GrowingTypeID", ["GrowingTypeDesc"], bounded=True)
-    bins = lookup(bins, t("sw_MaturityT"), "MaturityID", ["MaturityCode"], bounded=True)
+    bins = lookup(bins, D("sw_Pick_NoT"), "PickNoID", ["PickNoDesc"])
+    bins = lookup(bins, D("sw_TreatmentT"), "TreatmentID", ["TreatmentDesc"])
+    bins = lookup(bins, D("sw_TagT"), "TagID", ["TagDesc"])
+    bins = lookup(bins, D("sw_Growing_TypeT"), "GrowingTypeID", ["GrowingTypeDesc"])
+    bins = lookup(bins, D("sw_MaturityT"), "MaturityID", ["MaturityCode"])
     return bins.select(
         "BinDeliveryID",
         F.col("BinDeliveryNo").alias("ConsignmentNumber"),
@@ -77,12 +78,13 @@ def _current(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
 
 def _legacy(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
     t = lambda n: cat.table(LEGACY, n)
+    D = lambda n: cat.dim(LEGACY, n)
     season = season_from_code("SeasonID", LEGACY, config)
     bins = t("ma_BinT").filter(
         ~F.col("PresizeFlag") & season_code_filter("SeasonID", seasons, LEGACY, config)
         & (season == F.year("HarvestDate")))
     bins = _place_lookups(bins, cat, LEGACY)
-    bins = lookup(bins, t("sw_ESPT"), "ESPID", ["ESPCode"], bounded=True)
+    bins = lookup(bins, D("sw_ESPT"), "ESPID", ["ESPCode"])
     site = map_label(_SITE, C.LEGACY_SITE_BY_NAME, F.col(_SITE), server_side=True)
     none = F.lit(None).cast("string")
     return bins.select(

@@ -107,10 +107,10 @@ def lookup_chain(cat):
                                             "GrowerCompanyID", "PickNoID")
     b = lookup(b, _cur(cat, "sw_FarmT"), "FarmID", ["FarmCode", "FarmName"])
     b = lookup(b, _cur(cat, "sw_Farm_BlockT"), "BlockID", ["BlockCode", "SubdivisionID"])
-    b = lookup(b, _cur(cat, "sw_SubdivisionT"), "SubdivisionID", ["SubdivisionDesc"], bounded=True)
+    b = lookup(b, cat.dim(CURRENT, "sw_SubdivisionT"), "SubdivisionID", ["SubdivisionDesc"])
     b = lookup(b, _cur(cat, "sw_CompanyT"), ("GrowerCompanyID", "CompanyID"), ["CompanyName"],
                rename={"CompanyName": "owner"})
-    return lookup(b, _cur(cat, "sw_Pick_NoT"), "PickNoID", ["PickNo"], bounded=True)
+    return lookup(b, cat.dim(CURRENT, "sw_Pick_NoT"), "PickNoID", ["PickNo"])
 
 
 def fact_to_header(cat):
@@ -216,7 +216,7 @@ def normalise_owner(cat):
 def half_even_round(cat):
     p = _cur(cat, "ma_Pallet_DetailT").select("GraderBatchID", "ProductID", "NoOfUnits")
     p = lookup(p, _cur(cat, "sw_ProductT"), "ProductID", ["TubeTypeID"])
-    p = lookup(p, _cur(cat, "sw_Tube_TypeT"), "TubeTypeID", ["RTEConversion"], bounded=True)
+    p = lookup(p, cat.dim(CURRENT, "sw_Tube_TypeT"), "TubeTypeID", ["RTEConversion"])
     u = F.col("NoOfUnits").cast("double") * F.col("RTEConversion")
     return (p.groupBy("GraderBatchID").agg(F.sum(u).alias("units"))
             .withColumn("roundedUnits", half_even("units", 0)))
@@ -225,7 +225,7 @@ def half_even_round(cat):
 def safe_ratio(cat):
     b = _cur(cat, "ma_Bin_DeliveryT").select("BinDeliveryID", "TotalWeight", "PresizeProductID")
     b = lookup(b, _cur(cat, "sw_ProductT"), ("PresizeProductID", "ProductID"), ["TubeTypeID"])
-    b = lookup(b, _cur(cat, "sw_Tube_TypeT"), "TubeTypeID", ["PresizeAvgTubeWeight"], bounded=True)
+    b = lookup(b, cat.dim(CURRENT, "sw_Tube_TypeT"), "TubeTypeID", ["PresizeAvgTubeWeight"])
     r = ieee_div("TotalWeight", "PresizeAvgTubeWeight")
     cls = (F.when(r.isNull(), "null").when(F.isnan(r), "nan")
            .when(r == float("inf"), "pos_inf").when(r == float("-inf"), "neg_inf")
@@ -256,7 +256,7 @@ def storage_days(cat):
 def relabel_after_group(cat):
     d = _cur(cat, "qa_Assessment_DefectT").select("AssessmentID", "DefectID", "DefectQty")
     d = lookup(d, _cur(cat, "qa_AssessmentT"), "AssessmentID", ["GraderBatchID"], how="inner")
-    d = lookup(d, _cur(cat, "qa_DefectT"), "DefectID", ["Defect"], bounded=True)
+    d = lookup(d, cat.dim(CURRENT, "qa_DefectT"), "DefectID", ["Defect"])
     g = d.groupBy("GraderBatchID", "Defect").agg(strict_sum("DefectQty").cast("bigint")
                                                  .alias("defectQty"))
     return g.withColumn("Defect", F.when(F.col("Defect").isin(list(C.RUSSET_SOURCE_LABELS)),

@@ -41,9 +41,9 @@ def _wanted_assessments(cat: Catalog, gen: str, seasons, config: ReportConfig) -
     cond = None
     for n in names:
         cond = server_equals("TemplateName", n) if cond is None else (cond | server_equals("TemplateName", n))
-    templates = cat.table(gen, "qa_TemplateT").filter(cond).select("TemplateID")
+    templates = cat.dim(gen, "qa_TemplateT").filter(cond).select("TemplateID")
     a = cat.table(gen, "qa_AssessmentT").filter(season_code_filter("SeasonID", seasons, gen, config))
-    a = a.join(F.broadcast(templates), "TemplateID", "left_semi")
+    a = a.join(templates, "TemplateID", "left_semi")
     return a.withColumn("Season", season_from_code("SeasonID", gen, config))
 
 
@@ -58,7 +58,7 @@ def defect_partials(cat: Catalog, gen: str, seasons,
     a = _wanted_assessments(cat, gen, seasons, config).select("AssessmentID", "GraderBatchID",
                                                               "Season")
     d = per_pair.join(a, "AssessmentID", "inner")
-    d = lookup(d, cat.table(gen, "qa_DefectT"), "DefectID", ["Defect"], bounded=True)
+    d = lookup(d, cat.dim(gen, "qa_DefectT"), "DefectID", ["Defect"])
     return d.select("Season", "GraderBatchID", "Defect", "_sum", "_nonnull", "_rows")
 
 

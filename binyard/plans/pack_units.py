@@ -43,16 +43,17 @@ from binyard.sources.catalog import Catalog
 
 def season_batches(cat: Catalog, seasons) -> DataFrame:
     """Batches whose season text is requested: GraderBatchID, FarmID, BlockID, SeasonDesc."""
-    season = cat.table(CURRENT, "sw_SeasonT").filter(season_text_filter("SeasonDesc", seasons))
+    season = cat.dim(CURRENT, "sw_SeasonT").filter(season_text_filter("SeasonDesc", seasons))
     return (cat.table(CURRENT, "ma_Grader_BatchT")
             .select("GraderBatchID", "SeasonID", "FarmID", "BlockID")
-            .join(F.broadcast(season), "SeasonID", "inner")
+            .join(season, "SeasonID", "inner")
             .drop("SeasonID"))
 
 
 def tube_rows(cat: Catalog, seasons) -> DataFrame:
     """(GraderBatchID, code, units) for every tube pallet row in season."""
     t = lambda n: cat.table(CURRENT, n)
+    D = lambda n: cat.dim(CURRENT, n)
     p = (t("ma_Pallet_DetailT").select("ProductID", "NoOfUnits", "GraderBatchID")
          .filter(F.col("NoOfUnits") != 0))
     p = semi(p, season_batches(cat, seasons), "GraderBatchID")
@@ -60,12 +61,12 @@ def tube_rows(cat: Catalog, seasons) -> DataFrame:
                ["TubesPerCarton", "TubeTypeID", "PresizeFlag", "SampleFlag", "CountID",
                 "DesignationID", "SizeID"])
     p = p.filter(~F.col("PresizeFlag") & ~F.col("SampleFlag"))
-    p = lookup(p, t("sw_Tube_TypeT"), "TubeTypeID",
-               ["RTEConversion", "TubeDiameterID", "FruitPerTube"], bounded=True)
-    p = lookup(p, t("sw_CountT"), "CountID", ["CountCode"], bounded=True)
-    p = lookup(p, t("sw_DesignationT"), "DesignationID", ["DesignationCode"], bounded=True)
-    p = lookup(p, t("sw_SizeT"), "SizeID", ["SizeCode"], bounded=True)
-    p = lookup(p, t("sw_Tube_DiameterT"), "TubeDiameterID", ["TubeDiameter"], bounded=True)
+    p = lookup(p, D("sw_Tube_TypeT"), "TubeTypeID",
+               ["RTEConversion", "TubeDiameterID", "FruitPerTube"])
+    p = lookup(p, D("sw_CountT"), "CountID", ["CountCode"])
+    p = lookup(p, D("sw_DesignationT"), "DesignationID", ["DesignationCode"])
+    p = lookup(p, D("sw_SizeT"), "SizeID", ["SizeCode"])
+    p = lookup(p, D("sw_Tube_DiameterT"), "TubeDiameterID", ["TubeDiameter"])
     # NULL-propagating concatenation (str_c): one NULL part -> NULL code.
     code = F.concat(F.col("DesignationCode"), F.col("CountCode"), r_number_text("TubesPerCarton"),
                     r_number_text("FruitPerTube"), r_number_text("TubeDiameter"),
@@ -83,6 +84,7 @@ def tube_split(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) ->
 
 def presize_units(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
     t = lambda n: cat.table(CURRENT, n)
+    D = lambda n: cat.dim(CURRENT, n)
     w = F.col("TotalWeight")
     bins = (t("ma_Bin_DeliveryT")
             .select("TotalWeight", "PresizeProductID", "SeasonID",
@@ -91,13 +93,12 @@ def presize_units(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG)
                     & ~((w.isNull() | F.isnan(w))
                         & (F.col("PresizeProductID") == config.presize_skip_null_weight_product_id))))
     bins = semi(bins, t("ma_Grader_BatchT"), ("PresizeOutputFromGraderBatchID", "GraderBatchID"))
-    season = t("sw_SeasonT").filter(season_text_filter("SeasonDesc", seasons))
-    bins = bins.join(F.broadcast(season.select("SeasonID")), "SeasonID", "left_semi")
+    season = D("sw_SeasonT").filter(season_text_filter("SeasonDesc", seasons))
+    bins = bins.join(season.select("SeasonID"), "SeasonID", "left_semi")
     p = lookup(bins, t("sw_ProductT"), ("PresizeProductID", "ProductID"), ["TubeTypeID", "GradeID"],
                how="inner")
-    p = lookup(p, t("sw_Tube_TypeT"), "TubeTypeID", ["PresizeAvgTubeWeight", "RTEConversion"],
-               bounded=True)
-    p = lookup(p, t("sw_GradeT"), "GradeID", ["JuiceFlag"], bounded=True)
+    p = lookup(p, D("sw_Tube_TypeT"), "TubeTypeID", ["PresizeAvgTubeWeight", "RTEConversion"])
+    p = lookup(p, D("sw_GradeT"), "GradeID", ["JuiceFlag"])
     p = p.filter(~F.col("JuiceFlag"))
     ps = ieee_div("TotalWeight", "PresizeAvgTubeWeight") * F.col("RTEConversion")
     return (p.groupBy(F.col("PresizeOutputFromGraderBatchID").alias("GraderBatchID"))
@@ -106,6 +107,7 @@ def presize_units(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG)
 
 def repack_units(cat: Catalog, seasons) -> DataFrame:
     t = lambda n: cat.table(CURRENT, n)
+    D = lambda n: cat.dim(CURRENT, n)
     cartons = (t("ma_Repack_Input_CartonT")
                .groupBy("FromPalletDetailID", "RepackID")
                .agg(F.count(F.lit(1)).alias("RepackedNoOfUnits")))
@@ -113,7 +115,7 @@ def repack_units(cat: Catalog, seasons) -> DataFrame:
                ["GraderBatchID", "ProductID"], how="inner")
     r = semi(r, season_batches(cat, seasons), "GraderBatchID")
     r = lookup(r, t("sw_ProductT"), "ProductID", ["TubesPerCarton", "TubeTypeID"])
-    r = lookup(r, t("sw_Tube_TypeT"), "TubeTypeID", ["RTEConversion"], bounded=True)
+    r = lookup(r, D("sw_Tube_TypeT"), "TubeTypeID", ["RTEConversion"])
     units = (F.col("RepackedNoOfUnits").cast("double") * F.col("TubesPerCarton")
              * F.col("RTEConversion"))
     return r.groupBy("GraderBatchID").agg(half_even(sum_or_zero(units), 0).alias("repackRTEs"))

@@ -81,11 +81,36 @@ class Catalog:
             cache[key] = conform(self._load(generation, name), generation, name)
         return cache[key]
 
+    #: Largest code list (rows) that is broadcast by hint.
+    broadcast_row_limit: int = 100_000
+
     @staticmethod
     def is_bounded(name: str) -> bool:
         """True for code lists whose size does not grow with the data."""
         return name in BOUNDED
 
+    def broadcast_ok(self, generation: str, name: str) -> bool:
+        """Size check before a broadcast hint: the table must be a declared code
+        list AND hold at most ``broadcast_row_limit`` rows.  The check is a
+        ``LIMIT n+1`` count (reads at most n+1 rows), run once per table and
+        catalog.  JDBC sources carry no statistics, so without this check a
+        code list read over JDBC would never be broadcast."""
+        if not self.is_bounded(name):
+            return False
+        verdicts = self.__dict__.setdefault("_broadcast_ok", {})
+        key = (generation, name)
+        if key not in verdicts:
+            n = self.broadcast_row_limit
+            verdicts[key] = self.table(generation, name).limit(n + 1).count() <= n
+        return verdicts[key]
+
+    def dim(self, generation: str, name: str) -> DataFrame:
+        """A lookup table, broadcast-hinted only when ``broadcast_ok``; otherwise
+        Spark decides from measured sizes (auto-broadcast threshold, AQE) and
+        falls back to a shuffle join."""
+        df = self.table(generation, name)
+        return F.broadcast(df) if self.broadcast_ok(generation, name) else df
+
 
 class ParquetCatalog(Catalog):
     def __init__(self, spark: SparkSession, root: str):

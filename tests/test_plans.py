@@ -103,3 +103,14 @@ def test_defects_preaggregated_before_the_assessment_join(cat):
     join_at = text.index("Join Inner")
     agg_at = text.index("Aggregate [AssessmentID")
     assert agg_at > join_at                         # the aggregate sits below the join
+
+
+def test_broadcast_hint_needs_a_size_check(spark):
+    small = TestdataCatalog(spark, SF_SMALL)
+    assert small.broadcast_ok("current", "sw_GradeT")            # 6 rows, declared code list
+    assert not small.broadcast_ok("current", "sw_FarmT")         # grows with data: Spark decides
+    tight = TestdataCatalog(spark, SF_SMALL)
+    tight.broadcast_row_limit = 3
+    assert not tight.broadcast_ok("current", "sw_GradeT")        # over the limit: no hint
+    hinted = tight.dim("current", "sys_fi_Pool_TypeT")._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in hinted or "broadcast" in hinted.lower()
