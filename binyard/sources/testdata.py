@@ -40,13 +40,17 @@ YEARS_SHIFT_MONTHS = 252   # dates move forward 21 years
 # Gaps are deliberate: ids the facts use but the list lacks (left joins must
 # keep the fact row with NULL attributes).
 # --------------------------------------------------------------------------
+# Tube type 13 has a NULL conversion and a zero tube weight: presize weight /
+# 0 gives +Inf (T4) and Inf x NULL gives NULL, so the division-by-zero path
+# runs while the hashed pack_units output stays finite; ``safe_ratio`` reports
+# the infinite ratios themselves as a class.
 _TUBE_TYPES = [
     (i,
      None if i == 13 else 1.0 + (i % 4) * 0.25,      # one NULL conversion
      i % 4,                                           # diameter 3 is missing
      3 + i % 3,
      "A" if i % 2 == 0 else None,
-     0.0 if i == 7 else (10 + i) / 20.0)              # one zero tube weight (T4)
+     0.0 if i == 13 else (10 + i) / 20.0)             # one zero tube weight (T4)
     for i in range(1, 26)
 ]
 
