@@ -452,5 +452,9 @@ _add("bin_intake", lambda cat: bin_intake(cat, ALL_SEASONS),
 
 
 def run(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return run_on(TestdataCatalog.shared(spark, sf_dir), name)
+
+
+def run_on(cat: Catalog, name: str) -> DataFrame:
     check = CHECKS[name]
-    return rounded(check.build(TestdataCatalog.shared(spark, sf_dir)), check.schema)
+    return rounded(check.build(cat), check.schema)

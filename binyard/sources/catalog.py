@@ -117,6 +117,8 @@ class ParquetCatalog(Catalog):
         self.spark, self.root = spark, root.rstrip("/")
 
     def _load(self, generation, name):
+        # conform() restores the declared column order and types (a partition
+        # column such as SeasonID comes back last, as discovered).
         return self.spark.read.parquet(f"{self.root}/{generation}/{name}")
 
 

@@ -1,10 +1,20 @@
-"""Sinks.  The reference returns its frame to the caller; here a report is
-a DataFrame the caller writes, partitioned by season so later reads prune."""
+"""Sinks.
+
+The reference returns its frame to the caller; here a report is a DataFrame
+the caller writes, partitioned by season so later reads prune.
+``write_catalog`` stages a whole ERP catalog as Parquet in the layout
+``ParquetCatalog`` reads, partitioning every table that carries a season code
+by ``SeasonID``: the reports' inverted season filter then prunes directories
+(``PartitionFilters``) instead of only row groups.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from binyard.sources.catalog import Catalog, ParquetCatalog
+from binyard.sources.schemas import SCHEMAS
+
 
 def write_report(df: DataFrame, path: str, mode: str = "overwrite",
                  partition_col: str | None = "Season", fmt: str = "parquet") -> None:
@@ -12,3 +22,21 @@ def write_report(df: DataFrame, path: str, mode: str = "overwrite",
     if partition_col and partition_col in df.columns:
         w = w.partitionBy(partition_col)
     w.save(path)
+
+
+def write_catalog(cat: Catalog, root: str, partition_col: str = "SeasonID",
+                  mode: str = "overwrite") -> ParquetCatalog:
+    """Write every ERP table of ``cat`` under ``root/<generation>/<table>``.
+
+    ``root`` must be shared storage on a cluster (for example a path under the
+    cluster's ``spark.checkpoint.dir``), never an executor-local folder.
+    """
+    root = root.rstrip("/")
+    for gen, tables in SCHEMAS.items():
+        for name in tables:
+            df = cat.table(gen, name)
+            w = df.write.mode(mode)
+            if partition_col in df.columns:
+                w = w.partitionBy(partition_col)
+            w.parquet(f"{root}/{gen}/{name}")
+    return ParquetCatalog(cat.spark, root)
