@@ -5,8 +5,9 @@ Current generation only.  Seasons are matched on the season lookup's text
 rather than the code map.
 
 * tube packs: pallets of requested-season batches (semi join), non-presize,
-  non-sample products with non-zero units; units = NoOfUnits x
-  TubesPerCarton x RTEConversion; split by pack-code prefix in one
+  non-sample products with non-zero units, summed per (batch, product) before
+  any shuffle; units = NoOfUnits x TubesPerCarton x RTEConversion; split by
+  pack-code prefix in one
   conditional aggregation (``operators.pack_split``) instead of the
   reference's data-dependent pivot.
 * presize: presize bin deliveries whose output batch exists (semi join),
@@ -51,11 +52,19 @@ def season_batches(cat: Catalog, seasons) -> DataFrame:
 
 
 def tube_rows(cat: Catalog, seasons) -> DataFrame:
-    """(GraderBatchID, code, units) for every tube pallet row in season."""
+    """(GraderBatchID, code, units) per batch and product in season.
+
+    Pallet units are summed per (batch, product) first - map-side, before any
+    shuffle - because the unit value is NoOfUnits times a per-product factor
+    (TubesPerCarton x RTEConversion): a batch with a third of all pallets
+    shrinks to one row per product before the join and lookups.
+    """
     t = lambda n: cat.table(CURRENT, n)
     D = lambda n: cat.dim(CURRENT, n)
     p = (t("ma_Pallet_DetailT").select("ProductID", "NoOfUnits", "GraderBatchID")
-         .filter(F.col("NoOfUnits") != 0))
+         .filter(F.col("NoOfUnits") != 0)
+         .groupBy("GraderBatchID", "ProductID")
+         .agg(F.sum(F.col("NoOfUnits").cast("double")).alias("NoOfUnits")))
     p = semi(p, season_batches(cat, seasons), "GraderBatchID")
     p = lookup(p, t("sw_ProductT"), "ProductID",
                ["TubesPerCarton", "TubeTypeID", "PresizeFlag", "SampleFlag", "CountID",
@@ -71,8 +80,7 @@ def tube_rows(cat: Catalog, seasons) -> DataFrame:
     code = F.concat(F.col("DesignationCode"), F.col("CountCode"), r_number_text("TubesPerCarton"),
                     r_number_text("FruitPerTube"), r_number_text("TubeDiameter"),
                     F.col("SizeCode"))
-    units = (F.col("NoOfUnits").cast("double") * F.col("TubesPerCarton")
-             * F.col("RTEConversion"))
+    units = F.col("NoOfUnits") * F.col("TubesPerCarton") * F.col("RTEConversion")
     return p.select("GraderBatchID", code.alias("code"), units.alias("units"))
 
 
