@@ -15,12 +15,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def schema_columns(df: DataFrame, schema: T.StructType) -> list:
+    """One projection item per declared field: the column itself when its type
+    already matches, else a cast; a typed NULL when the column is missing."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    out = []
+    for f in schema.fields:
+        if f.name not in have:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif have[f.name] == f.dataType:
+            out.append(f.name)
+        else:
+            out.append(F.col(f.name).cast(f.dataType).alias(f.name))
+    return out
+
+
 def to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    have = set(df.columns)
-    return df.select([
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
+    return df.select(schema_columns(df, schema))
 
 
 def union_all(spark: SparkSession, branches: Sequence[DataFrame],

@@ -26,7 +26,7 @@ from binyard.functions.semantics import (
     season_from_timestamp, server_sum, strict_sum, sum_or_zero, timestamp_season_filter, to_int,
 )
 from binyard.operators.joins import anti, attach, lookup, semi
-from binyard.operators.unions import to_schema, union_all
+from binyard.operators.unions import schema_columns, union_all
 from binyard.plans import oracle as O
 from binyard.plans.batch_packout import batch_packout
 from binyard.plans.bin_intake import bin_intake
@@ -56,9 +56,13 @@ class Check:
 
 
 def rounded(df: DataFrame, schema: T.StructType) -> DataFrame:
-    df = to_schema(df, schema)
-    return df.select([F.round(c, ROUND_DIGITS).alias(c) if isinstance(t, T.DoubleType) else F.col(c)
-                      for c, t in ((f.name, f.dataType) for f in schema.fields)])
+    """Conform to ``schema`` and round double columns, in one projection."""
+    cols = []
+    for f, c in zip(schema.fields, schema_columns(df, schema)):
+        if isinstance(f.dataType, T.DoubleType):
+            c = F.round(F.col(c) if isinstance(c, str) else c, ROUND_DIGITS).alias(f.name)
+        cols.append(c)
+    return df.select(cols)
 
 
 def _body(sql: str) -> tuple[str, str]:
