@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from binyard import config as C
 from binyard.config import CURRENT, LEGACY
 from binyard.sources.catalog import FrameCatalog, local_table
 from binyard.sources.schemas import schema_of
@@ -86,19 +87,14 @@ for _gen in (LEGACY, CURRENT):
     for _name, _rows in _SHARED_LOOKUP_ROWS.items():
         LOOKUP_ROWS[(_gen, _name)] = _rows
 
-# Company names: the storage-site names the reports map (fixture values),
-# then supplier names with blanks/tabs that owner normalisation must remove.
-COMPANY_NAME_BY_MOD20 = (
-    (0, "Te Ipu Packhouse (RO)"),
-    (1, "Berl Property Ltd"),
-    (2, "Rockit Packing Company Ltd"),
-    (3, "Bostock New Zealand"),
-    (4, "T & G (Apollo)"),
-    (5, "Everest Kool SolutioNZ"),
-    (6, "Crasborn Fresh Harvest "),
-    (7, "Crasborn Fresh Harvest"),
-    (8, "2019 Crasborn Fresh Harvest"),
-)
+# Company names (suppkey mod 20 -> name): every company the storage-site maps
+# name, taken from the configuration, then the blank-trimmed form of any name
+# that ends in a blank (the server ignores trailing blanks, T7); other
+# suppliers keep their name with blanks/tabs added (owner normalisation).
+_SITE_COMPANIES = [C.CURRENT_SITE_COMPANY] + [k for k, _ in C.CURRENT_SITE_BY_NAME] + \
+    [k for k, _ in C.LEGACY_SITE_BY_NAME]
+_SITE_COMPANIES += [k.rstrip(" ") for k in _SITE_COMPANIES if k != k.rstrip(" ")]
+COMPANY_NAME_BY_MOD20 = tuple(enumerate(dict.fromkeys(_SITE_COMPANIES)))
 
 GRADE_BY_PART_TYPE = (("ECONOMY", 1), ("LARGE", 2), ("MEDIUM", 3), ("PROMO", 4), ("SMALL", 5),
                       ("STANDARD", 6))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from binyard import config as C
 from binyard.config import CURRENT, LEGACY
 from binyard.sources.catalog import FrameCatalog
 from binyard.sources.schemas import SCHEMAS
@@ -23,6 +24,11 @@ def catalog(spark, tables: dict) -> FrameCatalog:
     return FrameCatalog(spark, frames)
 
 
+# the legacy site-map key that ends in a blank
+_BLANK_KEY = next(k for k, _ in C.LEGACY_SITE_BY_NAME if k.endswith(" "))
+BLANK_KEY_SITE = dict(C.LEGACY_SITE_BY_NAME)[_BLANK_KEY]
+
+
 def _shared(gen):
     return {
         (gen, "sw_FarmT"): [dict(FarmID=1, FarmCode="F1", FarmName="Farm one", GrowerCompanyID=1),
@@ -34,9 +40,9 @@ def _shared(gen):
                                         SubdivisionDesc="North")],
         (gen, "sw_CompanyT"): [dict(CompanyID=1, CompanyName="  Foo Bar\t"),
                                dict(CompanyID=2, CompanyName="Other Growers"),
-                               dict(CompanyID=7, CompanyName="Crasborn Fresh Harvest"),
+                               dict(CompanyID=7, CompanyName=_BLANK_KEY.rstrip(" ")),
                                dict(CompanyID=8, CompanyName="Unknown Co"),
-                               dict(CompanyID=9, CompanyName="Te Ipu Packhouse (RO)")],
+                               dict(CompanyID=9, CompanyName=C.CURRENT_SITE_COMPANY)],
     }
 
 

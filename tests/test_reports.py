@@ -6,6 +6,7 @@ import math
 import pytest
 
 from binyard import batch_packout, bin_intake, defect_share, pack_units
+from binyard import config as C
 from binyard.plans.schemas import BATCH_PACKOUT, BIN_INTAKE, DEFECT_SHARE, PACK_UNITS
 from tests import fixtures
 
@@ -130,9 +131,10 @@ def test_bin_intake(spark):
     assert shape(df.schema) == shape(BIN_INTAKE)
     rows = by(df.collect(), "BinDeliveryID", "Season")
     assert set(rows) == {(2, 2018), (5, 2018), (5, 2021)}   # F2 drops bin 1; 3 is presize
-    assert rows[(2, 2018)].StorageSite == "FreshMax Omahu Road"            # T7
+    assert rows[(2, 2018)].StorageSite == fixtures.BLANK_KEY_SITE            # T7
     assert rows[(5, 2018)].StorageSite == "Unknown Co"
-    assert rows[(5, 2021)].StorageSite == "Te Ipu" and rows[(5, 2021)].StorageType == "CA"
+    assert rows[(5, 2021)].StorageSite == C.CURRENT_SITE_NEW
+    assert rows[(5, 2021)].StorageType == "CA"
     assert rows[(5, 2021)].HarvestDate == dt.date(2020, 12, 20)            # current not F2-checked
     assert rows[(2, 2018)].owner == "foobar" and rows[(2, 2018)].PickNoDesc is None
     assert rows[(2, 2018)].ConsignmentNumber == 12
@@ -140,4 +142,4 @@ def test_bin_intake(spark):
 
 def test_bin_intake_storage_site_split(spark):
     rows = bin_intake(fixtures.bins(spark), [2020]).collect()
-    assert {r.StorageSite for r in rows} == {"Cooper Street"}               # SeasonID 6 <= 6
+    assert {r.StorageSite for r in rows} == {C.CURRENT_SITE_OLD}            # SeasonID 6 <= 6
