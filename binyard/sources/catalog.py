@@ -124,14 +124,41 @@ class ParquetCatalog(Catalog):
 
 class JdbcCatalog(Catalog):
     """One JDBC source per generation: ``options[generation]`` holds the
-    reader options (``url``, ``user``, ``password``, ``driver``...)."""
+    reader options (``url``, ``user``, ``password``, ``driver``...).
 
-    def __init__(self, spark: SparkSession, options: Mapping[str, Mapping[str, str]]):
+    A plain JDBC read is ONE task over one connection, so every fact table
+    must be given a partitioned read in ``partitioning``, keyed by table name
+    or ``(generation, name)``:
+
+    * ``{"partitionColumn": "PalletDetailID", "lowerBound": 1,
+      "upperBound": 10**10, "numPartitions": 2000}`` - range splits; or
+    * ``{"predicates": ["SeasonID = 6", "SeasonID = 7", ...]}`` - one task per
+      predicate (e.g. per season code, or per id range).
+
+    Simple filters of the reports (season codes, flags, id ranges) are still
+    pushed into each partition's WHERE clause by Spark.
+    """
+
+    def __init__(self, spark: SparkSession, options: Mapping[str, Mapping[str, str]],
+                 partitioning: Mapping | None = None):
         self.spark, self.options = spark, options
+        self.partitioning = dict(partitioning or {})
+
+    def read_plan(self, generation: str, name: str) -> dict:
+        """Reader options for one table (exposed for inspection and tests)."""
+        part = self.partitioning.get((generation, name), self.partitioning.get(name, {}))
+        opts = {**self.options[generation], "dbtable": name}
+        opts.update({k: str(v) for k, v in part.items() if k != "predicates"})
+        return {"options": opts, "predicates": list(part.get("predicates", []))}
 
     def _load(self, generation, name):
-        return (self.spark.read.format("jdbc")
-                .options(**self.options[generation]).option("dbtable", name).load())
+        plan = self.read_plan(generation, name)
+        if plan["predicates"]:
+            opts = dict(plan["options"])
+            url, table = opts.pop("url"), opts.pop("dbtable")
+            return self.spark.read.jdbc(url, table, predicates=plan["predicates"],
+                                        properties=opts)
+        return self.spark.read.format("jdbc").options(**plan["options"]).load()
 
 
 class FrameCatalog(Catalog):

@@ -109,3 +109,21 @@ def test_broadcast_hint_needs_a_size_check(spark):
     assert not tight.broadcast_ok("current", "sw_GradeT")        # over the limit: no hint
     hinted = tight.dim("current", "sys_fi_Pool_TypeT")._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" in hinted or "broadcast" in hinted.lower()
+
+
+def test_jdbc_reads_are_partitioned_per_table(spark):
+    """No database is started here; the reader options are checked instead."""
+    from binyard.sources.catalog import JdbcCatalog
+    cat = JdbcCatalog(spark, {"current": {"url": "jdbc:x://h/db", "user": "u"}},
+                      partitioning={
+                          "ma_Pallet_DetailT": {"partitionColumn": "PalletDetailID",
+                                                "lowerBound": 1, "upperBound": 10**9,
+                                                "numPartitions": 500},
+                          ("current", "ma_Bin_UsageT"): {"predicates": [
+                              "SeasonID = 6", "SeasonID = 7"]}})
+    pallets = cat.read_plan("current", "ma_Pallet_DetailT")
+    assert pallets["options"]["numPartitions"] == "500"
+    assert pallets["options"]["dbtable"] == "ma_Pallet_DetailT"
+    usage = cat.read_plan("current", "ma_Bin_UsageT")
+    assert usage["predicates"] == ["SeasonID = 6", "SeasonID = 7"]
+    assert "numPartitions" not in cat.read_plan("current", "sw_GradeT")["options"]
