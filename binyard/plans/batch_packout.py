@@ -43,6 +43,7 @@ from binyard.functions.semantics import (
 )
 from binyard.operators.joins import attach, lookup, semi
 from binyard.operators.unions import union_all
+from binyard.plans.dims import farm_with_owner, pallet_product, place
 from binyard.plans.schemas import BATCH_PACKOUT
 from binyard.sources.catalog import Catalog
 
@@ -59,13 +60,12 @@ def _header_lookups(hdr: DataFrame, cat: Catalog, gen: str) -> DataFrame:
     t = _t(cat, gen)
     D = _d(cat, gen)
     hdr = lookup(hdr, t("sw_FarmT"), "FarmID", ["FarmCode", "FarmName"])
-    hdr = lookup(hdr, t("sw_Farm_BlockT"), "BlockID", ["BlockCode", "BlockName", "SubdivisionID"])
+    hdr = lookup(hdr, place(cat, gen), "BlockID",
+                 ["BlockCode", "BlockName", "SubdivisionCode", "SubdivisionDesc"])
     hdr = lookup(hdr, D("sw_MaturityT"), "MaturityID", ["MaturityCode"])
     hdr = lookup(hdr, t("sw_CompanyT"), ("GrowerCompanyID", "CompanyID"), ["CompanyName"],
                  rename={"CompanyName": "owner"})
     hdr = lookup(hdr, D("ma_ShiftT"), "ShiftID", ["ShiftCode"])
-    hdr = lookup(hdr, D("sw_SubdivisionT"), "SubdivisionID",
-                 ["SubdivisionCode", "SubdivisionDesc"])
     return lookup(hdr, D("sw_Pick_NoT"), "PickNoID", ["PickNo"])
 
 
@@ -73,7 +73,6 @@ def pallet_measures(cat: Catalog, seasons: Iterable[int],
                     config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
     """Per batch: sampleKgs (SQL sum) and looseKgs (R na.rm sum) - one pass."""
     t = _t(cat, CURRENT)
-    D = _d(cat, CURRENT)
     exports = (t("ma_Export_Bin_DetailT")
                .groupBy("PalletDetailID")
                .agg(F.count(F.lit(1)).alias("_n_export"),
@@ -81,9 +80,8 @@ def pallet_measures(cat: Catalog, seasons: Iterable[int],
                                       F.col("KGWeight"))).alias("_export_kg")))
     p = t("ma_Pallet_DetailT").select("PalletDetailID", "GraderBatchID", "ProductID",
                                       "NoOfUnits", "CreatedDateTime")
-    p = lookup(p, t("sw_ProductT"), "ProductID", ["NetFruitWeight", "SampleFlag", "GradeID"])
-    p = lookup(p, D("sw_GradeT"), "GradeID", ["GradeDesc", "PoolTypeID"])
-    p = lookup(p, D("sys_fi_Pool_TypeT"), "PoolTypeID", ["PoolByRule"])
+    p = lookup(p, pallet_product(cat), "ProductID",
+               ["NetFruitWeight", "SampleFlag", "GradeDesc", "PoolByRule"])
     p = attach(p, exports, "PalletDetailID")
     in_season = timestamp_season_filter("CreatedDateTime", seasons, config)
     weight = F.col("NoOfUnits") * F.col("NetFruitWeight")
@@ -102,7 +100,6 @@ def pallet_measures(cat: Catalog, seasons: Iterable[int],
 
 def _current(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
     t = _t(cat, CURRENT)
-    D = _d(cat, CURRENT)
     hdr = t("ma_Grader_BatchT").filter(
         ~F.col("PresizeInputFlag")
         & season_code_filter("SeasonID", seasons, CURRENT, config)
@@ -144,9 +141,7 @@ def _legacy(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
     t = _t(cat, LEGACY)
     D = _d(cat, LEGACY)
     batches = t("ma_Grader_BatchT").filter(season_code_filter("SeasonID", seasons, LEGACY, config))
-    hdr = lookup(batches, t("sw_FarmT"), "FarmID", ["FarmCode", "FarmName", "GrowerCompanyID"])
-    hdr = lookup(hdr, t("sw_CompanyT"), ("GrowerCompanyID", "CompanyID"), ["CompanyName"],
-                 rename={"CompanyName": "owner"})
+    hdr = lookup(batches, farm_with_owner(cat, LEGACY), "FarmID", ["FarmCode", "FarmName", "owner"])
 
     # The reference aggregates all bin usage and keeps the header's batches by
     # the left join; restricting usage to those batches first is the same
@@ -156,9 +151,8 @@ def _legacy(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
     bins = (usage.groupBy("GraderBatchID")
             .agg(F.max("BinID").alias("BinID"), server_sum("BinQty").alias("BinQty")))
     bins = lookup(bins, t("ma_BinT"), "BinID", ["HarvestDate", "BlockID", "StorageTypeID", "ESPID"])
-    bins = lookup(bins, t("sw_Farm_BlockT"), "BlockID", ["BlockCode", "BlockName", "SubdivisionID"])
-    bins = lookup(bins, D("sw_SubdivisionT"), "SubdivisionID",
-                  ["SubdivisionCode", "SubdivisionDesc"])
+    bins = lookup(bins, place(cat, LEGACY), "BlockID",
+                  ["BlockCode", "BlockName", "SubdivisionCode", "SubdivisionDesc"])
     bins = lookup(bins, D("sw_Storage_TypeT"), "StorageTypeID", ["StorageTypeDesc"])
     bins = lookup(bins, D("sw_ESPT"), "ESPID", ["ESPCode"])
 

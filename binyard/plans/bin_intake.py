@@ -25,6 +25,7 @@ from binyard.functions.semantics import (
 )
 from binyard.operators.joins import lookup
 from binyard.operators.unions import union_all
+from binyard.plans.dims import farm_with_owner, place
 from binyard.plans.schemas import BIN_INTAKE
 from binyard.sources.catalog import Catalog
 
@@ -32,14 +33,10 @@ _SITE = "_site_company"
 
 
 def _place_lookups(df: DataFrame, cat: Catalog, gen: str) -> DataFrame:
-    t = lambda n: cat.table(gen, n)
-    D = lambda n: cat.dim(gen, n)
-    df = lookup(df, t("sw_FarmT"), "FarmID", ["FarmCode", "FarmName", "GrowerCompanyID"])
-    df = lookup(df, t("sw_Farm_BlockT"), "BlockID", ["BlockCode", "BlockName", "SubdivisionID"])
-    df = lookup(df, D("sw_SubdivisionT"), "SubdivisionID", ["SubdivisionCode", "SubdivisionDesc"])
-    df = lookup(df, t("sw_CompanyT"), ("GrowerCompanyID", "CompanyID"), ["CompanyName"],
-                rename={"CompanyName": "owner"})
-    return lookup(df, t("sw_CompanyT"), ("FirstStorageSiteCompanyID", "CompanyID"),
+    df = lookup(df, farm_with_owner(cat, gen), "FarmID", ["FarmCode", "FarmName", "owner"])
+    df = lookup(df, place(cat, gen), "BlockID",
+                ["BlockCode", "BlockName", "SubdivisionCode", "SubdivisionDesc"])
+    return lookup(df, cat.table(gen, "sw_CompanyT"), ("FirstStorageSiteCompanyID", "CompanyID"),
                   ["CompanyName"], rename={"CompanyName": _SITE})
 
 

@@ -33,11 +33,12 @@ from pyspark.sql import functions as F
 from binyard import config as C
 from binyard.config import CURRENT, DEFAULT_CONFIG, ReportConfig
 from binyard.functions.semantics import (
-    fill_zero, half_even, ieee_div, r_number_text, season_text_filter, strict_sum, sum_or_zero,
+    fill_zero, half_even, ieee_div, season_text_filter, strict_sum, sum_or_zero,
 )
 from binyard.operators.joins import attach, lookup, semi
 from binyard.operators.pack_split import pack_split
 from binyard.operators.unions import to_schema
+from binyard.plans.dims import carton_product, presize_product, tube_product
 from binyard.plans.schemas import PACK_UNITS
 from binyard.sources.catalog import Catalog
 
@@ -60,28 +61,14 @@ def tube_rows(cat: Catalog, seasons) -> DataFrame:
     shrinks to one row per product before the join and lookups.
     """
     t = lambda n: cat.table(CURRENT, n)
-    D = lambda n: cat.dim(CURRENT, n)
     p = (t("ma_Pallet_DetailT").select("ProductID", "NoOfUnits", "GraderBatchID")
          .filter(F.col("NoOfUnits") != 0)
          .groupBy("GraderBatchID", "ProductID")
          .agg(F.sum(F.col("NoOfUnits").cast("double")).alias("NoOfUnits")))
     p = semi(p, season_batches(cat, seasons), "GraderBatchID")
-    p = lookup(p, t("sw_ProductT"), "ProductID",
-               ["TubesPerCarton", "TubeTypeID", "PresizeFlag", "SampleFlag", "CountID",
-                "DesignationID", "SizeID"])
-    p = p.filter(~F.col("PresizeFlag") & ~F.col("SampleFlag"))
-    p = lookup(p, D("sw_Tube_TypeT"), "TubeTypeID",
-               ["RTEConversion", "TubeDiameterID", "FruitPerTube"])
-    p = lookup(p, D("sw_CountT"), "CountID", ["CountCode"])
-    p = lookup(p, D("sw_DesignationT"), "DesignationID", ["DesignationCode"])
-    p = lookup(p, D("sw_SizeT"), "SizeID", ["SizeCode"])
-    p = lookup(p, D("sw_Tube_DiameterT"), "TubeDiameterID", ["TubeDiameter"])
-    # NULL-propagating concatenation (str_c): one NULL part -> NULL code.
-    code = F.concat(F.col("DesignationCode"), F.col("CountCode"), r_number_text("TubesPerCarton"),
-                    r_number_text("FruitPerTube"), r_number_text("TubeDiameter"),
-                    F.col("SizeCode"))
+    p = p.join(tube_product(cat), "ProductID", "inner")
     units = F.col("NoOfUnits") * F.col("TubesPerCarton") * F.col("RTEConversion")
-    return p.select("GraderBatchID", code.alias("code"), units.alias("units"))
+    return p.select("GraderBatchID", "code", units.alias("units"))
 
 
 def tube_split(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -103,11 +90,8 @@ def presize_units(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG)
     bins = semi(bins, t("ma_Grader_BatchT"), ("PresizeOutputFromGraderBatchID", "GraderBatchID"))
     season = D("sw_SeasonT").filter(season_text_filter("SeasonDesc", seasons))
     bins = bins.join(season.select("SeasonID"), "SeasonID", "left_semi")
-    p = lookup(bins, t("sw_ProductT"), ("PresizeProductID", "ProductID"), ["TubeTypeID", "GradeID"],
-               how="inner")
-    p = lookup(p, D("sw_Tube_TypeT"), "TubeTypeID", ["PresizeAvgTubeWeight", "RTEConversion"])
-    p = lookup(p, D("sw_GradeT"), "GradeID", ["JuiceFlag"])
-    p = p.filter(~F.col("JuiceFlag"))
+    p = lookup(bins, presize_product(cat), ("PresizeProductID", "ProductID"),
+               ["PresizeAvgTubeWeight", "RTEConversion"], how="inner")
     ps = ieee_div("TotalWeight", "PresizeAvgTubeWeight") * F.col("RTEConversion")
     return (p.groupBy(F.col("PresizeOutputFromGraderBatchID").alias("GraderBatchID"))
             .agg(half_even(strict_sum(ps), 0).alias("PSgrowerRTEs")))
@@ -115,15 +99,13 @@ def presize_units(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG)
 
 def repack_units(cat: Catalog, seasons) -> DataFrame:
     t = lambda n: cat.table(CURRENT, n)
-    D = lambda n: cat.dim(CURRENT, n)
     cartons = (t("ma_Repack_Input_CartonT")
                .groupBy("FromPalletDetailID", "RepackID")
                .agg(F.count(F.lit(1)).alias("RepackedNoOfUnits")))
     r = lookup(cartons, t("ma_Pallet_DetailT"), ("FromPalletDetailID", "PalletDetailID"),
                ["GraderBatchID", "ProductID"], how="inner")
     r = semi(r, season_batches(cat, seasons), "GraderBatchID")
-    r = lookup(r, t("sw_ProductT"), "ProductID", ["TubesPerCarton", "TubeTypeID"])
-    r = lookup(r, D("sw_Tube_TypeT"), "TubeTypeID", ["RTEConversion"])
+    r = lookup(r, carton_product(cat), "ProductID", ["TubesPerCarton", "RTEConversion"])
     units = (F.col("RepackedNoOfUnits").cast("double") * F.col("TubesPerCarton")
              * F.col("RTEConversion"))
     return r.groupBy("GraderBatchID").agg(half_even(sum_or_zero(units), 0).alias("repackRTEs"))
