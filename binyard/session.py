@@ -46,3 +46,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="binyard-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, spark: SparkSession | None = None):
+    """Cut a DataFrame's lineage with a reliable checkpoint in the cluster's
+    ``spark.checkpoint.dir`` (shared storage): e.g. ``batch_packout`` built
+    once and passed to ``defect_share(..., packout=...)``.  A lost executor
+    then re-reads checkpoint files instead of recomputing the whole plan.
+    Never ``localCheckpoint`` (executor-local, lost with the executor)."""
+    spark = spark or df.sparkSession
+    ensure_checkpoint_dir(spark)
+    return df.checkpoint(eager=True)

@@ -143,3 +143,11 @@ def test_bin_intake(spark):
 def test_bin_intake_storage_site_split(spark):
     rows = bin_intake(fixtures.bins(spark), [2020]).collect()
     assert {r.StorageSite for r in rows} == {C.CURRENT_SITE_OLD}            # SeasonID 6 <= 6
+
+
+def test_defect_share_reuses_a_checkpointed_packout(house, spark):
+    from binyard.session import materialize
+    packout = materialize(batch_packout(house, [2021]), spark)
+    a = sorted(map(tuple, defect_share(house, [2021], packout=packout).collect()))
+    b = sorted(map(tuple, defect_share(house, [2021]).collect()))
+    assert a == b and len(a) == 3
