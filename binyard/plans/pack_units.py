@@ -52,6 +52,11 @@ def season_batches(cat: Catalog, seasons) -> DataFrame:
             .drop("SeasonID"))
 
 
+def season_batch_ids(cat: Catalog, seasons) -> DataFrame:
+    """Keys only, one plan shared by every semi join (Spark reuses its exchange)."""
+    return season_batches(cat, seasons).select("GraderBatchID")
+
+
 def tube_rows(cat: Catalog, seasons) -> DataFrame:
     """(GraderBatchID, code, units) per batch and product in season.
 
@@ -65,7 +70,7 @@ def tube_rows(cat: Catalog, seasons) -> DataFrame:
          .filter(F.col("NoOfUnits") != 0)
          .groupBy("GraderBatchID", "ProductID")
          .agg(F.sum(F.col("NoOfUnits").cast("double")).alias("NoOfUnits")))
-    p = semi(p, season_batches(cat, seasons), "GraderBatchID")
+    p = semi(p, season_batch_ids(cat, seasons), "GraderBatchID")
     p = p.join(tube_product(cat), "ProductID", "inner")
     units = F.col("NoOfUnits") * F.col("TubesPerCarton") * F.col("RTEConversion")
     return p.select("GraderBatchID", "code", units.alias("units"))
@@ -104,7 +109,7 @@ def repack_units(cat: Catalog, seasons) -> DataFrame:
                .agg(F.count(F.lit(1)).alias("RepackedNoOfUnits")))
     r = lookup(cartons, t("ma_Pallet_DetailT"), ("FromPalletDetailID", "PalletDetailID"),
                ["GraderBatchID", "ProductID"], how="inner")
-    r = semi(r, season_batches(cat, seasons), "GraderBatchID")
+    r = semi(r, season_batch_ids(cat, seasons), "GraderBatchID")
     r = lookup(r, carton_product(cat), "ProductID", ["TubesPerCarton", "RTEConversion"])
     units = (F.col("RepackedNoOfUnits").cast("double") * F.col("TubesPerCarton")
              * F.col("RTEConversion"))
