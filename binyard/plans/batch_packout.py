@@ -41,7 +41,7 @@ from binyard.functions.semantics import (
     days_between, fill_zero, ieee_div, map_label, norm_owner, season_code_filter,
     season_from_code, server_sum, sum_or_zero, timestamp_season_filter, to_int,
 )
-from binyard.operators.joins import attach, lookup, semi
+from binyard.operators.joins import attach, keep_keys, lookup
 from binyard.operators.unions import union_all
 from binyard.plans.dims import farm_with_owner, pallet_product, place
 from binyard.plans.schemas import BATCH_PACKOUT
@@ -144,10 +144,14 @@ def _legacy(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
     hdr = lookup(batches, farm_with_owner(cat, LEGACY), "FarmID", ["FarmCode", "FarmName", "owner"])
 
     # The reference aggregates all bin usage and keeps the header's batches by
-    # the left join; restricting usage to those batches first is the same
-    # result and aggregates only what is used.
-    usage = semi(t("ma_Bin_UsageT").filter(F.col("GraderBatchID").isNotNull()),
-                 batches, "GraderBatchID")
+    # the left join.  When the requested batch list provably fits a broadcast,
+    # usage is first filtered map-side to those batches (same result, less
+    # to aggregate); otherwise all usage is pre-aggregated map-side and the
+    # left join restricts it, so a hot batch is never shuffled as raw rows.
+    usage = t("ma_Bin_UsageT").filter(F.col("GraderBatchID").isNotNull())
+    ids = batches.select("GraderBatchID")
+    if cat.fits_broadcast(ids, ("legacy_batch_ids", tuple(sorted(seasons)))):
+        usage = keep_keys(usage, ids, "GraderBatchID", small=True)
     bins = (usage.groupBy("GraderBatchID")
             .agg(F.max("BinID").alias("BinID"), server_sum("BinQty").alias("BinQty")))
     bins = lookup(bins, t("ma_BinT"), "BinID", ["HarvestDate", "BlockID", "StorageTypeID", "ESPID"])

@@ -11,8 +11,10 @@ attributes (presize / sample / juice flags) are applied inside the
 dimension, so the fact join can be inner.
 
 The flattened tables grow with the products/blocks/farms, not with the
-facts; they are never broadcast by hint (Spark decides from their measured
-size), while the code lists inside them are (``Catalog.dim``).
+facts.  Each is broadcast only behind ``Catalog.broadcast_if_small`` (a
+row-count bound derived from the auto-broadcast threshold); beyond it the
+fact join is a shuffle join.  The code lists inside them go through
+``Catalog.dim``.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ def place(cat: Catalog, gen: str) -> DataFrame:
                                                 "SubdivisionID")
     b = lookup(b, cat.dim(gen, "sw_SubdivisionT"), "SubdivisionID",
                ["SubdivisionCode", "SubdivisionDesc"])
-    return b.drop("SubdivisionID")
+    return cat.broadcast_if_small(b.drop("SubdivisionID"), ("place", gen))
 
 
 def farm_with_owner(cat: Catalog, gen: str) -> DataFrame:
@@ -40,7 +42,7 @@ def farm_with_owner(cat: Catalog, gen: str) -> DataFrame:
     f = cat.table(gen, "sw_FarmT").select("FarmID", "FarmCode", "FarmName", "GrowerCompanyID")
     f = lookup(f, cat.table(gen, "sw_CompanyT"), ("GrowerCompanyID", "CompanyID"),
                ["CompanyName"], rename={"CompanyName": "owner"})
-    return f.drop("GrowerCompanyID")
+    return cat.broadcast_if_small(f.drop("GrowerCompanyID"), ("farm_with_owner", gen))
 
 
 def pallet_product(cat: Catalog) -> DataFrame:
@@ -49,7 +51,7 @@ def pallet_product(cat: Catalog) -> DataFrame:
                                                  "GradeID")
     p = lookup(p, cat.dim(CURRENT, "sw_GradeT"), "GradeID", ["GradeDesc", "PoolTypeID"])
     p = lookup(p, cat.dim(CURRENT, "sys_fi_Pool_TypeT"), "PoolTypeID", ["PoolByRule"])
-    return p.drop("GradeID", "PoolTypeID")
+    return cat.broadcast_if_small(p.drop("GradeID", "PoolTypeID"), "pallet_product")
 
 
 def tube_product(cat: Catalog) -> DataFrame:
@@ -71,7 +73,8 @@ def tube_product(cat: Catalog) -> DataFrame:
     code = F.concat(F.col("DesignationCode"), F.col("CountCode"), r_number_text("TubesPerCarton"),
                     r_number_text("FruitPerTube"), r_number_text("TubeDiameter"),
                     F.col("SizeCode"))
-    return p.select("ProductID", code.alias("code"), "TubesPerCarton", "RTEConversion")
+    return cat.broadcast_if_small(
+        p.select("ProductID", code.alias("code"), "TubesPerCarton", "RTEConversion"), "tube_product")
 
 
 def presize_product(cat: Catalog) -> DataFrame:
@@ -80,12 +83,13 @@ def presize_product(cat: Catalog) -> DataFrame:
     p = lookup(p, cat.dim(CURRENT, "sw_Tube_TypeT"), "TubeTypeID",
                ["PresizeAvgTubeWeight", "RTEConversion"])
     p = lookup(p, cat.dim(CURRENT, "sw_GradeT"), "GradeID", ["JuiceFlag"])
-    return p.filter(~F.col("JuiceFlag")).select("ProductID", "PresizeAvgTubeWeight",
-                                                 "RTEConversion")
+    return cat.broadcast_if_small(
+        p.filter(~F.col("JuiceFlag")).select("ProductID", "PresizeAvgTubeWeight", "RTEConversion"),
+        "presize_product")
 
 
 def carton_product(cat: Catalog) -> DataFrame:
     """ProductID -> TubesPerCarton, RTEConversion (repacked cartons)."""
     p = cat.table(CURRENT, "sw_ProductT").select("ProductID", "TubesPerCarton", "TubeTypeID")
     p = lookup(p, cat.dim(CURRENT, "sw_Tube_TypeT"), "TubeTypeID", ["RTEConversion"])
-    return p.drop("TubeTypeID")
+    return cat.broadcast_if_small(p.drop("TubeTypeID"), "carton_product")

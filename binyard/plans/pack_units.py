@@ -35,7 +35,7 @@ from binyard.config import CURRENT, DEFAULT_CONFIG, ReportConfig
 from binyard.functions.semantics import (
     fill_zero, half_even, ieee_div, season_text_filter, strict_sum, sum_or_zero,
 )
-from binyard.operators.joins import attach, lookup, semi
+from binyard.operators.joins import attach, keep_keys, lookup
 from binyard.operators.pack_split import pack_split
 from binyard.operators.unions import to_schema
 from binyard.plans.dims import carton_product, presize_product, tube_product
@@ -52,9 +52,11 @@ def season_batches(cat: Catalog, seasons) -> DataFrame:
             .drop("SeasonID"))
 
 
-def season_batch_ids(cat: Catalog, seasons) -> DataFrame:
-    """Keys only, one plan shared by every semi join (Spark reuses its exchange)."""
-    return season_batches(cat, seasons).select("GraderBatchID")
+def season_batch_ids(cat: Catalog, seasons) -> tuple[DataFrame, bool]:
+    """Batch ids of the requested seasons and whether they provably fit a
+    broadcast (see ``operators.joins.keep_keys``)."""
+    ids = season_batches(cat, seasons).select("GraderBatchID")
+    return ids, cat.fits_broadcast(ids, ("season_batch_ids", tuple(sorted(seasons))))
 
 
 def tube_rows(cat: Catalog, seasons) -> DataFrame:
@@ -70,7 +72,8 @@ def tube_rows(cat: Catalog, seasons) -> DataFrame:
          .filter(F.col("NoOfUnits") != 0)
          .groupBy("GraderBatchID", "ProductID")
          .agg(F.sum(F.col("NoOfUnits").cast("double")).alias("NoOfUnits")))
-    p = semi(p, season_batch_ids(cat, seasons), "GraderBatchID")
+    ids, small = season_batch_ids(cat, seasons)
+    p = keep_keys(p, ids, "GraderBatchID", small=small)
     p = p.join(tube_product(cat), "ProductID", "inner")
     units = F.col("NoOfUnits") * F.col("TubesPerCarton") * F.col("RTEConversion")
     return p.select("GraderBatchID", "code", units.alias("units"))
@@ -92,14 +95,19 @@ def presize_units(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG)
             .filter(F.col("PresizeFlag")
                     & ~((w.isNull() | F.isnan(w))
                         & (F.col("PresizeProductID") == config.presize_skip_null_weight_product_id))))
-    bins = semi(bins, t("ma_Grader_BatchT"), ("PresizeOutputFromGraderBatchID", "GraderBatchID"))
     season = D("sw_SeasonT").filter(season_text_filter("SeasonDesc", seasons))
     bins = bins.join(season.select("SeasonID"), "SeasonID", "left_semi")
     p = lookup(bins, presize_product(cat), ("PresizeProductID", "ProductID"),
                ["PresizeAvgTubeWeight", "RTEConversion"], how="inner")
     ps = ieee_div("TotalWeight", "PresizeAvgTubeWeight") * F.col("RTEConversion")
-    return (p.groupBy(F.col("PresizeOutputFromGraderBatchID").alias("GraderBatchID"))
-            .agg(half_even(strict_sum(ps), 0).alias("PSgrowerRTEs")))
+    per_batch = (p.groupBy(F.col("PresizeOutputFromGraderBatchID").alias("GraderBatchID"))
+                 .agg(half_even(strict_sum(ps), 0).alias("PSgrowerRTEs")))
+    # Only output batches that exist (the reference's inner join with the
+    # batch keys).  Filtering on the grouping key commutes with the
+    # aggregation, so it is applied to the per-batch rows.
+    ids = t("ma_Grader_BatchT").select("GraderBatchID")
+    return keep_keys(per_batch, ids, "GraderBatchID",
+                     small=cat.fits_broadcast(ids, "all_batch_ids"))
 
 
 def repack_units(cat: Catalog, seasons) -> DataFrame:
@@ -109,7 +117,8 @@ def repack_units(cat: Catalog, seasons) -> DataFrame:
                .agg(F.count(F.lit(1)).alias("RepackedNoOfUnits")))
     r = lookup(cartons, t("ma_Pallet_DetailT"), ("FromPalletDetailID", "PalletDetailID"),
                ["GraderBatchID", "ProductID"], how="inner")
-    r = semi(r, season_batch_ids(cat, seasons), "GraderBatchID")
+    ids, small = season_batch_ids(cat, seasons)
+    r = keep_keys(r, ids, "GraderBatchID", small=small)
     r = lookup(r, carton_product(cat), "ProductID", ["TubesPerCarton", "RTEConversion"])
     units = (F.col("RepackedNoOfUnits").cast("double") * F.col("TubesPerCarton")
              * F.col("RTEConversion"))

@@ -65,6 +65,20 @@ def local_table(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
     return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({', '.join(names)})")
 
 
+# Row width per type as Spark's size estimates count it (string: 20 bytes).
+_WIDTHS = {T.LongType: 8, T.DoubleType: 8, T.IntegerType: 4, T.DateType: 4, T.BooleanType: 1,
+           T.TimestampNTZType: 8, T.StringType: 20}
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30,
+          "gb": 1 << 30}
+
+
+def _bytes(text: str) -> int:
+    text = str(text).strip().lower()
+    digits = text.rstrip("bkmg")
+    unit = text[len(digits):] or "b"
+    return int(float(digits) * _UNITS[unit])
+
+
 class Catalog:
     """Base class: subclasses implement ``_load``."""
 
@@ -104,6 +118,28 @@ class Catalog:
             verdicts[key] = self.table(generation, name).limit(n + 1).count() <= n
         return verdicts[key]
 
+    def fits_broadcast(self, df: DataFrame, key) -> bool:
+        """Proven size bound for broadcasting a derived frame: at most
+        ``threshold / row width`` rows, where threshold is the session's
+        ``spark.sql.autoBroadcastJoinThreshold`` and the row width comes from
+        the schema.  Checked with a ``LIMIT n+1`` count once per ``key`` and
+        catalog.  Needed because without CBO Spark estimates a join's output
+        as the product of its inputs, so a flattened dimension or a filtered
+        key list would never be broadcast automatically."""
+        verdicts = self.__dict__.setdefault("_small", {})
+        if key not in verdicts:
+            threshold = _bytes(self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold",
+                                                   "10485760"))
+            width = sum(_WIDTHS.get(type(f.dataType), 20) for f in df.schema.fields) or 1
+            n = threshold // width
+            verdicts[key] = n > 0 and df.limit(n + 1).count() <= n
+        return verdicts[key]
+
+    def broadcast_if_small(self, df: DataFrame, key) -> DataFrame:
+        """``df`` with a broadcast hint if ``fits_broadcast``; else unchanged
+        (Spark then plans a shuffle join)."""
+        return F.broadcast(df) if self.fits_broadcast(df, key) else df
+
     def dim(self, generation: str, name: str) -> DataFrame:
         """A lookup table, broadcast-hinted only when ``broadcast_ok``; otherwise
         Spark decides from measured sizes (auto-broadcast threshold, AQE) and

@@ -1,5 +1,7 @@
 """Plan tests: what must reach the scan, which joins Spark must use, no Python."""
 
+import re
+
 import pytest
 
 from binyard import batch_packout, bin_intake, defect_share, pack_units
@@ -127,3 +129,26 @@ def test_jdbc_reads_are_partitioned_per_table(spark):
     usage = cat.read_plan("current", "ma_Bin_UsageT")
     assert usage["predicates"] == ["SeasonID = 6", "SeasonID = 7"]
     assert "numPartitions" not in cat.read_plan("current", "sw_GradeT")["options"]
+
+
+def test_large_key_lists_take_the_skew_safe_path(spark):
+    """With broadcasting disabled no derived frame 'fits', so key lists are
+    inner-joined after pre-aggregation (no raw-row shuffle of a hot batch) and
+    legacy usage is aggregated whole; the results must not change."""
+    from binyard.sources.testdata import TestdataCatalog
+    default = TestdataCatalog(spark, SF_SMALL)
+    want_pack = sorted(map(tuple, pack_units(default, [2020, 2021]).collect()))
+    want_legacy = sorted(map(tuple, batch_packout(default, [2017, 2018]).collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cat = TestdataCatalog(spark, SF_SMALL)
+        df = pack_units(cat, [2020, 2021])
+        assert not cat.fits_broadcast(cat.table("current", "ma_Grader_BatchT"), "probe")
+        text = optimized(df)
+        # no semi join on a batch key (only the bounded season code list remains)
+        assert not re.search(r"Join LeftSemi, \([^)]*GraderBatchID", text)
+        assert sorted(map(tuple, df.collect())) == want_pack
+        assert sorted(map(tuple, batch_packout(cat, [2017, 2018]).collect())) == want_legacy
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
