@@ -51,6 +51,17 @@ def main() -> None:
     timings = {name: round(min(r), 3) for name, r in runs.items()}
     cold = round(sum(r[0] for r in runs.values()), 3)
 
+    # Jobs and stages per report (status tracker; the web UI stays off).
+    sc, shape = spark.sparkContext, {}
+    for name in [n for n in REPORTS if n in names]:
+        group = f"shape-{name}"
+        sc.setJobGroup(group, group)
+        checks.run(spark, sf_dir, name).write.format("noop").mode("overwrite").save()
+        tracker = sc.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+        shape[name] = {"jobs": len(jobs), "stages": sum(len(j.stageIds) for j in jobs if j)}
+    sc.setJobGroup("bench", "bench")
+
     staged = None
     if os.environ.get("BENCH_STAGE") == "1":
         from binyard.sources.sinks import write_catalog
@@ -78,6 +89,7 @@ def main() -> None:
         "queries": timings,
         "reports_sec": round(sum(v for k, v in timings.items() if k in REPORTS), 3),
         "cold_total_sec": cold,
+        "report_shape": shape,
         **({"staged": staged} if staged else {}),
         "repeat": repeat,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
