@@ -55,20 +55,27 @@ def semi(df: DataFrame, other: DataFrame, on: str | tuple[str, str]) -> DataFram
     return df.join(other.select(F.col(right_key).alias(left_key)), on=left_key, how="left_semi")
 
 
-def keep_keys(df: DataFrame, keys: DataFrame, key: str, *, small: bool) -> DataFrame:
+def keep_keys(df: DataFrame, keys: DataFrame, key: str, *, small: bool,
+              exact: bool = True) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in ``keys`` (a unique-key list).
 
     ``small`` (a proven size bound, ``Catalog.fits_broadcast``): a broadcast
     left-semi join, i.e. a map-side filter that Catalyst may push below
-    aggregates.  Otherwise an inner join on the unique key, which Catalyst
-    does NOT push below a preceding aggregation: call it after pre-aggregating
-    ``df`` so only aggregated rows are shuffled and a hot key never sends its
-    raw rows to one task.
+    aggregates.  Otherwise:
+
+    * ``exact=True``: an inner join on the unique key, which Catalyst does NOT
+      push below a preceding aggregation - call it after pre-aggregating
+      ``df``, so only aggregated rows are shuffled and a hot key never sends
+      its raw rows to one task;
+    * ``exact=False``: ``df`` unchanged, for callers that later join the
+      result to the key owner anyway (which restricts it after aggregation):
+      the filter would only have saved work, and with a large key list it
+      would cost a shuffle instead.
     """
     keys = keys.select(key)
     if small:
         return df.join(F.broadcast(keys), on=key, how="left_semi")
-    return df.join(keys, on=key, how="inner")
+    return df.join(keys, on=key, how="inner") if exact else df
 
 
 def attach(df: DataFrame, measures: DataFrame, on: str | Sequence[str],

@@ -23,9 +23,11 @@ All per-batch frames are aggregated on GraderBatchID, so the joins to the
 header reuse that hash partitioning; AQE broadcasts any side that turns out
 small and splits skewed partitions of the rest.
 
-Legacy branch: header with farm and owner; bin usage restricted (semi join)
-to the header's batches, then max BinID / SQL-sum BinQty per batch, and the
-representative bin's block, storage type and maturity code.
+Legacy branch: header with farm and owner (one flattened dimension); bin
+usage filtered map-side to the header's batches when that list provably fits
+a broadcast (else aggregated whole and restricted by the left join), then max
+BinID / SQL-sum BinQty per batch, and the representative bin's block,
+storage type and maturity code.
 """
 
 from __future__ import annotations
@@ -150,8 +152,8 @@ def _legacy(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
     # left join restricts it, so a hot batch is never shuffled as raw rows.
     usage = t("ma_Bin_UsageT").filter(F.col("GraderBatchID").isNotNull())
     ids = batches.select("GraderBatchID")
-    if cat.fits_broadcast(ids, ("legacy_batch_ids", tuple(sorted(seasons)))):
-        usage = keep_keys(usage, ids, "GraderBatchID", small=True)
+    usage = keep_keys(usage, ids, "GraderBatchID", exact=False,
+                      small=cat.fits_broadcast(ids, ("legacy_batch_ids", tuple(sorted(seasons)))))
     bins = (usage.groupBy("GraderBatchID")
             .agg(F.max("BinID").alias("BinID"), server_sum("BinQty").alias("BinQty")))
     bins = lookup(bins, t("ma_BinT"), "BinID", ["HarvestDate", "BlockID", "StorageTypeID", "ESPID"])

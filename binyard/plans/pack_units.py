@@ -4,18 +4,20 @@ Current generation only.  Seasons are matched on the season lookup's text
 (``SeasonDesc``), as in the reference, so this report follows that lookup
 rather than the code map.
 
-* tube packs: pallets of requested-season batches (semi join), non-presize,
-  non-sample products with non-zero units, summed per (batch, product) before
-  any shuffle; units = NoOfUnits x TubesPerCarton x RTEConversion; split by
-  pack-code prefix in one
-  conditional aggregation (``operators.pack_split``) instead of the
+* tube packs: pallet units with non-zero units summed per (batch, product)
+  before any shuffle, restricted to the requested seasons' batches
+  (``keep_keys``), joined once to the flattened tube-product dimension
+  (non-presize, non-sample products with their pack code); units =
+  NoOfUnits x TubesPerCarton x RTEConversion; split by pack-code prefix in
+  one conditional aggregation (``operators.pack_split``) instead of the
   reference's data-dependent pivot.
-* presize: presize bin deliveries whose output batch exists (semi join),
-  product (inner), tube weight and grade; weight / tube weight x conversion,
-  strict sum per batch (a NULL poisons the batch, except the configured
-  product whose NULL weights are dropped), rounded half-to-even.
-* repack: cartons counted per (pallet, repack), joined to the pallet, units x
-  conversion, NULL-skipping sum, rounded half-to-even.
+* presize: presize bin deliveries of the requested seasons, non-juice
+  product (inner); weight / tube weight x conversion, strict sum per batch
+  (a NULL poisons the batch, except the configured product whose NULL
+  weights are dropped), rounded half-to-even; then only batches that exist.
+* repack: cartons counted per (pallet, repack), joined to the pallet,
+  restricted to the season's batches, units x conversion, NULL-skipping sum,
+  rounded half-to-even.
 
 The four tube columns stay NULL for a batch without tube rows, and so does
 the total; only the presize and repack columns are zero-filled.  The pallet
@@ -59,7 +61,7 @@ def season_batch_ids(cat: Catalog, seasons) -> tuple[DataFrame, bool]:
     return ids, cat.fits_broadcast(ids, ("season_batch_ids", tuple(sorted(seasons))))
 
 
-def tube_rows(cat: Catalog, seasons) -> DataFrame:
+def tube_rows(cat: Catalog, seasons, exact: bool = True) -> DataFrame:
     """(GraderBatchID, code, units) per batch and product in season.
 
     Pallet units are summed per (batch, product) first - map-side, before any
@@ -73,19 +75,23 @@ def tube_rows(cat: Catalog, seasons) -> DataFrame:
          .groupBy("GraderBatchID", "ProductID")
          .agg(F.sum(F.col("NoOfUnits").cast("double")).alias("NoOfUnits")))
     ids, small = season_batch_ids(cat, seasons)
-    p = keep_keys(p, ids, "GraderBatchID", small=small)
+    p = keep_keys(p, ids, "GraderBatchID", small=small, exact=exact)
     p = p.join(tube_product(cat), "ProductID", "inner")
     units = F.col("NoOfUnits") * F.col("TubesPerCarton") * F.col("RTEConversion")
     return p.select("GraderBatchID", "code", units.alias("units"))
 
 
-def tube_split(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
-    return pack_split(tube_rows(cat, seasons), "GraderBatchID", "code", "units",
+def tube_split(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG,
+               exact: bool = True) -> DataFrame:
+    """Pack split per batch of the requested seasons.  ``exact=False`` may keep
+    other batches too, for a caller that joins the result to its batch list."""
+    return pack_split(tube_rows(cat, seasons, exact), "GraderBatchID", "code", "units",
                       export_prefix=C.EXPORT_BIN_PREFIX, japan_prefix=C.JAPAN_TRAY_PREFIX,
                       tempz_prefix=C.TEMPZ_PREFIX, tempz_first_key=config.tempz_first_batch_id)
 
 
-def presize_units(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+def presize_units(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG,
+                  exact: bool = True) -> DataFrame:
     t = lambda n: cat.table(CURRENT, n)
     D = lambda n: cat.dim(CURRENT, n)
     w = F.col("TotalWeight")
@@ -104,13 +110,16 @@ def presize_units(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG)
                  .agg(half_even(strict_sum(ps), 0).alias("PSgrowerRTEs")))
     # Only output batches that exist (the reference's inner join with the
     # batch keys).  Filtering on the grouping key commutes with the
-    # aggregation, so it is applied to the per-batch rows.
+    # aggregation, so it is applied to the per-batch rows - and skipped
+    # altogether for a caller that joins the result to its batches anyway.
+    if not exact:
+        return per_batch
     ids = t("ma_Grader_BatchT").select("GraderBatchID")
     return keep_keys(per_batch, ids, "GraderBatchID",
                      small=cat.fits_broadcast(ids, "all_batch_ids"))
 
 
-def repack_units(cat: Catalog, seasons) -> DataFrame:
+def repack_units(cat: Catalog, seasons, exact: bool = True) -> DataFrame:
     t = lambda n: cat.table(CURRENT, n)
     cartons = (t("ma_Repack_Input_CartonT")
                .groupBy("FromPalletDetailID", "RepackID")
@@ -118,7 +127,7 @@ def repack_units(cat: Catalog, seasons) -> DataFrame:
     r = lookup(cartons, t("ma_Pallet_DetailT"), ("FromPalletDetailID", "PalletDetailID"),
                ["GraderBatchID", "ProductID"], how="inner")
     ids, small = season_batch_ids(cat, seasons)
-    r = keep_keys(r, ids, "GraderBatchID", small=small)
+    r = keep_keys(r, ids, "GraderBatchID", small=small, exact=exact)
     r = lookup(r, carton_product(cat), "ProductID", ["TubesPerCarton", "RTEConversion"])
     units = (F.col("RepackedNoOfUnits").cast("double") * F.col("TubesPerCarton")
              * F.col("RTEConversion"))
@@ -131,9 +140,12 @@ def pack_units(cat: Catalog, seasons: Iterable[int],
     hdr = season_batches(cat, seasons)
     hdr = lookup(hdr, cat.table(CURRENT, "sw_FarmT"), "FarmID", ["FarmName"])
     hdr = lookup(hdr, cat.table(CURRENT, "sw_Farm_BlockT"), "BlockID", ["BlockName"])
-    out = attach(hdr, tube_split(cat, seasons, config), "GraderBatchID")
-    out = attach(out, presize_units(cat, seasons, config), "GraderBatchID")
-    out = attach(out, repack_units(cat, seasons), "GraderBatchID")
+    # Every measure is left-joined to the season's batches below, which
+    # restricts it; the measures' own batch filters only save work
+    # (exact=False: skipped when the batch list is too big to broadcast).
+    out = attach(hdr, tube_split(cat, seasons, config, exact=False), "GraderBatchID")
+    out = attach(out, presize_units(cat, seasons, config, exact=False), "GraderBatchID")
+    out = attach(out, repack_units(cat, seasons, exact=False), "GraderBatchID")
     out = (out.withColumn("PSgrowerRTEs", fill_zero("PSgrowerRTEs"))
               .withColumn("repackRTEs", fill_zero("repackRTEs")))
     total = (F.col("tubePacks") + F.col("exportBins") + F.col("japanTrayPacks")

@@ -132,9 +132,10 @@ def test_jdbc_reads_are_partitioned_per_table(spark):
 
 
 def test_large_key_lists_take_the_skew_safe_path(spark):
-    """With broadcasting disabled no derived frame 'fits', so key lists are
-    inner-joined after pre-aggregation (no raw-row shuffle of a hot batch) and
-    legacy usage is aggregated whole; the results must not change."""
+    """With broadcasting disabled no derived frame 'fits': key lists are then
+    left to the report's own join to its batch list (or, standalone, inner-
+    joined after pre-aggregation), so no raw rows of a hot batch are shuffled
+    for a semi join; the results must not change."""
     from binyard.sources.testdata import TestdataCatalog
     default = TestdataCatalog(spark, SF_SMALL)
     want_pack = sorted(map(tuple, pack_units(default, [2020, 2021]).collect()))
@@ -150,5 +151,10 @@ def test_large_key_lists_take_the_skew_safe_path(spark):
         assert not re.search(r"Join LeftSemi, \([^)]*GraderBatchID", text)
         assert sorted(map(tuple, df.collect())) == want_pack
         assert sorted(map(tuple, batch_packout(cat, [2017, 2018]).collect())) == want_legacy
+        from binyard.plans.pack_units import tube_split
+        split = tube_split(cat, [2020, 2021])
+        assert re.search(r"Join Inner, \(GraderBatchID", optimized(split))   # exact standalone
+        assert sorted(map(tuple, split.collect())) == \
+            sorted(map(tuple, tube_split(default, [2020, 2021]).collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
