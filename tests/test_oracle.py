@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB oracle (the driver's gate)."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as entry
@@ -9,16 +11,20 @@ from tests.conftest import SF_ORACLE, SF_SMALL
 NAMES = sorted(entry.queries())
 
 
+SF_BENCH = "/root/testdata/sf0.1"
+SCALES = [SF_SMALL, SF_ORACLE] + ([SF_BENCH] if os.environ.get("BINYARD_SLOW") == "1" else [])
+
+
 @pytest.fixture(scope="module")
 def duck():
-    return {sf: duck_connection(sf) for sf in (SF_SMALL, SF_ORACLE)}
+    return {sf: duck_connection(sf) for sf in SCALES}
 
 
 def test_every_query_has_oracle_sql():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("sf", [SF_SMALL, SF_ORACLE])
+@pytest.mark.parametrize("sf", SCALES)
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name, sf):
     df = entry.queries()[name](spark, sf)
