@@ -151,3 +151,15 @@ def test_defect_share_reuses_a_checkpointed_packout(house, spark):
     a = sorted(map(tuple, defect_share(house, [2021], packout=packout).collect()))
     b = sorted(map(tuple, defect_share(house, [2021]).collect()))
     assert a == b and len(a) == 3
+
+
+def test_write_report_partitions_by_season(spark, tmp_path):
+    from binyard.sources.sinks import write_report
+    df = bin_intake(fixtures.bins(spark), [2018, 2021])
+    out = str(tmp_path / "bin_intake")
+    write_report(df, out)
+    assert sorted(p.name for p in tmp_path.joinpath("bin_intake").iterdir()
+                  if p.name.startswith("Season=")) == ["Season=2018", "Season=2021"]
+    back = spark.read.parquet(out)
+    assert back.count() == df.count()
+    assert back.filter("Season = 2021").count() == 1      # pruned to one directory
