@@ -158,3 +158,12 @@ def test_large_key_lists_take_the_skew_safe_path(spark):
             sorted(map(tuple, tube_split(default, [2020, 2021]).collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_no_pairwise_joins_or_python_in_any_registered_query(spark, cat):
+    import __spark_entry__ as entry
+    for name, q in entry.queries().items():
+        text = plan(q(spark, SF_SMALL))
+        for node in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython",
+                     "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+            assert node not in text, (name, node)
