@@ -101,12 +101,14 @@ def _leg(cat, n):
 
 
 def scan_prune(cat):
+    """2.1/2.2: scan of non-presize bins, only four columns, one renamed."""
     return (_cur(cat, "ma_Bin_DeliveryT").filter(~F.col("PresizeFlag"))
             .select("BinDeliveryID", F.col("BinDeliveryNo").alias("ConsignmentNumber"),
                     "HarvestDate", "NoOfBins"))
 
 
 def lookup_chain(cat):
+    """Five chained many-to-one lookups, unmatched keys kept with NULLs."""
     b = _cur(cat, "ma_Grader_BatchT").select("GraderBatchID", "FarmID", "BlockID",
                                             "GrowerCompanyID", "PickNoID")
     b = lookup(b, _cur(cat, "sw_FarmT"), "FarmID", ["FarmCode", "FarmName"])
@@ -118,23 +120,27 @@ def lookup_chain(cat):
 
 
 def fact_to_header(cat):
+    """Every assessment defect with its assessment header (left join)."""
     d = _cur(cat, "qa_Assessment_DefectT").select("AssessmentDefectID", "AssessmentID", "DefectQty")
     a = _cur(cat, "qa_AssessmentT").select("AssessmentID", "GraderBatchID", "SampleQty", "SeasonID")
     return attach(d, a, "AssessmentID")
 
 
 def anti_unweighed_pallets(cat):
+    """Pallets without any export-bin row (left anti join)."""
     p = _cur(cat, "ma_Pallet_DetailT").select("PalletDetailID", "GraderBatchID", "NoOfUnits")
     return anti(p, _cur(cat, "ma_Export_Bin_DetailT"), "PalletDetailID")
 
 
 def semi_presize_batches(cat):
+    """Bin deliveries whose presize output batch exists (left semi join)."""
     b = _cur(cat, "ma_Bin_DeliveryT").select("BinDeliveryID", "PresizeOutputFromGraderBatchID",
                                             "TotalWeight")
     return semi(b, _cur(cat, "ma_Grader_BatchT"), ("PresizeOutputFromGraderBatchID", "GraderBatchID"))
 
 
 def inner_repack_pallet(cat):
+    """Cartons counted per (pallet, repack), inner-joined on a renamed key."""
     cartons = (_cur(cat, "ma_Repack_Input_CartonT").groupBy("FromPalletDetailID", "RepackID")
                .agg(F.count(F.lit(1)).alias("RepackedNoOfUnits")))
     return lookup(cartons, _cur(cat, "ma_Pallet_DetailT"), ("FromPalletDetailID", "PalletDetailID"),
@@ -152,6 +158,7 @@ def _headers(cat, seasons=ALL_SEASONS):
 
 
 def composite_key_join(cat):
+    """Sample sizes of both generations joined on (Season, GraderBatchID)."""
     sq = sample_sizes(cat, LEGACY, ALL_SEASONS).unionByName(sample_sizes(cat, CURRENT, ALL_SEASONS))
     hdr = _headers(cat)
     hdr = hdr[0].unionByName(hdr[1]).select("Season", "GraderBatchID", "InputKgs")
@@ -162,6 +169,7 @@ CODE_MAP_SEASONS = [2017, 2021]
 
 
 def code_map_season(cat):
+    """2.8/§4: season code map, filtered on the inverted codes of both generations."""
     parts = []
     for gen in (LEGACY, CURRENT):
         b = cat.table(gen, "ma_Grader_BatchT").filter(
@@ -175,23 +183,27 @@ TIMESTAMP_SEASONS_CHECK = [2020, 2022]
 
 
 def timestamp_season(cat):
+    """seasons from creation timestamps, filtered as half-open ranges."""
     return (_cur(cat, "ma_Pallet_DetailT")
             .filter(timestamp_season_filter("CreatedDateTime", TIMESTAMP_SEASONS_CHECK))
             .select("PalletDetailID", season_from_timestamp("CreatedDateTime").alias("Season")))
 
 
 def strict_sum_by_group(cat):
+    """Defect quantity per group, NULL as soon as one input is NULL."""
     return (_cur(cat, "qa_Assessment_DefectT").groupBy("AssessmentID", "DefectID")
             .agg(strict_sum("DefectQty").cast("bigint").alias("defectQty"),
                  F.count(F.lit(1)).alias("n_rows")))
 
 
 def sum_or_zero_by_group(cat):
+    """Bins tipped per batch, 0 for an all-NULL batch."""
     return (_cur(cat, "ma_Bin_UsageT").groupBy("GraderBatchID")
             .agg(sum_or_zero("BinQty").alias("fieldBinsTipped")))
 
 
 def max_representative_bin(cat):
+    """Max bin id and SQL-sum quantity per batch, then that bin's attributes."""
     u = (_leg(cat, "ma_Bin_UsageT").filter(F.col("GraderBatchID").isNotNull())
          .groupBy("GraderBatchID")
          .agg(F.max("BinID").alias("BinID"), server_sum("BinQty").alias("BinQty")))
@@ -202,15 +214,18 @@ PACK_SEASONS = [2020, 2021, 2022]
 
 
 def prefix_pack_split(cat):
+    """2.7: pack split by code prefix without a pivot (all current seasons)."""
     return tube_split(cat, C.TIMESTAMP_SEASONS)
 
 
 def union_generations(cat):
+    """2.6: both generations' batch headers unioned by name with explicit types."""
     hdr = _headers(cat)
     return union_all(cat.spark, hdr, _UNION_SCHEMA)
 
 
 def normalise_owner(cat):
+    """2.8: owner company name trimmed, lower-cased, spaces deleted."""
     b = _cur(cat, "ma_Grader_BatchT").select("GraderBatchID", "GrowerCompanyID")
     b = lookup(b, _cur(cat, "sw_CompanyT"), ("GrowerCompanyID", "CompanyID"), ["CompanyName"])
     return b.select("GraderBatchID", F.col("CompanyName").alias("rawOwner"),
@@ -218,6 +233,7 @@ def normalise_owner(cat):
 
 
 def half_even_round(cat):
+    """Per-batch unit sums rounded half-to-even (many exact .5 ties)."""
     p = _cur(cat, "ma_Pallet_DetailT").select("GraderBatchID", "ProductID", "NoOfUnits")
     p = lookup(p, _cur(cat, "sw_ProductT"), "ProductID", ["TubeTypeID"])
     p = lookup(p, cat.dim(CURRENT, "sw_Tube_TypeT"), "TubeTypeID", ["RTEConversion"])
@@ -227,6 +243,7 @@ def half_even_round(cat):
 
 
 def safe_ratio(cat):
+    """T4: weight / tube weight with x/0 -> +-Inf, 0/0 -> NaN, reported as a class."""
     b = _cur(cat, "ma_Bin_DeliveryT").select("BinDeliveryID", "TotalWeight", "PresizeProductID")
     b = lookup(b, _cur(cat, "sw_ProductT"), ("PresizeProductID", "ProductID"), ["TubeTypeID"])
     b = lookup(b, cat.dim(CURRENT, "sw_Tube_TypeT"), "TubeTypeID", ["PresizeAvgTubeWeight"])
@@ -248,16 +265,19 @@ def _int_text():
 
 
 def to_int_text(cat):
+    """T5: tolerant text-to-integer ('12.7' -> 12, 'abc' -> NULL, overflow -> NULL)."""
     b = _cur(cat, "ma_Grader_BatchT").select("GraderBatchID").withColumn("rawText", _int_text())
     return b.select("GraderBatchID", "rawText", to_int("rawText").alias("asInt"))
 
 
 def storage_days(cat):
+    """Whole days from harvest to packing, as a double."""
     return _cur(cat, "ma_Grader_BatchT").select(
         "GraderBatchID", days_between("PackDate", "HarvestDate").alias("storageDays"))
 
 
 def relabel_after_group(cat):
+    """2.8: defects summed per (batch, label), Russet labels merged afterwards."""
     d = _cur(cat, "qa_Assessment_DefectT").select("AssessmentID", "DefectID", "DefectQty")
     d = lookup(d, _cur(cat, "qa_AssessmentT"), "AssessmentID", ["GraderBatchID"], how="inner")
     d = lookup(d, cat.dim(CURRENT, "qa_DefectT"), "DefectID", ["Defect"])
