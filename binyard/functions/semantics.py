@@ -54,11 +54,6 @@ def sum_or_zero(c) -> Column:
     return F.coalesce(F.sum(nan_to_null(c)), F.lit(0.0))
 
 
-def count_or_zero_sum(c) -> Column:
-    """R ``sum(x, na.rm = TRUE)`` for integer columns: empty -> 0 (bigint)."""
-    return F.coalesce(F.sum(_col(c)), F.lit(0).cast("bigint"))
-
-
 def strict_sum(c) -> Column:
     """R ``sum(x)`` without ``na.rm``: any NULL in the group -> NULL.
 
