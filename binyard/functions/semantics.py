@@ -184,8 +184,7 @@ def season_code_filter(c, seasons: Iterable[int], generation: str,
 def season_from_timestamp(c, config: ReportConfig = DEFAULT_CONFIG) -> Column:
     """Calendar year of a wall-clock timestamp, within the configured bands."""
     yr = F.year(_col(c))
-    lo, hi = min(config.timestamp_seasons), max(config.timestamp_seasons)
-    return F.when((yr >= lo) & (yr <= hi), yr).cast("int")
+    return F.when(yr.isin(sorted(int(y) for y in config.timestamp_seasons)), yr).cast("int")
 
 
 def _ntz(year: int) -> Column:
