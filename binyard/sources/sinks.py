@@ -18,9 +18,12 @@ from binyard.sources.schemas import SCHEMAS
 
 def write_report(df: DataFrame, path: str, mode: str = "overwrite",
                  partition_col: str | None = "Season", fmt: str = "parquet") -> None:
+    """Write a report partitioned by season.  Overwrites are dynamic: a run
+    for some seasons replaces only those seasons' directories, so reports can
+    be refreshed season by season without rewriting history."""
     w = df.write.mode(mode).format(fmt)
     if partition_col and partition_col in df.columns:
-        w = w.partitionBy(partition_col)
+        w = w.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic")
     w.save(path)
 
 

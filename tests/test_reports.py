@@ -163,3 +163,7 @@ def test_write_report_partitions_by_season(spark, tmp_path):
     back = spark.read.parquet(out)
     assert back.count() == df.count()
     assert back.filter("Season = 2021").count() == 1      # pruned to one directory
+    write_report(bin_intake(fixtures.bins(spark), [2021]), out)   # refresh one season
+    again = spark.read.parquet(out)
+    assert again.count() == df.count()                    # 2018 kept, 2021 replaced
+    assert sorted(r.Season for r in again.select("Season").distinct().collect()) == [2018, 2021]
