@@ -12,9 +12,12 @@ from binyard.plans.batch_packout import batch_packout
 from binyard.plans.bin_intake import bin_intake
 from binyard.plans.defect_share import defect_share
 from binyard.plans.pack_units import pack_units
+from binyard.session import build_session, materialize
 from binyard.sources.catalog import FrameCatalog, JdbcCatalog, ParquetCatalog
+from binyard.sources.sinks import write_catalog, write_report
 
 __all__ = [
     "DEFAULT_CONFIG", "ReportConfig", "batch_packout", "bin_intake", "defect_share", "pack_units",
-    "FrameCatalog", "JdbcCatalog", "ParquetCatalog",
+    "FrameCatalog", "JdbcCatalog", "ParquetCatalog", "build_session", "materialize",
+    "write_catalog", "write_report",
 ]
