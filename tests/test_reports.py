@@ -167,3 +167,14 @@ def test_write_report_partitions_by_season(spark, tmp_path):
     again = spark.read.parquet(out)
     assert again.count() == df.count()                    # 2018 kept, 2021 replaced
     assert sorted(r.Season for r in again.select("Season").distinct().collect()) == [2018, 2021]
+
+
+def test_season_map_is_configuration(spark):  # T15
+    from binyard.config import CURRENT, LEGACY, ReportConfig
+    t = {(CURRENT, "ma_Grader_BatchT"): [fixtures._batch(1, SeasonID=10)]}
+    cat = fixtures.catalog(spark, t)
+    assert batch_packout(cat, [2024]).count() == 0                 # default map stops at 2023
+    wider = ReportConfig(season_codes={LEGACY: dict(C.LEGACY_SEASON_CODES),
+                                       CURRENT: {**C.CURRENT_SEASON_CODES, 10: 2024}})
+    rows = batch_packout(cat, [2024], wider).collect()
+    assert [(r.GraderBatchID, r.Season) for r in rows] == [(1, 2024)]
