@@ -36,3 +36,15 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns[:3] == ["GraderBatchID", "GraderBatchNo", "Season"]
+
+
+_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+def test_column_types_match_the_oracle(spark, duck):
+    for name, q in entry.queries().items():
+        spark_types = {c: _DUCK[t] for c, t in q(spark, SF_SMALL).dtypes}
+        duck_types = {r[0]: r[1] for r in
+                      duck[SF_SMALL].execute("DESCRIBE " + entry.oracle_sql()[name]).fetchall()}
+        assert spark_types == duck_types, name
