@@ -39,13 +39,18 @@ def build_session(master: str = "local[*]", app: str = "binyard",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint directory; set a scratch one if unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The checkpoint directory: the context's, else the cluster's
+    ``spark.checkpoint.dir`` (registered with the context), else - only where
+    neither is set, as in local tests - a fresh scratch folder."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
-    path = tempfile.mkdtemp(prefix="binyard-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    path = configured or tempfile.mkdtemp(prefix="binyard-ckpt-",
+                                          dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def materialize(df, spark: SparkSession | None = None):
