@@ -142,3 +142,18 @@ def test_pack_split_matches_pivot_model(spark, rows):
                                japan_prefix=C.JAPAN_TRAY_PREFIX, tempz_prefix=C.TEMPZ_PREFIX,
                                tempz_first_key=2430).collect()}
     assert got == pivot_model(rows, 2430)
+
+
+@SETTINGS
+@given(wanted=st.sets(st.integers(2018, 2025), max_size=6),
+       stamps=st.lists(st.tuples(st.integers(2018, 2025), st.integers(1, 12), st.integers(1, 28),
+                                 st.integers(0, 23)), min_size=1, max_size=20))
+def test_timestamp_band_filter_matches_year_membership(spark, wanted, stamps):
+    """OR-ed half-open ranges (adjacent years merged) keep exactly the rows
+    whose calendar year is requested and inside the configured bands."""
+    import datetime as dt
+    rows = [(i, dt.datetime(y, m, d, h)) for i, (y, m, d, h) in enumerate(stamps)]
+    df = spark.createDataFrame(rows, "i int, t timestamp_ntz")
+    got = sorted(r.i for r in df.filter(s.timestamp_season_filter("t", wanted)).collect())
+    bands = set(C.TIMESTAMP_SEASONS)
+    assert got == sorted(i for i, t in rows if t.year in wanted and t.year in bands)
