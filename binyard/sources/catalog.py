@@ -115,9 +115,16 @@ class Catalog:
         key = (generation, name)
         if key not in verdicts:
             n = self.broadcast_row_limit
-            verdicts[key] = self.table(generation, name).limit(n + 1).count() <= n
+            known = self.known_rows().get(key)
+            verdicts[key] = (known <= n if known is not None
+                             else self.table(generation, name).limit(n + 1).count() <= n)
         return verdicts[key]
 
+    def known_rows(self) -> dict:
+        """Exact row counts a catalog knows without reading (e.g. literal code
+        lists); they stand as the size proof.  None known by default."""
+        return {}
+
     def fits_broadcast(self, df: DataFrame, key) -> bool:
         """Proven size bound for broadcasting a derived frame: at most
         ``threshold / row width`` rows, where threshold is the session's

@@ -178,6 +178,10 @@ class TestdataCatalog(FrameCatalog):
             tables[(LEGACY, name)] = getattr(self, "_leg_" + name)
         super().__init__(spark, tables)
 
+    def known_rows(self) -> dict:
+        """The code lists are literal rows: their size is known exactly."""
+        return {key: len(rows) for key, rows in LOOKUP_ROWS.items()}
+
     def raw(self, name: str) -> DataFrame:
         cache = self.__dict__.setdefault("_raw", {})
         if name not in cache:

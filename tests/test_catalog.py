@@ -44,3 +44,13 @@ def test_local_table_literals(spark):
     assert df.schema == schema
     assert df.collect()[0] == (1, "it's", 0.55, True)
     assert "LocalTableScan" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_known_row_counts_prove_code_list_sizes(spark):
+    from binyard.sources.testdata import TestdataCatalog
+    cat = TestdataCatalog(spark, "/root/testdata/sf0.001")
+    assert cat.known_rows()[("current", "sw_GradeT")] == 6
+    assert cat.broadcast_ok("current", "sw_GradeT")
+    cat.broadcast_row_limit = 5
+    cat._broadcast_ok.clear()
+    assert not cat.broadcast_ok("current", "sw_GradeT")      # 6 rows > 5: no hint
