@@ -13,7 +13,9 @@ dimension, so the fact join can be inner.
 The flattened tables grow with the products/blocks/farms, not with the
 facts.  Each is broadcast only behind ``Catalog.broadcast_if_small`` (a
 row-count bound derived from the auto-broadcast threshold); beyond it the
-fact join is a shuffle join.  The code lists inside them go through
+fact join is a shuffle join.  The lookups inside join on unique keys, so a
+flattened table has exactly its base table's rows: a row count the catalog
+knows without a job (``Catalog.row_count``) serves as the proof.  The code lists inside them go through
 ``Catalog.dim``.
 """
 
@@ -34,7 +36,8 @@ def place(cat: Catalog, gen: str) -> DataFrame:
                                                 "SubdivisionID")
     b = lookup(b, cat.dim(gen, "sw_SubdivisionT"), "SubdivisionID",
                ["SubdivisionCode", "SubdivisionDesc"])
-    return cat.broadcast_if_small(b.drop("SubdivisionID"), ("place", gen))
+    return cat.broadcast_if_small(b.drop("SubdivisionID"), ("place", gen),
+                                  cat.row_count(gen, "sw_Farm_BlockT"))
 
 
 def farm_with_owner(cat: Catalog, gen: str) -> DataFrame:
@@ -42,7 +45,8 @@ def farm_with_owner(cat: Catalog, gen: str) -> DataFrame:
     f = cat.table(gen, "sw_FarmT").select("FarmID", "FarmCode", "FarmName", "GrowerCompanyID")
     f = lookup(f, cat.table(gen, "sw_CompanyT"), ("GrowerCompanyID", "CompanyID"),
                ["CompanyName"], rename={"CompanyName": "owner"})
-    return cat.broadcast_if_small(f.drop("GrowerCompanyID"), ("farm_with_owner", gen))
+    return cat.broadcast_if_small(f.drop("GrowerCompanyID"), ("farm_with_owner", gen),
+                                  cat.row_count(gen, "sw_FarmT"))
 
 
 def pallet_product(cat: Catalog) -> DataFrame:
@@ -51,7 +55,8 @@ def pallet_product(cat: Catalog) -> DataFrame:
                                                  "GradeID")
     p = lookup(p, cat.dim(CURRENT, "sw_GradeT"), "GradeID", ["GradeDesc", "PoolTypeID"])
     p = lookup(p, cat.dim(CURRENT, "sys_fi_Pool_TypeT"), "PoolTypeID", ["PoolByRule"])
-    return cat.broadcast_if_small(p.drop("GradeID", "PoolTypeID"), "pallet_product")
+    return cat.broadcast_if_small(p.drop("GradeID", "PoolTypeID"), "pallet_product",
+                                  cat.row_count(CURRENT, "sw_ProductT"))
 
 
 def tube_product(cat: Catalog) -> DataFrame:
@@ -74,7 +79,8 @@ def tube_product(cat: Catalog) -> DataFrame:
                     r_number_text("FruitPerTube"), r_number_text("TubeDiameter"),
                     F.col("SizeCode"))
     return cat.broadcast_if_small(
-        p.select("ProductID", code.alias("code"), "TubesPerCarton", "RTEConversion"), "tube_product")
+        p.select("ProductID", code.alias("code"), "TubesPerCarton", "RTEConversion"), "tube_product",
+        cat.row_count(CURRENT, "sw_ProductT"))
 
 
 def presize_product(cat: Catalog) -> DataFrame:
@@ -85,11 +91,12 @@ def presize_product(cat: Catalog) -> DataFrame:
     p = lookup(p, cat.dim(CURRENT, "sw_GradeT"), "GradeID", ["JuiceFlag"])
     return cat.broadcast_if_small(
         p.filter(~F.col("JuiceFlag")).select("ProductID", "PresizeAvgTubeWeight", "RTEConversion"),
-        "presize_product")
+        "presize_product", cat.row_count(CURRENT, "sw_ProductT"))
 
 
 def carton_product(cat: Catalog) -> DataFrame:
     """ProductID -> TubesPerCarton, RTEConversion (repacked cartons)."""
     p = cat.table(CURRENT, "sw_ProductT").select("ProductID", "TubesPerCarton", "TubeTypeID")
     p = lookup(p, cat.dim(CURRENT, "sw_Tube_TypeT"), "TubeTypeID", ["RTEConversion"])
-    return cat.broadcast_if_small(p.drop("TubeTypeID"), "carton_product")
+    return cat.broadcast_if_small(p.drop("TubeTypeID"), "carton_product",
+                                  cat.row_count(CURRENT, "sw_ProductT"))

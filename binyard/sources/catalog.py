@@ -125,27 +125,39 @@ class Catalog:
         lists); they stand as the size proof.  None known by default."""
         return {}
 
-    def fits_broadcast(self, df: DataFrame, key) -> bool:
+    def row_count(self, generation: str, name: str) -> int | None:
+        """Row count of a source table when known without a Spark job (e.g.
+        from file metadata); None when unknown."""
+        return self.known_rows().get((generation, name))
+
+    def fits_broadcast(self, df: DataFrame, key, upper_rows: int | None = None) -> bool:
         """Proven size bound for broadcasting a derived frame: at most
         ``threshold / row width`` rows, where threshold is the session's
         ``spark.sql.autoBroadcastJoinThreshold`` and the row width comes from
         the schema.  Checked with a ``LIMIT n+1`` count once per ``key`` and
         catalog.  Needed because without CBO Spark estimates a join's output
         as the product of its inputs, so a flattened dimension or a filtered
-        key list would never be broadcast automatically."""
+        key list would never be broadcast automatically.  ``upper_rows``, a
+        known upper bound on the rows (e.g. the base table of a flattened
+        dimension whose lookups join on unique keys), replaces the count."""
         verdicts = self.__dict__.setdefault("_small", {})
         if key not in verdicts:
             threshold = _bytes(self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold",
                                                    "10485760"))
             width = sum(_WIDTHS.get(type(f.dataType), 20) for f in df.schema.fields) or 1
             n = threshold // width
-            verdicts[key] = n > 0 and df.limit(n + 1).count() <= n
+            if n <= 0:
+                verdicts[key] = False
+            elif upper_rows is not None and upper_rows <= n:
+                verdicts[key] = True
+            else:
+                verdicts[key] = df.limit(n + 1).count() <= n
         return verdicts[key]
 
-    def broadcast_if_small(self, df: DataFrame, key) -> DataFrame:
+    def broadcast_if_small(self, df: DataFrame, key, upper_rows: int | None = None) -> DataFrame:
         """``df`` with a broadcast hint if ``fits_broadcast``; else unchanged
         (Spark then plans a shuffle join)."""
-        return F.broadcast(df) if self.fits_broadcast(df, key) else df
+        return F.broadcast(df) if self.fits_broadcast(df, key, upper_rows) else df
 
     def dim(self, generation: str, name: str) -> DataFrame:
         """A lookup table, broadcast-hinted only when ``broadcast_ok``; otherwise

@@ -153,6 +153,10 @@ def _by_pairs(c: Column, pairs, default=None) -> Column:
 
 _SHARED: dict = {}
 
+# Lookups derived one row per row of a driver table.
+_ONE_TO_ONE = {"sw_FarmT": "customer", "sw_Farm_BlockT": "nation", "sw_SubdivisionT": "region",
+               "sw_CompanyT": "supplier", "sw_ProductT": "part"}
+
 
 class TestdataCatalog(FrameCatalog):
     """ERP catalog derived lazily from ``<sf_dir>/<table>.parquet``."""
@@ -182,6 +186,22 @@ class TestdataCatalog(FrameCatalog):
         """The code lists are literal rows: their size is known exactly."""
         return {key: len(rows) for key, rows in LOOKUP_ROWS.items()}
 
+    def row_count(self, generation: str, name: str) -> int | None:
+        """Code lists: their literal size.  Lookups derived one row per row of
+        a driver table: that file's row count from its Parquet footer (driver
+        reads metadata only, no Spark job)."""
+        known = self.known_rows().get((generation, name))
+        if known is not None:
+            return known
+        raw = _ONE_TO_ONE.get(name)
+        if raw is None:
+            return None
+        cache = self.__dict__.setdefault("_footer_rows", {})
+        if raw not in cache:
+            import pyarrow.parquet as pq
+            cache[raw] = pq.ParquetFile(f"{self.sf_dir}/{raw}.parquet").metadata.num_rows
+        return cache[raw]
+
     def raw(self, name: str) -> DataFrame:
         cache = self.__dict__.setdefault("_raw", {})
         if name not in cache:
