@@ -68,3 +68,10 @@ def test_pack_units_has_one_row_per_batch_in_season(cat):
     df = pack_units(cat, [2020, 2021])
     assert df.count() == df.select("GraderBatchID").distinct().count()
     assert {r.SeasonDesc for r in df.select("SeasonDesc").distinct().collect()} == {"2020", "2021"}
+
+
+def test_bin_intake_one_row_per_season_and_bin(cat):
+    df = bin_intake(cat, LEGACY_SEASONS + CURRENT_SEASONS)
+    assert df.groupBy("Season", "BinDeliveryID").count().filter("count > 1").count() == 0
+    assert df.filter("StorageSite IS NULL").count() == \
+        df.filter("Season < 2020 AND StorageSite IS NULL").count()   # current sites always set
