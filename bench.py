@@ -2,7 +2,7 @@
 
 Each query is executed in full with the ``noop`` sink (every row computed,
 nothing collected to the driver).  Every query is run $BENCH_REPEAT times
-(default 2): ``queries`` holds the best run per query (warm JVM and code
+(default 3): ``queries`` holds the best run per query (warm JVM and code
 generation), ``cold_total_sec`` the sum of the first runs.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
@@ -33,7 +33,7 @@ REPORTS = ("batch_packout", "defect_share", "pack_units", "bin_intake")
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
     only = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n]
     spark = build_session(f"local[{cpus}]", app="binyard-bench", shuffle_partitions=cpus * 2,
                           extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
