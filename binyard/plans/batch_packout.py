@@ -153,7 +153,8 @@ def _legacy(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
     usage = t("ma_Bin_UsageT").filter(F.col("GraderBatchID").isNotNull())
     ids = batches.select("GraderBatchID")
     usage = keep_keys(usage, ids, "GraderBatchID", exact=False,
-                      small=cat.fits_broadcast(ids, ("legacy_batch_ids", tuple(sorted(seasons)))))
+                      small=cat.fits_broadcast(ids, ("legacy_batch_ids", tuple(sorted(seasons))),
+                                               cat.row_bound(LEGACY, "ma_Grader_BatchT")))
     bins = (usage.groupBy("GraderBatchID")
             .agg(F.max("BinID").alias("BinID"), server_sum("BinQty").alias("BinQty")))
     bins = lookup(bins, t("ma_BinT"), "BinID", ["HarvestDate", "BlockID", "StorageTypeID", "ESPID"])

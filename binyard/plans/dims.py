@@ -15,7 +15,7 @@ facts.  Each is broadcast only behind ``Catalog.broadcast_if_small`` (a
 row-count bound derived from the auto-broadcast threshold); beyond it the
 fact join is a shuffle join.  The lookups inside join on unique keys, so a
 flattened table has exactly its base table's rows: a row count the catalog
-knows without a job (``Catalog.row_count``) serves as the proof.  The code lists inside them go through
+knows without a job (``Catalog.row_bound``) serves as the proof.  The code lists inside them go through
 ``Catalog.dim``.
 """
 
@@ -37,7 +37,7 @@ def place(cat: Catalog, gen: str) -> DataFrame:
     b = lookup(b, cat.dim(gen, "sw_SubdivisionT"), "SubdivisionID",
                ["SubdivisionCode", "SubdivisionDesc"])
     return cat.broadcast_if_small(b.drop("SubdivisionID"), ("place", gen),
-                                  cat.row_count(gen, "sw_Farm_BlockT"))
+                                  cat.row_bound(gen, "sw_Farm_BlockT"))
 
 
 def farm_with_owner(cat: Catalog, gen: str) -> DataFrame:
@@ -46,7 +46,7 @@ def farm_with_owner(cat: Catalog, gen: str) -> DataFrame:
     f = lookup(f, cat.table(gen, "sw_CompanyT"), ("GrowerCompanyID", "CompanyID"),
                ["CompanyName"], rename={"CompanyName": "owner"})
     return cat.broadcast_if_small(f.drop("GrowerCompanyID"), ("farm_with_owner", gen),
-                                  cat.row_count(gen, "sw_FarmT"))
+                                  cat.row_bound(gen, "sw_FarmT"))
 
 
 def pallet_product(cat: Catalog) -> DataFrame:
@@ -56,7 +56,7 @@ def pallet_product(cat: Catalog) -> DataFrame:
     p = lookup(p, cat.dim(CURRENT, "sw_GradeT"), "GradeID", ["GradeDesc", "PoolTypeID"])
     p = lookup(p, cat.dim(CURRENT, "sys_fi_Pool_TypeT"), "PoolTypeID", ["PoolByRule"])
     return cat.broadcast_if_small(p.drop("GradeID", "PoolTypeID"), "pallet_product",
-                                  cat.row_count(CURRENT, "sw_ProductT"))
+                                  cat.row_bound(CURRENT, "sw_ProductT"))
 
 
 def tube_product(cat: Catalog) -> DataFrame:
@@ -80,7 +80,7 @@ def tube_product(cat: Catalog) -> DataFrame:
                     F.col("SizeCode"))
     return cat.broadcast_if_small(
         p.select("ProductID", code.alias("code"), "TubesPerCarton", "RTEConversion"), "tube_product",
-        cat.row_count(CURRENT, "sw_ProductT"))
+        cat.row_bound(CURRENT, "sw_ProductT"))
 
 
 def presize_product(cat: Catalog) -> DataFrame:
@@ -91,7 +91,7 @@ def presize_product(cat: Catalog) -> DataFrame:
     p = lookup(p, cat.dim(CURRENT, "sw_GradeT"), "GradeID", ["JuiceFlag"])
     return cat.broadcast_if_small(
         p.filter(~F.col("JuiceFlag")).select("ProductID", "PresizeAvgTubeWeight", "RTEConversion"),
-        "presize_product", cat.row_count(CURRENT, "sw_ProductT"))
+        "presize_product", cat.row_bound(CURRENT, "sw_ProductT"))
 
 
 def carton_product(cat: Catalog) -> DataFrame:
@@ -99,4 +99,4 @@ def carton_product(cat: Catalog) -> DataFrame:
     p = cat.table(CURRENT, "sw_ProductT").select("ProductID", "TubesPerCarton", "TubeTypeID")
     p = lookup(p, cat.dim(CURRENT, "sw_Tube_TypeT"), "TubeTypeID", ["RTEConversion"])
     return cat.broadcast_if_small(p.drop("TubeTypeID"), "carton_product",
-                                  cat.row_count(CURRENT, "sw_ProductT"))
+                                  cat.row_bound(CURRENT, "sw_ProductT"))

@@ -58,7 +58,8 @@ def season_batch_ids(cat: Catalog, seasons) -> tuple[DataFrame, bool]:
     """Batch ids of the requested seasons and whether they provably fit a
     broadcast (see ``operators.joins.keep_keys``)."""
     ids = season_batches(cat, seasons).select("GraderBatchID")
-    return ids, cat.fits_broadcast(ids, ("season_batch_ids", tuple(sorted(seasons))))
+    return ids, cat.fits_broadcast(ids, ("season_batch_ids", tuple(sorted(seasons))),
+                                   cat.row_bound(CURRENT, "ma_Grader_BatchT"))
 
 
 def tube_rows(cat: Catalog, seasons, exact: bool = True) -> DataFrame:
@@ -116,7 +117,8 @@ def presize_units(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG,
         return per_batch
     ids = t("ma_Grader_BatchT").select("GraderBatchID")
     return keep_keys(per_batch, ids, "GraderBatchID",
-                     small=cat.fits_broadcast(ids, "all_batch_ids"))
+                     small=cat.fits_broadcast(ids, "all_batch_ids",
+                                              cat.row_bound(CURRENT, "ma_Grader_BatchT")))
 
 
 def repack_units(cat: Catalog, seasons, exact: bool = True) -> DataFrame:

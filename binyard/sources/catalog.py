@@ -125,9 +125,9 @@ class Catalog:
         lists); they stand as the size proof.  None known by default."""
         return {}
 
-    def row_count(self, generation: str, name: str) -> int | None:
-        """Row count of a source table when known without a Spark job (e.g.
-        from file metadata); None when unknown."""
+    def row_bound(self, generation: str, name: str) -> int | None:
+        """An upper bound on a source table's rows, when known without a Spark
+        job (e.g. from file metadata); None when unknown."""
         return self.known_rows().get((generation, name))
 
     def fits_broadcast(self, df: DataFrame, key, upper_rows: int | None = None) -> bool:

@@ -153,9 +153,12 @@ def _by_pairs(c: Column, pairs, default=None) -> Column:
 
 _SHARED: dict = {}
 
-# Lookups derived one row per row of a driver table.
-_ONE_TO_ONE = {"sw_FarmT": "customer", "sw_Farm_BlockT": "nation", "sw_SubdivisionT": "region",
-               "sw_CompanyT": "supplier", "sw_ProductT": "part"}
+# Tables derived with at most one row per row of a driver table (lookups one
+# to one; batches, bins and assessments are orders split by generation).
+_AT_MOST_ONE_PER_ROW = {
+    "sw_FarmT": "customer", "sw_Farm_BlockT": "nation", "sw_SubdivisionT": "region",
+    "sw_CompanyT": "supplier", "sw_ProductT": "part", "ma_Grader_BatchT": "orders",
+    "ma_Bin_DeliveryT": "orders", "ma_BinT": "orders", "qa_AssessmentT": "orders"}
 
 
 class TestdataCatalog(FrameCatalog):
@@ -186,14 +189,14 @@ class TestdataCatalog(FrameCatalog):
         """The code lists are literal rows: their size is known exactly."""
         return {key: len(rows) for key, rows in LOOKUP_ROWS.items()}
 
-    def row_count(self, generation: str, name: str) -> int | None:
-        """Code lists: their literal size.  Lookups derived one row per row of
-        a driver table: that file's row count from its Parquet footer (driver
-        reads metadata only, no Spark job)."""
+    def row_bound(self, generation: str, name: str) -> int | None:
+        """Code lists: their literal size.  Tables derived from at most one
+        row per row of a driver table: that file's row count from its Parquet
+        footer (the driver reads metadata only, no Spark job)."""
         known = self.known_rows().get((generation, name))
         if known is not None:
             return known
-        raw = _ONE_TO_ONE.get(name)
+        raw = _AT_MOST_ONE_PER_ROW.get(name)
         if raw is None:
             return None
         cache = self.__dict__.setdefault("_footer_rows", {})

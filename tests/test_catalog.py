@@ -59,9 +59,10 @@ def test_known_row_counts_prove_code_list_sizes(spark):
 def test_row_counts_from_metadata_bound_flattened_dimensions(spark):
     from binyard.sources.testdata import TestdataCatalog
     cat = TestdataCatalog(spark, "/root/testdata/sf0.001")
-    assert cat.row_count("current", "sw_FarmT") == 150           # customer footer
-    assert cat.row_count("current", "sw_GradeT") == 6            # literal code list
-    assert cat.row_count("current", "ma_Pallet_DetailT") is None  # aggregated: unknown
+    assert cat.row_bound("current", "sw_FarmT") == 150           # customer footer
+    assert cat.row_bound("current", "sw_GradeT") == 6            # literal code list
+    assert cat.row_bound("current", "ma_Pallet_DetailT") is None  # aggregated: unknown
+    assert cat.row_bound("legacy", "ma_Grader_BatchT") == 1500    # orders bound a split
     df = spark.range(10)
     assert cat.fits_broadcast(df, "bounded", upper_rows=10)       # proof without a count
     assert "bounded" in cat._small
