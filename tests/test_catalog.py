@@ -66,3 +66,53 @@ def test_row_counts_from_metadata_bound_flattened_dimensions(spark):
     df = spark.range(10)
     assert cat.fits_broadcast(df, "bounded", upper_rows=10)       # proof without a count
     assert "bounded" in cat._small
+
+
+class _FakeReader:
+    """Records how a JDBC read is issued (no database is contacted)."""
+
+    def __init__(self, log):
+        self.log, self.opts = log, {}
+
+    def format(self, fmt):
+        self.log.append(("format", fmt))
+        return self
+
+    def options(self, **kw):
+        self.opts.update(kw)
+        return self
+
+    def load(self):
+        self.log.append(("load", dict(self.opts)))
+        return "frame"
+
+    def jdbc(self, url, table, predicates=None, properties=None):
+        self.log.append(("jdbc", url, table, list(predicates), dict(properties)))
+        return "frame"
+
+
+class _FakeSpark:
+    def __init__(self):
+        self.log = []
+
+    @property
+    def read(self):
+        return _FakeReader(self.log)
+
+
+def test_jdbc_load_issues_partitioned_reads():
+    from binyard.sources.catalog import JdbcCatalog
+    fake = _FakeSpark()
+    cat = JdbcCatalog(fake, {"current": {"url": "jdbc:x://h/db", "user": "u"}},
+                      partitioning={"ma_Bin_UsageT": {"predicates": ["SeasonID = 6"]},
+                                    "ma_Pallet_DetailT": {"partitionColumn": "PalletDetailID",
+                                                          "lowerBound": 1, "upperBound": 9,
+                                                          "numPartitions": 3}})
+    cat._load("current", "ma_Bin_UsageT")
+    assert fake.log[-1] == ("jdbc", "jdbc:x://h/db", "ma_Bin_UsageT", ["SeasonID = 6"],
+                            {"user": "u"})
+    cat._load("current", "ma_Pallet_DetailT")
+    assert fake.log[-1] == ("load", {"url": "jdbc:x://h/db", "user": "u",
+                                     "dbtable": "ma_Pallet_DetailT",
+                                     "partitionColumn": "PalletDetailID", "lowerBound": "1",
+                                     "upperBound": "9", "numPartitions": "3"})
