@@ -42,18 +42,25 @@ def main() -> None:
     # Warm-up: JVM, Parquet footers, codegen caches.
     checks.run(spark, sf_dir, "scan_prune").write.format("noop").mode("overwrite").save()
 
-    runs = {name: [] for name in names}
+    runs, errors = {name: [] for name in names}, {}
     for _ in range(repeat):
         for name in names:
+            if name in errors:
+                continue
             t0 = time.perf_counter()
-            checks.run(spark, sf_dir, name).write.format("noop").mode("overwrite").save()
+            try:
+                checks.run(spark, sf_dir, name).write.format("noop").mode("overwrite").save()
+            except Exception as exc:  # keep timing the others; report the failure
+                errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+                print(f"bench: {name} failed: {errors[name]}", file=sys.stderr)
+                continue
             runs[name].append(time.perf_counter() - t0)
-    timings = {name: round(min(r), 3) for name, r in runs.items()}
-    cold = round(sum(r[0] for r in runs.values()), 3)
+    timings = {name: round(min(r), 3) for name, r in runs.items() if r}
+    cold = round(sum(r[0] for r in runs.values() if r), 3)
 
     # Jobs and stages per report (status tracker; the web UI stays off).
     sc, shape = spark.sparkContext, {}
-    for name in [n for n in REPORTS if n in names]:
+    for name in [n for n in REPORTS if n in timings]:
         group = f"shape-{name}"
         sc.setJobGroup(group, group)
         checks.run(spark, sf_dir, name).write.format("noop").mode("overwrite").save()
@@ -91,6 +98,7 @@ def main() -> None:
         "cold_total_sec": cold,
         "report_shape": shape,
         **({"staged": staged} if staged else {}),
+        **({"errors": errors} if errors else {}),
         "repeat": repeat,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
