@@ -157,3 +157,22 @@ def test_timestamp_band_filter_matches_year_membership(spark, wanted, stamps):
     got = sorted(r.i for r in df.filter(s.timestamp_season_filter("t", wanted)).collect())
     bands = set(C.TIMESTAMP_SEASONS)
     assert got == sorted(i for i, t in rows if t.year in wanted and t.year in bands)
+
+
+_WS = " \t\n\u00a0\u2003"   # space, tab, newline, no-break space, em space
+
+
+def r_norm_owner(text):
+    """str_trim (Unicode white space, both ends), str_to_lower, delete ' '."""
+    if text is None:
+        return None
+    return text.strip(_WS).lower().replace(" ", "")
+
+
+@SETTINGS
+@given(texts=st.lists(st.one_of(st.none(), st.text(alphabet=_WS + "AbC&()#-9", max_size=12)),
+                      min_size=1, max_size=20))
+def test_norm_owner_matches_r(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.x for r in df.select("i", s.norm_owner("t").alias("x")).collect()}
+    assert got == {i: r_norm_owner(t) for i, t in enumerate(texts)}
