@@ -178,3 +178,13 @@ def test_season_map_is_configuration(spark):  # T15
                                        CURRENT: {**C.CURRENT_SEASON_CODES, 10: 2024}})
     rows = batch_packout(cat, [2024], wider).collect()
     assert [(r.GraderBatchID, r.Season) for r in rows] == [(1, 2024)]
+
+
+def test_pack_units_follows_the_season_lookup(spark):  # T15 asymmetry
+    from binyard.config import CURRENT
+    t = {(CURRENT, "ma_Grader_BatchT"): [fixtures._batch(7, SeasonID=10)],
+         (CURRENT, "sw_SeasonT"): [dict(SeasonID=10, SeasonDesc="2024")]}
+    cat = fixtures.catalog(spark, t)
+    rows = pack_units(cat, [2024]).collect()
+    assert [(r.GraderBatchID, r.SeasonDesc) for r in rows] == [(7, "2024")]
+    assert batch_packout(cat, [2024]).count() == 0      # the code map stops at 2023
