@@ -14,10 +14,16 @@ Method
   4. In a band bucket every class is paired with the bucket's smallest class
      only; pairs whose collision-corrected Jaccard estimate is far below the
      threshold go; the rest are confirmed on full shingle sets.
-  5. Links become components.  Buckets that still hold several components
-     pair the classes outside their largest component with the others, so no
-     link between classes is lost to step 4; pairs already tested are not
-     repeated, and buckets inside one component emit nothing.
+  5. Links become components.  In buckets that still hold several components,
+     the classes outside the largest are tested against members of it drawn by
+     hash, one for each bucket and round.
+  6. What is still apart is settled pair by pair, so no link between classes
+     is lost.  A pair is formed once (in its first common band), only between
+     different components, and only if sizes, the classes' private shingles
+     (those that no other open class has) and bitmaps of the two sets leave
+     room for the threshold: a bit that one set alone fills is a shingle that
+     the other lacks.  These are bounds, not estimates; a class with many edits
+     of its own forms no pair at all, however large its group is.
 
 With 128 registers in 25 bands of 5, a pair at similarity 0.85 shares no band
 with probability 5e-7, one at 0.8 with 5e-5.
@@ -48,6 +54,10 @@ BANDS, ROWS = 25, 5
 EMPTY = np.uint16(0xFFFF)
 #: Standard errors below the threshold at which an estimate rules a pair out.
 MARGIN = 5.0
+#: Rounds of tests against drawn members of a bucket's largest component.
+ROUNDS = 3
+#: 64-bit words of a shingle set's bitmap.
+BITMAP = 32
 
 _LOG = REGISTERS.bit_length() - 1
 _U = np.uint64
@@ -116,12 +126,15 @@ _RATES = collision_rate(_SIZES)
 
 def estimate(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Collision-corrected Jaccard estimate of register rows, and the number
-    of registers that it rests on."""
+    of independent draws that it is worth."""
     used = (ra != EMPTY) | (rb != EMPTY)
     n = used.sum(axis=1).astype(np.float64)
     same = ((ra == rb) & used).sum(axis=1).astype(np.float64)
     by_chance = REGISTERS * np.interp(np.log2(np.maximum(np.minimum(na, nb), 1)), np.log2(_SIZES), _RATES)
-    return np.clip((same - by_chance) / np.maximum(n - by_chance, 1), 0, 1), n
+    j = np.clip((same - by_chance) / np.maximum(n - by_chance, 1), 0, 1)
+    # registers are drawn without replacement from the union of the sets
+    union = np.maximum((na + nb) / 1.8, n)
+    return j, n / np.maximum(1 - n / union, 0.05)
 
 
 def _sketch(k: int):
@@ -149,8 +162,27 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = band_keys(regs)
         cls = np.repeat(batch.column("cls").to_numpy(), BANDS)
         n = np.repeat(batch.column("n").to_numpy(), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(cls), pa.array(n)],
-                                         names=["key", "cls", "n"])
+        band = np.tile(np.arange(BANDS, dtype=np.int32), len(regs))
+        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(band), pa.array(cls), pa.array(n)],
+                                         names=["key", "band", "cls", "n"])
+
+
+def _all_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            regs = np.frombuffer(b"".join(batch.column("regs").to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+            keys = pa.ListArray.from_arrays(pa.array(np.arange(len(regs) + 1, dtype=np.int32) * BANDS), pa.array(band_keys(regs).ravel().view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), keys], names=["cls", "keys"])
+
+
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = np.zeros((batch.num_rows, BITMAP * 64), dtype=bool)
+        for r, x in enumerate(batch.column("shingles")):
+            rows[r, (x.values.to_numpy().view(_U) >> _U(11)) % _U(BITMAP * 64)] = True
+        words = np.packbits(rows, axis=1, bitorder="little").view(np.int64).reshape(-1, BITMAP)
+        yield pa.RecordBatch.from_arrays([batch.column("cls"), *[pa.array(words[:, i].copy()) for i in range(BITMAP)]],
+                                         names=["cls", *[f"b{i}_" for i in range(BITMAP)]])
 
 
 def _sets(k: int):
@@ -179,19 +211,29 @@ def _likely(threshold: float):
     return run
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (lo, hi) whose full shingle sets reach the threshold."""
-    side = lambda c: classes.select(F.col("cls").alias(c), F.col("regs").alias("ra" if c == "lo" else "rb"),
-                                    F.col("n").alias("na" if c == "lo" else "nb"))
-    near = pairs.join(side("lo"), "lo").join(side("hi"), "hi")
-    near = near.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    near = stage(near.select("lo", "hi", "ra", "rb", "na", "nb").mapInArrow(_likely(percent / 100), "lo long, hi long"), "likely")
-    need = near.select(F.col("lo").alias("cls")).unionByName(near.select(F.col("hi").alias("cls"))).distinct()
+def _sets_of(need: DataFrame, classes: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """(cls, shingles) of the wanted classes (cls), read from their texts.
+    The texts are shuffled whatever the number of classes, so that the work is
+    of one kind at every size."""
     home = stage(classes.select("cls", "h1").join(need, "cls"), "need")
-    named = home.select("cls", "h1", F.col("cls").alias("row")).join(texts, "row").select("cls", "h1", "text")
+    named = home.select("cls", "h1", F.col("cls").alias("row")).hint("merge").join(texts, "row").select("cls", "h1", "text")
     sets = stage(named.mapInArrow(_sets(k), "cls long, shingles array<long>"), "sets")
     if sets.count() > home.count():  # repeated rows
         sets = sets.dropDuplicates(["cls"])
+    return sets
+
+
+def _likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (lo, hi) that sizes and sketches do not rule out."""
+    side = lambda c: classes.select(F.col("cls").alias(c), F.col("regs").alias("ra" if c == "lo" else "rb"),
+                                    F.col("n").alias("na" if c == "lo" else "nb"))
+    near = pairs.join(side("lo"), "lo").join(side("hi"), "hi")
+    near = near.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    return stage(near.select("lo", "hi", "ra", "rb", "na", "nb").mapInArrow(_likely(percent / 100), "lo long, hi long"), "likely")
+
+
+def _confirmed(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (lo, hi) whose full shingle sets reach the threshold."""
     both = (near.join(sets.select(F.col("cls").alias("lo"), F.col("shingles").alias("a")), "lo")
             .join(sets.select(F.col("cls").alias("hi"), F.col("shingles").alias("b")), "hi"))
     common = F.size(F.array_intersect("a", "b"))
@@ -241,32 +283,70 @@ def _by_set(docs, sketch, classes, base, k, percent) -> DataFrame:
     return _rows(sketch, classes, comp)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("lo").alias("cls")).unionByName(pairs.select(F.col("hi").alias("cls"))).distinct()
+
+
+def _open(member: DataFrame, comp: DataFrame) -> DataFrame:
+    """The members of buckets with several components, with their component
+    and the bucket's largest one (main)."""
+    member = member.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select(
+        "key", "band", "cls", "n", F.coalesce("component", "cls").alias("comp"))
+    per = member.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    several = (per.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps"))
+               .filter("comps > 1").select("key", F.col("m.comp").alias("main")))
+    return stage(member.join(several, "key"), "open")
+
+
 def _links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Confirmed links (lo, hi) that span the components of the classes."""
-    rows = classes.select("cls", "n", "regs").mapInArrow(_bands, "key long, cls long, n long")
+    rows = classes.select("cls", "n", "regs").mapInArrow(_bands, "key long, band int, cls long, n long")
     rows = stage(rows, "bands")
     many = rows.groupBy("key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("most")).filter("pivot < most")
     member = stage(rows.join(many.select("key", "pivot"), "key"), "buckets")
-    stars = stage(member.filter("cls > pivot").select(F.col("pivot").alias("lo"), F.col("cls").alias("hi")).distinct(), "stars")
-    links = stage(_confirm(stars, classes, texts, k, percent), "starlinks")
-
-    comp = components(links)
-    member = member.select("key", "cls", "n").join(comp.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "key", "cls", "n", F.coalesce("component", "cls").alias("comp"))
-    member = stage(member, "members")
-    per = member.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    open_ = (per.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps"))
-             .filter("comps > 1").select("key", F.col("m.comp").alias("main")))
-    rest = member.join(open_, "key")
-    left = rest.filter("comp <> main").select("key", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    right = rest.select("key", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), "main")
-    pairs = (left.join(right, "key")
-             .filter(f"cx <> cy and (cy = main or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
-             .select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).distinct()
-             .join(stars, ["lo", "hi"], "left_anti"))
-    pairs = stage(pairs, "rest")
-    more = _confirm(pairs, classes, texts, k, percent)
-    return links.unionByName(stage(more, "restlinks"))
+    tested = stage(member.filter("cls > pivot").select(F.col("pivot").alias("lo"), F.col("cls").alias("hi")).distinct(), "stars")
+    near = _likely_pairs(tested, classes, percent)
+    links = stage(_confirmed(near, _sets_of(_ends(near), classes, texts, k), percent), "starlinks")
+
+    comp = stage(components(links), "components")
+    rest = _open(member, comp)
+    if rest.limit(1).count() == 0:
+        return links
+    sets = _sets_of(rest.select("cls").distinct(), classes, texts, k)
+    for draw in range(ROUNDS):
+        pivot = rest.filter("comp = main").groupBy("key").agg(F.min(F.struct(F.xxhash64("cls", "key", F.lit(draw)), "cls")).alias("p"))
+        pairs = rest.filter("comp <> main").select("key", "cls").join(pivot.select("key", F.col("p.cls").alias("p")), "key")
+        pairs = pairs.select(F.least("cls", "p").alias("lo"), F.greatest("cls", "p").alias("hi")).distinct()
+        pairs = stage(pairs.join(tested, ["lo", "hi"], "left_anti"), "drawn")
+        found = stage(_confirmed(_likely_pairs(pairs, classes, percent), sets, percent), "drawnlinks")
+        tested = tested.unionByName(pairs)
+        if found.limit(1).count() == 0:
+            break
+        links = links.unionByName(found)
+        comp = stage(components(links), "components")
+        rest = _open(rest.select("key", "band", "cls", "n"), comp)
+
+    # shingles that one open class alone has cannot be shared with another
+    shingles = sets.join(rest.select("cls").distinct(), "cls", "left_semi").select("cls", F.explode("shingles").alias("s"))
+    own = (shingles.groupBy("s").agg(F.count("*").alias("c"), F.min("cls").alias("cls")).filter("c = 1")
+           .groupBy("cls").agg(F.count("*").alias("own")))
+    bands = classes.join(rest.select("cls").distinct(), "cls", "left_semi").select("cls", "regs").mapInArrow(_all_bands, "cls long, keys array<long>")
+    words = [f"b{i}_" for i in range(BITMAP)]
+    bits = sets.mapInArrow(_bitmaps, "cls long, " + ", ".join(f"{w} long" for w in words))
+    facts = bands.join(own, "cls", "left").join(bits, "cls").select("cls", "keys", F.coalesce("own", F.lit(0)).alias("own"), *words)
+    # a class whose own shingles alone keep it below the threshold links with nothing
+    able = stage(rest.join(facts, "cls").filter(100 * F.col("own") <= (100 - percent) * F.col("n")), "able")
+    left = able.filter("comp <> main").select("key", "band", *[F.col(c).alias(c + "x") for c in ("cls", "n", "comp", "own", "keys", *words)])
+    right = able.select("key", "main", *[F.col(c).alias(c + "y") for c in ("cls", "n", "comp", "own", "keys", *words)])
+    shared, whole = "least(nx - ownx, ny - owny)", "greatest(nx + owny, ny + ownx)"
+    first = "array_position(zip_with(keysx, keysy, (a, b) -> a = b), true) = band + 1"
+    lacks = lambda a, b: "(" + " + ".join(f"bit_count({w}{a} & ~{w}{b})" for w in words) + ")"
+    room = " and ".join(f"{100 + percent} * (n{a} - {lacks(a, b)}) >= {percent} * (nx + ny)" for a, b in ("xy", "yx"))
+    pairs = left.join(right, "key").filter(
+        f"compx <> compy and (compy = main or clsx < clsy) and 100 * {shared} >= {percent} * {whole} and {room} and {first}")
+    pairs = pairs.select(F.least("clsx", "clsy").alias("lo"), F.greatest("clsx", "clsy").alias("hi")).distinct()
+    pairs = stage(pairs.join(tested, ["lo", "hi"], "left_anti"), "rest")
+    return links.unionByName(stage(_confirmed(_likely_pairs(pairs, classes, percent), sets, percent), "restlinks"))
 
 
 def _rows(sketch: DataFrame, classes: DataFrame, comp: DataFrame) -> DataFrame:
