@@ -88,7 +88,9 @@ def spread_cut(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     cuts = (lines.join(found, "line").filter("doc <> keeper").groupBy("doc", "text_hash")
             .agg(F.collect_set("pos").alias("_cut")))
     keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_TOP))).withColumn("_hash", F.xxhash64("text"))
-    out = keyed.join(cuts.withColumnRenamed("doc", "_doc").withColumnRenamed("text_hash", "_hash"), ["_doc", "_hash"], "left")
+    # a merge join at every size: the cuts grow with the corpus and are no broadcast
+    cuts = cuts.withColumnRenamed("doc", "_doc").withColumnRenamed("text_hash", "_hash").hint("merge")
+    out = keyed.join(cuts, ["_doc", "_hash"], "left")
     out = out.select(*docs.columns, "_cut")
     schema = docs.select(*[F.col(c) for c in docs.columns], F.lit(0).cast("long").alias("_removed")).schema
     return out.mapInArrow(_cut([*docs.columns, "_removed"]), schema)

@@ -372,7 +372,7 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     cols = docs.columns
     found = near_classes(docs, k, percent)
     drop = found.filter("not kept and doc_id is not null").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti").select(*cols)
+    kept = docs.join(drop.hint("merge"), "doc_id", "left_anti").select(*cols)
     again = found.filter("kept").groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1").select("doc_id")
     if again.limit(1).count() == 0:
         return kept
