@@ -19,10 +19,6 @@ from dataclasses import dataclass, field
 LEGACY_SEASON_CODES = {2: 2016, 3: 2017, 4: 2018, 5: 2019}
 CURRENT_SEASON_CODES = {6: 2020, 7: 2021, 8: 2022, 9: 2023}
 
-# Calendar years whose [1 Jan, 1 Jan next year) bands give a season to fact
-# rows that only carry a creation timestamp (current generation).
-TIMESTAMP_SEASONS = (2020, 2021, 2022, 2023)
-
 # StorageTypeID -> storage type label; anything else is "RA".
 STORAGE_TYPE_BY_ID = ((4, "CA"), (7, "RA"))
 STORAGE_TYPE_DEFAULT = "RA"
@@ -76,9 +72,6 @@ EXCLUDED_LOOSE_GRADE = "Push Pack"
 # Shift code of every legacy batch.
 LEGACY_SHIFT_CODE = "Day"
 
-# First season held by the current generation (used by source gating).
-CURRENT_FIRST_SEASON = 2020
-
 LEGACY = "legacy"
 CURRENT = "current"
 GENERATIONS = (LEGACY, CURRENT)
@@ -92,7 +85,10 @@ class ReportConfig:
         LEGACY: dict(LEGACY_SEASON_CODES),
         CURRENT: dict(CURRENT_SEASON_CODES),
     })
-    timestamp_seasons: tuple = TIMESTAMP_SEASONS
+    #: Calendar years whose [1 Jan, 1 Jan next year) bands give a season to
+    #: current fact rows that only carry a creation timestamp.  Derived from
+    #: ``season_codes``; given values must cover every current season.
+    timestamp_seasons: tuple | None = None
     templates: dict = field(default_factory=lambda: {
         LEGACY: LEGACY_TEMPLATES,
         CURRENT: CURRENT_TEMPLATES,
@@ -101,6 +97,13 @@ class ReportConfig:
     presize_skip_null_weight_product_id: int = PRESIZE_SKIP_NULL_WEIGHT_PRODUCT_ID
     tempz_first_batch_id: int = TEMPZ_FIRST_BATCH_ID
 
+    def __post_init__(self):
+        current = tuple(sorted(set(self.season_codes[CURRENT].values())))
+        if self.timestamp_seasons is None:
+            object.__setattr__(self, "timestamp_seasons", current)
+        elif missing := set(current) - set(self.timestamp_seasons):
+            raise ValueError(f"no timestamp band for current seasons {sorted(missing)}")
+
     def seasons_of(self, generation: str) -> set[int]:
         return set(self.season_codes[generation].values())
 

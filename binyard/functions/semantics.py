@@ -90,14 +90,19 @@ def half_even(c, digits: int = 0) -> Column:
     return F.bround(_col(c), digits)
 
 
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def to_int(c) -> Column:
     """R ``as.integer`` on text or numbers (T5).
 
     Parse as double, truncate toward zero, and give NULL for text that is not
     a number or values outside the 32-bit range: '12.7' -> 12, 'abc' -> NULL.
+    The text must look like a number: a cast alone would take Java's type
+    suffixes ('12d', '45F').
     """
     d = _col(c).try_cast("double")
-    ok = ~F.isnan(d) & (d > F.lit(_INT_MIN_EXCLUSIVE)) & (d < F.lit(_INT_MAX_EXCLUSIVE))
+    ok = _col(c).cast("string").rlike(_NUMBER) & ~F.isnan(d) & (d > F.lit(_INT_MIN_EXCLUSIVE)) & (d < F.lit(_INT_MAX_EXCLUSIVE))
     return F.when(ok, d.cast("int"))
 
 

@@ -2,9 +2,9 @@
 
 * ``lookup`` – many-to-one left join that attaches dimension attributes (J1,
   J2).  The dimension is narrowed to its key and the wanted attributes before
-  the join.  A *bounded* code list (fixed by the ERP, not by data volume) is
-  broadcast by hint.  A lookup that grows with the data is left to Spark:
-  it is broadcast only if its measured or estimated size is under
+  the join.  A code list comes with its broadcast hint from ``Catalog.dim``.
+  A lookup that grows with the data is left to Spark: it is broadcast only if
+  its measured or estimated size is under
   ``spark.sql.autoBroadcastJoinThreshold`` (static plan, and again by AQE at
   runtime); otherwise it is a shuffle join.
 * ``anti`` / ``semi`` – existence tests written as such (J4, J6); Spark does
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str | tuple[str, str], cols: Sequence[str],
-           *, bounded: bool = False, how: str = "left",
+           *, how: str = "left",
            rename: dict[str, str] | None = None) -> DataFrame:
     """Left-join ``dim``'s ``cols`` onto ``df``.
 
@@ -34,8 +34,6 @@ def lookup(df: DataFrame, dim: DataFrame, on: str | tuple[str, str], cols: Seque
     rename = rename or {}
     right = dim.select(F.col(right_key).alias(left_key),
                        *[F.col(c).alias(rename.get(c, c)) for c in cols])
-    if bounded:
-        right = F.broadcast(right)
     return df.join(right, on=left_key, how=how)
 
 
@@ -55,27 +53,21 @@ def semi(df: DataFrame, other: DataFrame, on: str | tuple[str, str]) -> DataFram
     return df.join(other.select(F.col(right_key).alias(left_key)), on=left_key, how="left_semi")
 
 
-def keep_keys(df: DataFrame, keys: DataFrame, key: str, *, small: bool,
-              exact: bool = True) -> DataFrame:
-    """Rows of ``df`` whose ``key`` is in ``keys`` (a unique-key list).
+def keep_keys(df: DataFrame, keys: DataFrame, key: str, *, small: bool) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in ``keys``, each once however often the
+    key is listed: the same rows on either path.
 
     ``small`` (a proven size bound, ``Catalog.fits_broadcast``): a broadcast
     left-semi join, i.e. a map-side filter that Catalyst may push below
-    aggregates.  Otherwise:
-
-    * ``exact=True``: an inner join on the unique key, which Catalyst does NOT
-      push below a preceding aggregation - call it after pre-aggregating
-      ``df``, so only aggregated rows are shuffled and a hot key never sends
-      its raw rows to one task;
-    * ``exact=False``: ``df`` unchanged, for callers that later join the
-      result to the key owner anyway (which restricts it after aggregation):
-      the filter would only have saved work, and with a large key list it
-      would cost a shuffle instead.
+    aggregates.  Otherwise an inner join on the distinct keys, which Catalyst
+    does NOT push below a preceding aggregation - call it after
+    pre-aggregating ``df``, so only aggregated rows are shuffled and a hot key
+    never sends its raw rows to one task.
     """
     keys = keys.select(key)
     if small:
         return df.join(F.broadcast(keys), on=key, how="left_semi")
-    return df.join(keys, on=key, how="inner") if exact else df
+    return df.join(keys.distinct(), on=key, how="inner")
 
 
 def attach(df: DataFrame, measures: DataFrame, on: str | Sequence[str],

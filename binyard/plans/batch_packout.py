@@ -9,14 +9,11 @@ Current branch plan:
 * header: batch table filtered on the raw season code (pushed to the scan),
   the presize-input flag and a present WasteOtherKgs; lookups attached.
 * juice: bin deliveries of the juice product, summed per output batch.
-* pallet measures, ONE pass over pallets: pallets joined to their product /
-  grade / pool and to export bins pre-aggregated per pallet (count of rows,
-  in-season weight).  Conditional sums then give
+* pallet measures, from two season-filtered fact streams:
   - sampleKgs: in-season sample pallets, units x net weight;
   - looseKgs: in-season weighed-pool pallets with no export-bin row
     (the reference's "left join, ExportBinDetailID IS NULL"), units x net
     weight, plus the in-season export-bin weight of every pallet.
-  The reference scans pallets three times for these.
 * bins tipped: bin usage in season, summed per batch, 0 for an all-NULL batch.
 
 All per-batch frames are aggregated on GraderBatchID, so the joins to the
@@ -73,31 +70,34 @@ def _header_lookups(hdr: DataFrame, cat: Catalog, gen: str) -> DataFrame:
 
 def pallet_measures(cat: Catalog, seasons: Iterable[int],
                     config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Per batch: sampleKgs (SQL sum) and looseKgs (R na.rm sum) - one pass."""
+    """Per batch: sampleKgs (SQL sum) and looseKgs (R na.rm sum).
+
+    The season band is a filter of both fact scans: pallets of the season
+    (with an existence test against the export keys) and export rows of the
+    season.  Only the two key columns of pallets are read without it, for
+    export rows of the season on pallets of any season (T10)."""
     t = _t(cat, CURRENT)
-    exports = (t("ma_Export_Bin_DetailT")
-               .groupBy("PalletDetailID")
-               .agg(F.count(F.lit(1)).alias("_n_export"),
-                    server_sum(F.when(timestamp_season_filter("CreatedDateTime", seasons, config),
-                                      F.col("KGWeight"))).alias("_export_kg")))
-    p = t("ma_Pallet_DetailT").select("PalletDetailID", "GraderBatchID", "ProductID",
-                                      "NoOfUnits", "CreatedDateTime")
+    in_season = timestamp_season_filter("CreatedDateTime", seasons, config)
+    exports, pallets = t("ma_Export_Bin_DetailT"), t("ma_Pallet_DetailT")
+    exported = exports.select("PalletDetailID").distinct().withColumn("_exported", F.lit(True))
+    # Units are summed per (batch, product) before the product lookup: the net
+    # weight is one per product, and a hot product is one row per batch.
+    p = attach(pallets.filter(in_season), exported, "PalletDetailID")
+    p = (p.groupBy("GraderBatchID", "ProductID", F.col("_exported").isNull().alias("_loose"))
+         .agg(F.sum(F.col("NoOfUnits").cast("double")).alias("_units")))
     p = lookup(p, pallet_product(cat), "ProductID",
                ["NetFruitWeight", "SampleFlag", "GradeDesc", "PoolByRule"])
-    p = attach(p, exports, "PalletDetailID")
-    in_season = timestamp_season_filter("CreatedDateTime", seasons, config)
-    weight = F.col("NoOfUnits") * F.col("NetFruitWeight")
-    is_sample = in_season & F.col("SampleFlag")
-    is_loose = (in_season & F.col("_n_export").isNull()
-                & (F.col("PoolByRule") == C.POOL_BY_WEIGHT)
+    weight = F.col("_units") * F.col("NetFruitWeight")
+    is_loose = (F.col("_loose") & (F.col("PoolByRule") == C.POOL_BY_WEIGHT)
                 & (F.col("GradeDesc") != C.EXCLUDED_LOOSE_GRADE))
-    # A pallet with export rows is never "loose by units", so at most one of
-    # the two loose terms is non-NULL per pallet row.
-    loose = F.coalesce(F.when(is_loose, weight), F.col("_export_kg"))
-    return (p.filter(in_season | F.col("_export_kg").isNotNull())
-            .groupBy("GraderBatchID")
-            .agg(server_sum(F.when(is_sample, weight)).alias("sampleKgs"),
-                 sum_or_zero(loose).alias("looseKgs")))
+    by_units = p.select("GraderBatchID", F.when(F.col("SampleFlag"), weight).alias("_sample"),
+                        F.when(is_loose, weight).alias("_kg"))
+    weighed = (exports.filter(in_season).groupBy("PalletDetailID")
+               .agg(server_sum("KGWeight").alias("_kg")).filter(F.col("_kg").isNotNull()))
+    by_weight = (weighed.join(pallets.select("PalletDetailID", "GraderBatchID"), "PalletDetailID", "inner")
+                 .select("GraderBatchID", F.lit(None).cast("double").alias("_sample"), "_kg"))
+    return (by_units.unionByName(by_weight).groupBy("GraderBatchID")
+            .agg(server_sum("_sample").alias("sampleKgs"), sum_or_zero("_kg").alias("looseKgs")))
 
 
 def _current(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
@@ -152,11 +152,10 @@ def _legacy(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
     # left join restricts it, so a hot batch is never shuffled as raw rows.
     usage = t("ma_Bin_UsageT").filter(F.col("GraderBatchID").isNotNull())
     ids = batches.select("GraderBatchID")
-    usage = keep_keys(usage, ids, "GraderBatchID", exact=False,
-                      small=cat.fits_broadcast(ids, ("legacy_batch_ids", tuple(sorted(seasons))),
-                                               cat.row_bound(LEGACY, "ma_Grader_BatchT")))
     bins = (usage.groupBy("GraderBatchID")
             .agg(F.max("BinID").alias("BinID"), server_sum("BinQty").alias("BinQty")))
+    bins = keep_keys(bins, ids, "GraderBatchID",
+                     small=cat.fits_broadcast(ids, cat.row_bound(LEGACY, "ma_Grader_BatchT")))
     bins = lookup(bins, t("ma_BinT"), "BinID", ["HarvestDate", "BlockID", "StorageTypeID", "ESPID"])
     bins = lookup(bins, place(cat, LEGACY), "BlockID",
                   ["BlockCode", "BlockName", "SubdivisionCode", "SubdivisionDesc"])

@@ -215,7 +215,7 @@ PACK_SEASONS = [2020, 2021, 2022]
 
 def prefix_pack_split(cat):
     """2.7: pack split by code prefix without a pivot (all current seasons)."""
-    return tube_split(cat, C.TIMESTAMP_SEASONS)
+    return tube_split(cat, sorted(C.CURRENT_SEASON_CODES.values()))
 
 
 def union_generations(cat):
@@ -258,7 +258,10 @@ def safe_ratio(cat):
 def _int_text():
     k = F.col("GraderBatchID")
     m = k % 4
-    return (F.when(m == 0, k.cast("string"))
+    return (F.when(k % 20 == 2, F.concat(k.cast("string"), F.lit("d")))
+            .when(k % 20 == 6, F.concat(k.cast("string"), F.lit("F")))
+            .when(k % 20 == 10, F.concat(F.lit(" "), k.cast("string"), F.lit(" ")))
+            .when(m == 0, k.cast("string"))
             .when(m == 1, F.concat(k.cast("string"), F.lit(".7")))
             .when(m == 2, F.concat(F.lit("abc"), k.cast("string")))
             .otherwise((k * 1000000).cast("string")))
@@ -316,7 +319,10 @@ def _sql_sample_sizes():
 
 def _sql_int_text():
     k = "GraderBatchID"
-    return (f"CASE WHEN {k} % 4 = 0 THEN CAST({k} AS VARCHAR) "
+    return (f"CASE WHEN {k} % 20 = 2 THEN CAST({k} AS VARCHAR) || 'd' "
+            f"WHEN {k} % 20 = 6 THEN CAST({k} AS VARCHAR) || 'F' "
+            f"WHEN {k} % 20 = 10 THEN ' ' || CAST({k} AS VARCHAR) || ' ' "
+            f"WHEN {k} % 4 = 0 THEN CAST({k} AS VARCHAR) "
             f"WHEN {k} % 4 = 1 THEN CAST({k} AS VARCHAR) || '.7' "
             f"WHEN {k} % 4 = 2 THEN 'abc' || CAST({k} AS VARCHAR) "
             f"ELSE CAST({k} * 1000000 AS VARCHAR) END")
@@ -373,7 +379,7 @@ _SQL = {
       FROM (SELECT GraderBatchID, max(BinID) AS BinID, sum(BinQty) AS BinQty
             FROM leg_ma_Bin_UsageT WHERE GraderBatchID IS NOT NULL GROUP BY GraderBatchID) u
       LEFT JOIN leg_ma_BinT b ON u.BinID = b.BinID""",
-    "prefix_pack_split": lambda: O.tube_split_sql(C.TIMESTAMP_SEASONS),
+    "prefix_pack_split": lambda: O.tube_split_sql(sorted(C.CURRENT_SEASON_CODES.values())),
     "union_generations": _sql_union_generations,
     "normalise_owner": lambda: f"""SELECT b.GraderBatchID, c.CompanyName AS rawOwner,
         {O.norm_owner('c.CompanyName')} AS owner

@@ -50,14 +50,15 @@ def _wanted_assessments(cat: Catalog, gen: str, seasons, config: ReportConfig) -
 def defect_partials(cat: Catalog, gen: str, seasons,
                     config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
     """(Season, GraderBatchID, Defect) with partial sum, non-NULL and row counts."""
-    per_pair = (cat.table(gen, "qa_Assessment_DefectT")
-                .groupBy("AssessmentID", "DefectID")
-                .agg(F.sum("DefectQty").alias("_sum"),
-                     F.count("DefectQty").alias("_nonnull"),
-                     F.count(F.lit(1)).alias("_rows")))
     a = _wanted_assessments(cat, gen, seasons, config).select("AssessmentID", "GraderBatchID",
                                                               "Season")
-    d = per_pair.join(a, "AssessmentID", "inner")
+    # The wanted assessments restrict the raw rows in one exchange (a hot
+    # assessment is split by AQE); sums are partial before the next one.
+    d = (cat.table(gen, "qa_Assessment_DefectT").join(a, "AssessmentID", "inner")
+         .groupBy("Season", "GraderBatchID", "DefectID")
+         .agg(F.sum("DefectQty").alias("_sum"),
+              F.count("DefectQty").alias("_nonnull"),
+              F.count(F.lit(1)).alias("_rows")))
     d = lookup(d, cat.dim(gen, "qa_DefectT"), "DefectID", ["Defect"])
     return d.select("Season", "GraderBatchID", "Defect", "_sum", "_nonnull", "_rows")
 

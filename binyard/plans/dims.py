@@ -36,8 +36,7 @@ def place(cat: Catalog, gen: str) -> DataFrame:
                                                 "SubdivisionID")
     b = lookup(b, cat.dim(gen, "sw_SubdivisionT"), "SubdivisionID",
                ["SubdivisionCode", "SubdivisionDesc"])
-    return cat.broadcast_if_small(b.drop("SubdivisionID"), ("place", gen),
-                                  cat.row_bound(gen, "sw_Farm_BlockT"))
+    return cat.broadcast_if_small(b.drop("SubdivisionID"), cat.row_bound(gen, "sw_Farm_BlockT"))
 
 
 def farm_with_owner(cat: Catalog, gen: str) -> DataFrame:
@@ -45,8 +44,7 @@ def farm_with_owner(cat: Catalog, gen: str) -> DataFrame:
     f = cat.table(gen, "sw_FarmT").select("FarmID", "FarmCode", "FarmName", "GrowerCompanyID")
     f = lookup(f, cat.table(gen, "sw_CompanyT"), ("GrowerCompanyID", "CompanyID"),
                ["CompanyName"], rename={"CompanyName": "owner"})
-    return cat.broadcast_if_small(f.drop("GrowerCompanyID"), ("farm_with_owner", gen),
-                                  cat.row_bound(gen, "sw_FarmT"))
+    return cat.broadcast_if_small(f.drop("GrowerCompanyID"), cat.row_bound(gen, "sw_FarmT"))
 
 
 def pallet_product(cat: Catalog) -> DataFrame:
@@ -55,8 +53,7 @@ def pallet_product(cat: Catalog) -> DataFrame:
                                                  "GradeID")
     p = lookup(p, cat.dim(CURRENT, "sw_GradeT"), "GradeID", ["GradeDesc", "PoolTypeID"])
     p = lookup(p, cat.dim(CURRENT, "sys_fi_Pool_TypeT"), "PoolTypeID", ["PoolByRule"])
-    return cat.broadcast_if_small(p.drop("GradeID", "PoolTypeID"), "pallet_product",
-                                  cat.row_bound(CURRENT, "sw_ProductT"))
+    return cat.broadcast_if_small(p.drop("GradeID", "PoolTypeID"), cat.row_bound(CURRENT, "sw_ProductT"))
 
 
 def tube_product(cat: Catalog) -> DataFrame:
@@ -79,7 +76,7 @@ def tube_product(cat: Catalog) -> DataFrame:
                     r_number_text("FruitPerTube"), r_number_text("TubeDiameter"),
                     F.col("SizeCode"))
     return cat.broadcast_if_small(
-        p.select("ProductID", code.alias("code"), "TubesPerCarton", "RTEConversion"), "tube_product",
+        p.select("ProductID", code.alias("code"), "TubesPerCarton", "RTEConversion"),
         cat.row_bound(CURRENT, "sw_ProductT"))
 
 
@@ -91,12 +88,11 @@ def presize_product(cat: Catalog) -> DataFrame:
     p = lookup(p, cat.dim(CURRENT, "sw_GradeT"), "GradeID", ["JuiceFlag"])
     return cat.broadcast_if_small(
         p.filter(~F.col("JuiceFlag")).select("ProductID", "PresizeAvgTubeWeight", "RTEConversion"),
-        "presize_product", cat.row_bound(CURRENT, "sw_ProductT"))
+        cat.row_bound(CURRENT, "sw_ProductT"))
 
 
 def carton_product(cat: Catalog) -> DataFrame:
     """ProductID -> TubesPerCarton, RTEConversion (repacked cartons)."""
     p = cat.table(CURRENT, "sw_ProductT").select("ProductID", "TubesPerCarton", "TubeTypeID")
     p = lookup(p, cat.dim(CURRENT, "sw_Tube_TypeT"), "TubeTypeID", ["RTEConversion"])
-    return cat.broadcast_if_small(p.drop("TubeTypeID"), "carton_product",
-                                  cat.row_bound(CURRENT, "sw_ProductT"))
+    return cat.broadcast_if_small(p.drop("TubeTypeID"), cat.row_bound(CURRENT, "sw_ProductT"))

@@ -235,7 +235,7 @@ def season_case(col: str, gen: str) -> str:
 def ts_season(col: str) -> str:
     whens = " ".join(
         f"WHEN {col} >= TIMESTAMP '{y}-01-01 00:00:00' AND {col} < TIMESTAMP '{y + 1}-01-01 00:00:00'"
-        f" THEN {y}" for y in C.TIMESTAMP_SEASONS)
+        f" THEN {y}" for y in sorted(C.CURRENT_SEASON_CODES.values()))
     return f"CASE {whens} END"
 
 

@@ -58,11 +58,10 @@ def season_batch_ids(cat: Catalog, seasons) -> tuple[DataFrame, bool]:
     """Batch ids of the requested seasons and whether they provably fit a
     broadcast (see ``operators.joins.keep_keys``)."""
     ids = season_batches(cat, seasons).select("GraderBatchID")
-    return ids, cat.fits_broadcast(ids, ("season_batch_ids", tuple(sorted(seasons))),
-                                   cat.row_bound(CURRENT, "ma_Grader_BatchT"))
+    return ids, cat.fits_broadcast(ids, cat.row_bound(CURRENT, "ma_Grader_BatchT"))
 
 
-def tube_rows(cat: Catalog, seasons, exact: bool = True) -> DataFrame:
+def tube_rows(cat: Catalog, seasons) -> DataFrame:
     """(GraderBatchID, code, units) per batch and product in season.
 
     Pallet units are summed per (batch, product) first - map-side, before any
@@ -76,17 +75,15 @@ def tube_rows(cat: Catalog, seasons, exact: bool = True) -> DataFrame:
          .groupBy("GraderBatchID", "ProductID")
          .agg(F.sum(F.col("NoOfUnits").cast("double")).alias("NoOfUnits")))
     ids, small = season_batch_ids(cat, seasons)
-    p = keep_keys(p, ids, "GraderBatchID", small=small, exact=exact)
+    p = keep_keys(p, ids, "GraderBatchID", small=small)
     p = p.join(tube_product(cat), "ProductID", "inner")
     units = F.col("NoOfUnits") * F.col("TubesPerCarton") * F.col("RTEConversion")
     return p.select("GraderBatchID", "code", units.alias("units"))
 
 
-def tube_split(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG,
-               exact: bool = True) -> DataFrame:
-    """Pack split per batch of the requested seasons.  ``exact=False`` may keep
-    other batches too, for a caller that joins the result to its batch list."""
-    return pack_split(tube_rows(cat, seasons, exact), "GraderBatchID", "code", "units",
+def tube_split(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Pack split per batch of the requested seasons."""
+    return pack_split(tube_rows(cat, seasons), "GraderBatchID", "code", "units",
                       export_prefix=C.EXPORT_BIN_PREFIX, japan_prefix=C.JAPAN_TRAY_PREFIX,
                       tempz_prefix=C.TEMPZ_PREFIX, tempz_first_key=config.tempz_first_batch_id)
 
@@ -117,19 +114,21 @@ def presize_units(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG,
         return per_batch
     ids = t("ma_Grader_BatchT").select("GraderBatchID")
     return keep_keys(per_batch, ids, "GraderBatchID",
-                     small=cat.fits_broadcast(ids, "all_batch_ids",
-                                              cat.row_bound(CURRENT, "ma_Grader_BatchT")))
+                     small=cat.fits_broadcast(ids, cat.row_bound(CURRENT, "ma_Grader_BatchT")))
 
 
-def repack_units(cat: Catalog, seasons, exact: bool = True) -> DataFrame:
+def repack_units(cat: Catalog, seasons) -> DataFrame:
     t = lambda n: cat.table(CURRENT, n)
+    # The factors are one per pallet, so cartons are counted per pallet: one
+    # exchange serves the count and the join.
     cartons = (t("ma_Repack_Input_CartonT")
-               .groupBy("FromPalletDetailID", "RepackID")
+               .groupBy("FromPalletDetailID")
                .agg(F.count(F.lit(1)).alias("RepackedNoOfUnits")))
     r = lookup(cartons, t("ma_Pallet_DetailT"), ("FromPalletDetailID", "PalletDetailID"),
                ["GraderBatchID", "ProductID"], how="inner")
+    r = r.groupBy("GraderBatchID", "ProductID").agg(F.sum("RepackedNoOfUnits").alias("RepackedNoOfUnits"))
     ids, small = season_batch_ids(cat, seasons)
-    r = keep_keys(r, ids, "GraderBatchID", small=small, exact=exact)
+    r = keep_keys(r, ids, "GraderBatchID", small=small)
     r = lookup(r, carton_product(cat), "ProductID", ["TubesPerCarton", "RTEConversion"])
     units = (F.col("RepackedNoOfUnits").cast("double") * F.col("TubesPerCarton")
              * F.col("RTEConversion"))
@@ -143,11 +142,10 @@ def pack_units(cat: Catalog, seasons: Iterable[int],
     hdr = lookup(hdr, cat.table(CURRENT, "sw_FarmT"), "FarmID", ["FarmName"])
     hdr = lookup(hdr, cat.table(CURRENT, "sw_Farm_BlockT"), "BlockID", ["BlockName"])
     # Every measure is left-joined to the season's batches below, which
-    # restricts it; the measures' own batch filters only save work
-    # (exact=False: skipped when the batch list is too big to broadcast).
-    out = attach(hdr, tube_split(cat, seasons, config, exact=False), "GraderBatchID")
+    # restricts it; the measures' own batch filters save work.
+    out = attach(hdr, tube_split(cat, seasons, config), "GraderBatchID")
     out = attach(out, presize_units(cat, seasons, config, exact=False), "GraderBatchID")
-    out = attach(out, repack_units(cat, seasons, exact=False), "GraderBatchID")
+    out = attach(out, repack_units(cat, seasons), "GraderBatchID")
     out = (out.withColumn("PSgrowerRTEs", fill_zero("PSgrowerRTEs"))
               .withColumn("repackRTEs", fill_zero("repackRTEs")))
     total = (F.col("tubePacks") + F.col("exportBins") + F.col("japanTrayPacks")

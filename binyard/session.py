@@ -26,9 +26,11 @@ DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "binyard",
+def build_session(master: str | None = None, app: str = "binyard",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+    b = SparkSession.builder.appName(app)
+    if master:  # else whatever the submit names
+        b = b.master(master)
     for k, v in {**DEFAULTS, **(extra or {})}.items():
         b = b.config(k, v)
     if shuffle_partitions:
@@ -47,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = configured or tempfile.mkdtemp(prefix="binyard-ckpt-",
                                           dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)

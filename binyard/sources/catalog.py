@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+import pyarrow.dataset as ds
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,9 +66,9 @@ def local_table(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
     return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({', '.join(names)})")
 
 
-# Row width per type as Spark's size estimates count it (string: 20 bytes).
+# Row width per type; texts of the ERP's code and name columns stay below 64 bytes.
 _WIDTHS = {T.LongType: 8, T.DoubleType: 8, T.IntegerType: 4, T.DateType: 4, T.BooleanType: 1,
-           T.TimestampNTZType: 8, T.StringType: 20}
+           T.TimestampNTZType: 8, T.StringType: 64}
 _UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30,
           "gb": 1 << 30}
 
@@ -105,20 +106,13 @@ class Catalog:
 
     def broadcast_ok(self, generation: str, name: str) -> bool:
         """Size check before a broadcast hint: the table must be a declared code
-        list AND hold at most ``broadcast_row_limit`` rows.  The check is a
-        ``LIMIT n+1`` count (reads at most n+1 rows), run once per table and
-        catalog.  JDBC sources carry no statistics, so without this check a
-        code list read over JDBC would never be broadcast."""
+        list AND be known, without a Spark job, to hold at most
+        ``broadcast_row_limit`` rows (``row_bound``).  Where no bound is known
+        Spark decides from its own sizes."""
         if not self.is_bounded(name):
             return False
-        verdicts = self.__dict__.setdefault("_broadcast_ok", {})
-        key = (generation, name)
-        if key not in verdicts:
-            n = self.broadcast_row_limit
-            known = self.known_rows().get(key)
-            verdicts[key] = (known <= n if known is not None
-                             else self.table(generation, name).limit(n + 1).count() <= n)
-        return verdicts[key]
+        rows = self.row_bound(generation, name)
+        return rows is not None and rows <= self.broadcast_row_limit
 
     def known_rows(self) -> dict:
         """Exact row counts a catalog knows without reading (e.g. literal code
@@ -130,34 +124,25 @@ class Catalog:
         job (e.g. from file metadata); None when unknown."""
         return self.known_rows().get((generation, name))
 
-    def fits_broadcast(self, df: DataFrame, key, upper_rows: int | None = None) -> bool:
-        """Proven size bound for broadcasting a derived frame: at most
-        ``threshold / row width`` rows, where threshold is the session's
-        ``spark.sql.autoBroadcastJoinThreshold`` and the row width comes from
-        the schema.  Checked with a ``LIMIT n+1`` count once per ``key`` and
-        catalog.  Needed because without CBO Spark estimates a join's output
-        as the product of its inputs, so a flattened dimension or a filtered
-        key list would never be broadcast automatically.  ``upper_rows``, a
-        known upper bound on the rows (e.g. the base table of a flattened
-        dimension whose lookups join on unique keys), replaces the count."""
-        verdicts = self.__dict__.setdefault("_small", {})
-        if key not in verdicts:
-            threshold = _bytes(self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold",
-                                                   "10485760"))
-            width = sum(_WIDTHS.get(type(f.dataType), 20) for f in df.schema.fields) or 1
-            n = threshold // width
-            if n <= 0:
-                verdicts[key] = False
-            elif upper_rows is not None and upper_rows <= n:
-                verdicts[key] = True
-            else:
-                verdicts[key] = df.limit(n + 1).count() <= n
-        return verdicts[key]
-
-    def broadcast_if_small(self, df: DataFrame, key, upper_rows: int | None = None) -> DataFrame:
+    def fits_broadcast(self, df: DataFrame, upper_rows: int | None) -> bool:
+        """Proven size bound for broadcasting a derived frame: ``upper_rows``,
+        a known upper bound on its rows (e.g. the base table of a flattened
+        dimension whose lookups join on unique keys), times the row width of
+        its schema stays under ``spark.sql.autoBroadcastJoinThreshold``.
+        Needed because without CBO Spark estimates a join's output as the
+        product of its inputs, so a flattened dimension or a filtered key list
+        would never be broadcast automatically.  Without a bound the answer is
+        no, and Spark plans by its own sizes; no job is ever started."""
+        if upper_rows is None:
+            return False
+        threshold = _bytes(self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+        width = sum(_WIDTHS.get(type(f.dataType), 64) for f in df.schema.fields) or 1
+        return upper_rows * width <= threshold
+
+    def broadcast_if_small(self, df: DataFrame, upper_rows: int | None) -> DataFrame:
         """``df`` with a broadcast hint if ``fits_broadcast``; else unchanged
         (Spark then plans a shuffle join)."""
-        return F.broadcast(df) if self.fits_broadcast(df, key, upper_rows) else df
+        return F.broadcast(df) if self.fits_broadcast(df, upper_rows) else df
 
     def dim(self, generation: str, name: str) -> DataFrame:
         """A lookup table, broadcast-hinted only when ``broadcast_ok``; otherwise
@@ -176,6 +161,18 @@ class ParquetCatalog(Catalog):
         # column such as SeasonID comes back last, as discovered).
         return self.spark.read.parquet(f"{self.root}/{generation}/{name}")
 
+    def row_bound(self, generation, name):
+        """The rows by the table's Parquet footers, read once by the driver (no
+        Spark job); None where the path is one that only Spark can read."""
+        cache = self.__dict__.setdefault("_rows", {})
+        key = (generation, name)
+        if key not in cache:
+            try:
+                cache[key] = ds.dataset(f"{self.root}/{generation}/{name}", format="parquet").count_rows()
+            except (OSError, ValueError):
+                cache[key] = None
+        return cache[key]
+
 
 class JdbcCatalog(Catalog):
     """One JDBC source per generation: ``options[generation]`` holds the
@@ -195,14 +192,20 @@ class JdbcCatalog(Catalog):
     """
 
     def __init__(self, spark: SparkSession, options: Mapping[str, Mapping[str, str]],
-                 partitioning: Mapping | None = None):
-        self.spark, self.options = spark, options
+                 partitioning: Mapping | None = None, rows: Mapping | None = None):
+        """``rows``: upper bounds on tables' rows, keyed by (generation, name),
+        which prove that a broadcast fits."""
+        self.spark, self.options, self.rows = spark, options, dict(rows or {})
         self.partitioning = dict(partitioning or {})
 
+    def known_rows(self) -> dict:
+        return self.rows
+
     def read_plan(self, generation: str, name: str) -> dict:
         """Reader options for one table (exposed for inspection and tests)."""
         part = self.partitioning.get((generation, name), self.partitioning.get(name, {}))
-        opts = {**self.options[generation], "dbtable": name}
+        # the ERP's timestamps are wall-clock: never shifted by a zone
+        opts = {"preferTimestampNTZ": "true", **self.options[generation], "dbtable": name}
         opts.update({k: str(v) for k, v in part.items() if k != "predicates"})
         return {"options": opts, "predicates": list(part.get("predicates", []))}
 

@@ -10,21 +10,42 @@ by ``SeasonID``: the reports' inverted season filter then prunes directories
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from binyard.sources.catalog import Catalog, ParquetCatalog
 from binyard.sources.schemas import SCHEMAS
 
 
+SEASON_COLUMNS = ("Season", "SeasonDesc")
+
+
 def write_report(df: DataFrame, path: str, mode: str = "overwrite",
-                 partition_col: str | None = "Season", fmt: str = "parquet") -> None:
-    """Write a report partitioned by season.  Overwrites are dynamic: a run
-    for some seasons replaces only those seasons' directories, so reports can
-    be refreshed season by season without rewriting history."""
-    w = df.write.mode(mode).format(fmt)
-    if partition_col and partition_col in df.columns:
-        w = w.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic")
-    w.save(path)
+                 partition_col: str | None = None, fmt: str = "parquet",
+                 seasons: Iterable[int] | None = None) -> None:
+    """Write a report partitioned by its season column (``Season``;
+    ``SeasonDesc`` for pack units).  Overwrites are dynamic: a run replaces
+    only the seasons that it has rows of.  Pass the requested ``seasons`` so
+    that one which has become empty is cleared too.
+
+    Pack-out and defect share take fact seasons from the facts' own times, so
+    a batch's figures depend on the set of seasons asked for together (T10):
+    always ask for, and refresh, the same set."""
+    if partition_col is None:
+        partition_col = next((c for c in SEASON_COLUMNS if c in df.columns), None)
+    if partition_col not in df.columns:
+        raise ValueError(f"the report has no season column to partition by: {df.columns}")
+    seen = Observation()
+    df = df.observe(seen, F.collect_set(F.col(partition_col).cast("string")).alias("seasons"))
+    (df.write.mode(mode).format(fmt).partitionBy(partition_col)
+     .option("partitionOverwriteMode", "dynamic").save(path))
+    if seasons is not None and mode == "overwrite":
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for season in sorted({str(s) for s in seasons} - set(seen.get["seasons"] or [])):
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={season}")
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def write_catalog(cat: Catalog, root: str, partition_col: str = "SeasonID",

@@ -27,14 +27,12 @@ def test_size_units():
     assert _bytes("-1") == -1 and _bytes("1g") == 1 << 30
 
 
-def test_fits_broadcast_is_checked_once_per_key(spark):
-    calls = []
+def test_fits_broadcast_needs_a_known_bound(spark):
     df = spark.range(10).withColumnRenamed("id", "k")
     cat = FrameCatalog(spark, {})
-    assert cat.fits_broadcast(df, "k10")
-    cat._small["k10"] = False                   # a cached verdict is reused, not recounted
-    calls.append(cat.fits_broadcast(df, "k10"))
-    assert calls == [False]
+    assert cat.fits_broadcast(df, 10)
+    assert not cat.fits_broadcast(df, None)     # unknown: left to Spark's own sizes
+    assert not cat.fits_broadcast(df, 10**9)    # a grown bound changes the verdict
 
 
 def test_local_table_literals(spark):
@@ -52,7 +50,6 @@ def test_known_row_counts_prove_code_list_sizes(spark):
     assert cat.known_rows()[("current", "sw_GradeT")] == 6
     assert cat.broadcast_ok("current", "sw_GradeT")
     cat.broadcast_row_limit = 5
-    cat._broadcast_ok.clear()
     assert not cat.broadcast_ok("current", "sw_GradeT")      # 6 rows > 5: no hint
 
 
@@ -64,8 +61,7 @@ def test_row_counts_from_metadata_bound_flattened_dimensions(spark):
     assert cat.row_bound("current", "ma_Pallet_DetailT") is None  # aggregated: unknown
     assert cat.row_bound("legacy", "ma_Grader_BatchT") == 1500    # orders bound a split
     df = spark.range(10)
-    assert cat.fits_broadcast(df, "bounded", upper_rows=10)       # proof without a count
-    assert "bounded" in cat._small
+    assert cat.fits_broadcast(df, 10)                             # proof without a count
 
 
 class _FakeReader:
@@ -110,9 +106,9 @@ def test_jdbc_load_issues_partitioned_reads():
                                                           "numPartitions": 3}})
     cat._load("current", "ma_Bin_UsageT")
     assert fake.log[-1] == ("jdbc", "jdbc:x://h/db", "ma_Bin_UsageT", ["SeasonID = 6"],
-                            {"user": "u"})
+                            {"user": "u", "preferTimestampNTZ": "true"})
     cat._load("current", "ma_Pallet_DetailT")
-    assert fake.log[-1] == ("load", {"url": "jdbc:x://h/db", "user": "u",
+    assert fake.log[-1] == ("load", {"url": "jdbc:x://h/db", "user": "u", "preferTimestampNTZ": "true",
                                      "dbtable": "ma_Pallet_DetailT",
                                      "partitionColumn": "PalletDetailID", "lowerBound": "1",
                                      "upperBound": "9", "numPartitions": "3"})

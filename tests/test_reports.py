@@ -167,6 +167,15 @@ def test_write_report_partitions_by_season(spark, tmp_path):
     again = spark.read.parquet(out)
     assert again.count() == df.count()                    # 2018 kept, 2021 replaced
     assert sorted(r.Season for r in again.select("Season").distinct().collect()) == [2018, 2021]
+    write_report(bin_intake(fixtures.bins(spark), [2021]).filter("Season < 0"), out, seasons=[2021])
+    assert [r.Season for r in spark.read.parquet(out).select("Season").distinct().collect()] == [2018]
+    packs = spark.createDataFrame([("2020", 1), ("2021", 2)], "SeasonDesc string, n int")
+    out = str(tmp_path / "pack_units")
+    for desc in ("2020", "2021"):
+        write_report(packs.filter(packs.SeasonDesc == desc), out)
+    assert spark.read.parquet(out).count() == 2           # the second season did not replace the first
+    with pytest.raises(ValueError):
+        write_report(packs.drop("SeasonDesc"), out)
 
 
 def test_season_map_is_configuration(spark):  # T15
@@ -178,6 +187,9 @@ def test_season_map_is_configuration(spark):  # T15
                                        CURRENT: {**C.CURRENT_SEASON_CODES, 10: 2024}})
     rows = batch_packout(cat, [2024], wider).collect()
     assert [(r.GraderBatchID, r.Season) for r in rows] == [(1, 2024)]
+    assert 2024 in wider.timestamp_seasons                         # the bands follow the map
+    with pytest.raises(ValueError):
+        ReportConfig(season_codes=wider.season_codes, timestamp_seasons=(2020, 2021, 2022, 2023))
 
 
 def test_pack_units_follows_the_season_lookup(spark):  # T15 asymmetry
