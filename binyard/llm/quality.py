@@ -164,9 +164,9 @@ def fit(texts: list[str], good: np.ndarray, fold: np.ndarray, rounds: int = 150,
 
 
 def _fit_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(frames), ignore_index=True)
-    if len(rows):
-        rows = rows.sort_values(["h", "quality"], ignore_index=True)
+    parts = [x for x in frames if len(x)]
+    if parts:
+        rows = pd.concat(parts, ignore_index=True).sort_values(["h", "quality"], ignore_index=True)
         model = fit(rows["text"].tolist(), rows["quality"].to_numpy() > 0, (rows["h"] % 5 == 0).to_numpy())
         if model is not None:
             yield pd.DataFrame({"w": [model["w"].astype(np.float64).tobytes()], "b": [model["b"]], "scale": [model["scale"]], "shift": [model["shift"]]})
