@@ -45,8 +45,8 @@ from binyard.llm import kernel
 from binyard.llm.common import crc_mod, ship
 from binyard.llm.ngram_trie import BigramTrie, EliasFano, restore
 
-BLOCK_BYTES = 8 << 20
-SHARD_TOKENS = 3_000_000
+BLOCK_BYTES = 5 << 20
+SHARD_TOKENS = 2_000_000
 #: A word with this share of all tokens or more is hot.
 HOT_SHARE = 1 / 1000
 
