@@ -68,6 +68,32 @@ def _header_lookups(hdr: DataFrame, cat: Catalog, gen: str) -> DataFrame:
     return lookup(hdr, D("sw_Pick_NoT"), "PickNoID", ["PickNo"])
 
 
+def juice_weight(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Per presize output batch: juiceKgs of the season's juice bins (SQL sum)."""
+    return (cat.table(CURRENT, "ma_Bin_DeliveryT")
+            .filter((F.col("PresizeProductID") == config.juice_product_id)
+                    & season_code_filter("SeasonID", seasons, CURRENT, config))
+            .groupBy(F.col("PresizeOutputFromGraderBatchID").alias("GraderBatchID"))
+            .agg(server_sum("TotalWeight").alias("juiceKgs")))
+
+
+def exported_rows(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    """(GraderBatchID, _kg): the season's export-bin weight of each pallet, a
+    pallet of any season (T10); pallets without a weight give no row."""
+    weighed = (cat.table(CURRENT, "ma_Export_Bin_DetailT")
+               .filter(timestamp_season_filter("CreatedDateTime", seasons, config))
+               .groupBy("PalletDetailID")
+               .agg(server_sum("KGWeight").alias("_kg")).filter(F.col("_kg").isNotNull()))
+    pallets = cat.table(CURRENT, "ma_Pallet_DetailT").select("PalletDetailID", "GraderBatchID")
+    return weighed.join(pallets, "PalletDetailID", "inner").select("GraderBatchID", "_kg")
+
+
+def export_weight(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Per batch with a weighed export bin in season: exportKgs."""
+    return (exported_rows(cat, seasons, config).groupBy("GraderBatchID")
+            .agg(server_sum("_kg").alias("exportKgs")))
+
+
 def pallet_measures(cat: Catalog, seasons: Iterable[int],
                     config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
     """Per batch: sampleKgs (SQL sum) and looseKgs (R na.rm sum).
@@ -92,10 +118,8 @@ def pallet_measures(cat: Catalog, seasons: Iterable[int],
                 & (F.col("GradeDesc") != C.EXCLUDED_LOOSE_GRADE))
     by_units = p.select("GraderBatchID", F.when(F.col("SampleFlag"), weight).alias("_sample"),
                         F.when(is_loose, weight).alias("_kg"))
-    weighed = (exports.filter(in_season).groupBy("PalletDetailID")
-               .agg(server_sum("KGWeight").alias("_kg")).filter(F.col("_kg").isNotNull()))
-    by_weight = (weighed.join(pallets.select("PalletDetailID", "GraderBatchID"), "PalletDetailID", "inner")
-                 .select("GraderBatchID", F.lit(None).cast("double").alias("_sample"), "_kg"))
+    by_weight = exported_rows(cat, seasons, config).select(
+        "GraderBatchID", F.lit(None).cast("double").alias("_sample"), "_kg")
     return (by_units.unionByName(by_weight).groupBy("GraderBatchID")
             .agg(server_sum("_sample").alias("sampleKgs"), sum_or_zero("_kg").alias("looseKgs")))
 
@@ -108,17 +132,12 @@ def _current(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
         & F.col("WasteOtherKgs").isNotNull() & ~F.isnan("WasteOtherKgs"))
     hdr = _header_lookups(hdr, cat, CURRENT)
 
-    juice = (t("ma_Bin_DeliveryT")
-             .filter((F.col("PresizeProductID") == config.juice_product_id)
-                     & season_code_filter("SeasonID", seasons, CURRENT, config))
-             .groupBy(F.col("PresizeOutputFromGraderBatchID").alias("GraderBatchID"))
-             .agg(server_sum("TotalWeight").alias("juiceKgs")))
     tipped = (t("ma_Bin_UsageT")
               .filter(timestamp_season_filter("CreatedDateTime", seasons, config))
               .groupBy("GraderBatchID")
               .agg(sum_or_zero("BinQty").alias("fieldBinsTipped")))
 
-    out = attach(attach(attach(hdr, juice, "GraderBatchID"),
+    out = attach(attach(attach(hdr, juice_weight(cat, seasons, config), "GraderBatchID"),
                         pallet_measures(cat, seasons, config), "GraderBatchID"),
                  tipped, "GraderBatchID")
     reject = (F.col("WasteOtherKgs") + fill_zero("juiceKgs") + fill_zero("sampleKgs")

@@ -28,10 +28,10 @@ from binyard.functions.semantics import (
 from binyard.operators.joins import anti, attach, lookup, semi
 from binyard.operators.unions import schema_columns, union_all
 from binyard.plans import oracle as O
-from binyard.plans.batch_packout import batch_packout
+from binyard.plans.batch_packout import batch_packout, export_weight, juice_weight, pallet_measures
 from binyard.plans.bin_intake import bin_intake
 from binyard.plans.defect_share import defect_share, sample_sizes
-from binyard.plans.pack_units import pack_units, tube_split
+from binyard.plans.pack_units import pack_units, presize_units, repack_units, tube_split
 from binyard.plans.schemas import BATCH_PACKOUT, BIN_INTAKE, DEFECT_SHARE, PACK_UNITS
 from binyard.sources.catalog import Catalog
 from binyard.sources.testdata import TestdataCatalog
@@ -290,6 +290,17 @@ def relabel_after_group(cat):
                                          C.RUSSET_LABEL).otherwise(F.col("Defect")))
 
 
+def sample_weight(cat):
+    """Sample kg per batch (SQL sum; batches without a weighed sample left out)."""
+    return (pallet_measures(cat, ALL_SEASONS).select("GraderBatchID", "sampleKgs")
+            .filter(F.col("sampleKgs").isNotNull()))
+
+
+def loose_weight(cat):
+    """F8/A4: loose kg of every batch with a pallet or a weighed export bin in season."""
+    return pallet_measures(cat, ALL_SEASONS).select("GraderBatchID", "looseKgs")
+
+
 _UNION_SCHEMA = _schema(("GraderBatchID", L), ("GraderBatchNo", S), ("Season", I),
                         ("PackDate", DT), ("InputKgs", D))
 
@@ -402,6 +413,65 @@ _SQL = {
       FROM (SELECT GraderBatchID, {_sql_int_text()} AS rawText FROM cur_ma_Grader_BatchT) s""",
     "storage_days": lambda: """SELECT GraderBatchID, CAST(PackDate - HarvestDate AS DOUBLE) AS storageDays
       FROM cur_ma_Grader_BatchT""",
+    "juice_weight": lambda: f"""SELECT PresizeOutputFromGraderBatchID AS GraderBatchID,
+        sum(TotalWeight) AS juiceKgs
+      FROM cur_ma_Bin_DeliveryT
+      WHERE PresizeProductID = {C.JUICE_PRODUCT_ID}
+        AND {O.season_case('SeasonID', CURRENT)} IN {O.in_list(ALL_SEASONS)}
+      GROUP BY 1""",
+    "sample_weight": lambda: f"""SELECT p.GraderBatchID, sum(p.NoOfUnits * pr.NetFruitWeight) AS sampleKgs
+      FROM cur_ma_Pallet_DetailT p JOIN cur_sw_ProductT pr ON p.ProductID = pr.ProductID
+      WHERE {O.ts_season('p.CreatedDateTime')} IN {O.in_list(ALL_SEASONS)} AND pr.SampleFlag
+      GROUP BY p.GraderBatchID HAVING sum(p.NoOfUnits * pr.NetFruitWeight) IS NOT NULL""",
+    "export_weight": lambda: f"""SELECT p.GraderBatchID, sum(e.KGWeight) AS exportKgs
+      FROM cur_ma_Export_Bin_DetailT e JOIN cur_ma_Pallet_DetailT p
+        ON e.PalletDetailID = p.PalletDetailID
+      WHERE {O.ts_season('e.CreatedDateTime')} IN {O.in_list(ALL_SEASONS)} AND e.KGWeight IS NOT NULL
+      GROUP BY p.GraderBatchID""",
+    "loose_weight": lambda: f"""SELECT GraderBatchID, coalesce(sum(kg), 0) AS looseKgs FROM (
+        SELECT p.GraderBatchID, CASE WHEN pt.PoolByRule = {O.q(C.POOL_BY_WEIGHT)}
+            AND g.GradeDesc <> {O.q(C.EXCLUDED_LOOSE_GRADE)}
+            AND NOT EXISTS (SELECT 1 FROM cur_ma_Export_Bin_DetailT x
+                            WHERE x.PalletDetailID = p.PalletDetailID)
+          THEN p.NoOfUnits * pr.NetFruitWeight END AS kg
+        FROM cur_ma_Pallet_DetailT p
+        LEFT JOIN cur_sw_ProductT pr ON p.ProductID = pr.ProductID
+        LEFT JOIN cur_sw_GradeT g ON pr.GradeID = g.GradeID
+        LEFT JOIN cur_sys_fi_Pool_TypeT pt ON g.PoolTypeID = pt.PoolTypeID
+        WHERE {O.ts_season('p.CreatedDateTime')} IN {O.in_list(ALL_SEASONS)}
+        UNION ALL
+        SELECT p.GraderBatchID, e.KGWeight AS kg
+        FROM cur_ma_Export_Bin_DetailT e JOIN cur_ma_Pallet_DetailT p
+          ON e.PalletDetailID = p.PalletDetailID
+        WHERE {O.ts_season('e.CreatedDateTime')} IN {O.in_list(ALL_SEASONS)}
+          AND e.KGWeight IS NOT NULL) u
+      GROUP BY GraderBatchID""",
+    "presize_units": lambda: f"""SELECT GraderBatchID,
+        round_even(CASE WHEN count(v) = count(*) THEN sum(v) END, 0) AS PSgrowerRTEs
+      FROM (SELECT bd.PresizeOutputFromGraderBatchID AS GraderBatchID,
+                   bd.TotalWeight / tt.PresizeAvgTubeWeight * tt.RTEConversion AS v
+            FROM cur_ma_Bin_DeliveryT bd
+            JOIN cur_sw_SeasonT se ON bd.SeasonID = se.SeasonID
+            JOIN cur_sw_ProductT pr ON bd.PresizeProductID = pr.ProductID
+            JOIN cur_sw_GradeT g ON pr.GradeID = g.GradeID
+            LEFT JOIN cur_sw_Tube_TypeT tt ON pr.TubeTypeID = tt.TubeTypeID
+            WHERE bd.PresizeFlag AND NOT g.JuiceFlag
+              AND se.SeasonDesc IN {O.in_list([str(x) for x in PACK_SEASONS])}
+              AND (bd.TotalWeight IS NOT NULL
+                   OR bd.PresizeProductID <> {C.PRESIZE_SKIP_NULL_WEIGHT_PRODUCT_ID})
+              AND bd.PresizeOutputFromGraderBatchID IN
+                (SELECT GraderBatchID FROM cur_ma_Grader_BatchT)) s
+      GROUP BY GraderBatchID""",
+    "repack_units": lambda: f"""SELECT p.GraderBatchID,
+        round_even(coalesce(sum(CAST(pr.TubesPerCarton AS DOUBLE) * tt.RTEConversion), 0), 0) AS repackRTEs
+      FROM cur_ma_Repack_Input_CartonT r
+      JOIN cur_ma_Pallet_DetailT p ON r.FromPalletDetailID = p.PalletDetailID
+      JOIN cur_ma_Grader_BatchT b ON p.GraderBatchID = b.GraderBatchID
+      JOIN cur_sw_SeasonT se ON b.SeasonID = se.SeasonID
+      LEFT JOIN cur_sw_ProductT pr ON p.ProductID = pr.ProductID
+      LEFT JOIN cur_sw_Tube_TypeT tt ON pr.TubeTypeID = tt.TubeTypeID
+      WHERE se.SeasonDesc IN {O.in_list([str(x) for x in PACK_SEASONS])}
+      GROUP BY p.GraderBatchID""",
     "relabel_after_group": lambda: f"""SELECT GraderBatchID,
         CASE WHEN {' OR '.join(f"Defect = {O.q(x)}" for x in C.RUSSET_SOURCE_LABELS)}
              THEN {O.q(C.RUSSET_LABEL)} ELSE Defect END AS Defect, defectQty
@@ -466,6 +536,18 @@ _add("storage_days", storage_days, _SQL["storage_days"],
      _schema(("GraderBatchID", L), ("storageDays", D)))
 _add("relabel_after_group", relabel_after_group, _SQL["relabel_after_group"],
      _schema(("GraderBatchID", L), ("Defect", S), ("defectQty", L)))
+_add("juice_weight", lambda cat: juice_weight(cat, ALL_SEASONS), _SQL["juice_weight"],
+     _schema(("GraderBatchID", L), ("juiceKgs", D)))
+_add("sample_weight", sample_weight, _SQL["sample_weight"],
+     _schema(("GraderBatchID", L), ("sampleKgs", D)))
+_add("export_weight", lambda cat: export_weight(cat, ALL_SEASONS), _SQL["export_weight"],
+     _schema(("GraderBatchID", L), ("exportKgs", D)))
+_add("loose_weight", loose_weight, _SQL["loose_weight"],
+     _schema(("GraderBatchID", L), ("looseKgs", D)))
+_add("presize_units", lambda cat: presize_units(cat, PACK_SEASONS), _SQL["presize_units"],
+     _schema(("GraderBatchID", L), ("PSgrowerRTEs", D)))
+_add("repack_units", lambda cat: repack_units(cat, PACK_SEASONS), _SQL["repack_units"],
+     _schema(("GraderBatchID", L), ("repackRTEs", D)))
 
 _add("batch_packout", lambda cat: batch_packout(cat, ALL_SEASONS),
      lambda: O.batch_packout_sql(ALL_SEASONS), BATCH_PACKOUT)
