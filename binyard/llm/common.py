@@ -106,3 +106,18 @@ def components(edges: DataFrame) -> DataFrame:
         edges = stage(small, "links")
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
         edges.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())
+
+
+def merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """``comp`` (node, component) after further links (lo, hi).  Only the
+    components that the links join are worked on, each as one node, so what is
+    known already is not computed again."""
+    ends = links.select("lo", "hi")
+    for c in ("lo", "hi"):
+        own = comp.select(F.col("node").alias(c), F.col("component").alias("own"))
+        ends = ends.join(own, c, "left").withColumn(c, F.coalesce("own", c)).drop("own")
+    ends = ends.filter("lo <> hi").select(F.least("lo", "hi").alias("lo"), F.greatest("lo", "hi").alias("hi"))
+    joined = stage(components(ends), "joined")
+    now = joined.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    known = comp.join(now, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    return stage(known.unionByName(joined.join(comp, "node", "left_anti").select("node", "component")), "components")

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from binyard.llm import kernel
-from binyard.llm.common import components, ship, stage
+from binyard.llm.common import components, merged, ship, stage
 
 REGISTERS = 128
 MANTISSA = 10
@@ -257,8 +257,7 @@ def near_classes(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc
     if shared:
         return _by_set(docs, sketch, classes, base, k, percent)
     classes = classes.withColumnRenamed("id", "cls")
-    links = _links(classes, base.select(F.col("doc_id").alias("row"), "text"), k, percent)
-    return _rows(sketch, classes, components(links))
+    return _rows(sketch, classes, _components(classes, base.select(F.col("doc_id").alias("row"), "text"), k, percent))
 
 
 def _by_set(docs, sketch, classes, base, k, percent) -> DataFrame:
@@ -275,8 +274,7 @@ def _by_set(docs, sketch, classes, base, k, percent) -> DataFrame:
                                              names=["h1", "h2", "text"])
     texts = base.select("text").mapInArrow(hashed, "h1 long, h2 long, text string")
     texts = texts.groupBy("h1", "h2").agg(F.min("text").alias("text")).select(F.xxhash64("h1", "h2").alias("row"), "text")
-    links = _links(classes.drop("id"), texts, k, percent)
-    comp = components(links)
+    comp = _components(classes.drop("id"), texts, k, percent)
     least = (comp.join(classes.select(F.col("cls").alias("node"), "id"), "node")
              .groupBy("component").agg(F.min("id").alias("least")))
     comp = comp.join(least, "component").select("node", F.col("least").alias("component"))
@@ -298,20 +296,20 @@ def _open(member: DataFrame, comp: DataFrame) -> DataFrame:
     return stage(member.join(several, "key"), "open")
 
 
-def _links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Confirmed links (lo, hi) that span the components of the classes."""
+def _components(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, component) of the classes that have a confirmed link."""
     rows = classes.select("cls", "n", "regs").mapInArrow(_bands, "key long, band int, cls long, n long")
     rows = stage(rows, "bands")
     many = rows.groupBy("key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("most")).filter("pivot < most")
     member = stage(rows.join(many.select("key", "pivot"), "key"), "buckets")
     tested = stage(member.filter("cls > pivot").select(F.col("pivot").alias("lo"), F.col("cls").alias("hi")).distinct(), "stars")
     near = _likely_pairs(tested, classes, percent)
-    links = stage(_confirmed(near, _sets_of(_ends(near), classes, texts, k), percent), "starlinks")
+    links = _confirmed(near, _sets_of(_ends(near), classes, texts, k), percent)
 
     comp = stage(components(links), "components")
     rest = _open(member, comp)
     if rest.limit(1).count() == 0:
-        return links
+        return comp
     sets = _sets_of(rest.select("cls").distinct(), classes, texts, k)
     for draw in range(ROUNDS):
         pivot = rest.filter("comp = main").groupBy("key").agg(F.min(F.struct(F.xxhash64("cls", "key", F.lit(draw)), "cls")).alias("p"))
@@ -322,8 +320,7 @@ def _links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
         tested = tested.unionByName(pairs)
         if found.limit(1).count() == 0:
             break
-        links = links.unionByName(found)
-        comp = stage(components(links), "components")
+        comp = merged(comp, found)
         rest = _open(rest.select("key", "band", "cls", "n"), comp)
 
     # shingles that one open class alone has cannot be shared with another
@@ -346,7 +343,7 @@ def _links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
         f"compx <> compy and (compy = main or clsx < clsy) and 100 * {shared} >= {percent} * {whole} and {room} and {first}")
     pairs = pairs.select(F.least("clsx", "clsy").alias("lo"), F.greatest("clsx", "clsy").alias("hi")).distinct()
     pairs = stage(pairs.join(tested, ["lo", "hi"], "left_anti"), "rest")
-    return links.unionByName(stage(_confirmed(_likely_pairs(pairs, classes, percent), sets, percent), "restlinks"))
+    return merged(comp, stage(_confirmed(_likely_pairs(pairs, classes, percent), sets, percent), "restlinks"))
 
 
 def _rows(sketch: DataFrame, classes: DataFrame, comp: DataFrame) -> DataFrame:

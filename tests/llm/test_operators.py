@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from binyard.llm import chat_format, decontaminate, html_text, lang_id, line_dedup, lm_score, mixing, near_dedup, quality, queries, url_filter
+from binyard.llm.common import components, merged
 from tests.compare import compare
 
 SF = "/root/testdata/sf0.001"
@@ -72,6 +73,15 @@ def test_near_dedup_in_a_dense_group(spark):
     assert got == want
 
 
+def test_components_after_further_links(spark):
+    rng = random.Random(3)
+    links = [tuple(sorted(rng.sample(range(60), 2))) for _ in range(45)]
+    frame = lambda x: spark.createDataFrame(x, "lo long, hi long")
+    want = {tuple(r) for r in components(frame(links)).collect()}
+    got = merged(components(frame(links[:20])), frame(links[20:])).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 def test_near_dedup_edges(spark, edge, empty):
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_classes(edge, 3, 85).collect())
     assert got == [(0, 3, None, False), (1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (4, 1, 4, True), (5, 1, 5, True), (6, 1, 6, True)]
