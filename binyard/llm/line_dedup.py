@@ -3,10 +3,15 @@
 A line's spread is the number of different sites (``documents.source``) that
 hold it.  HyperLogLog sketches of the sites per line hash are built and merged
 by aggregation.  Lines whose estimate is near the threshold get an exact
-distinct count; the sketch alone decides for the others.  A line of
-``MIN_SITES`` sites or more is cross-site boilerplate and goes from every
-document but the one with the smallest id that holds it, so a passage that
-many copies share is not lost altogether.
+distinct count; the sketch alone decides for the others.  A line on as many
+sites as its bar asks is cross-site boilerplate and goes from every document
+but the one with the smallest id that holds it, so a passage that many copies
+share is not lost altogether.
+
+The bar of the corpus pipeline (``by_length``) falls with the line's words:
+``MIN_SITES`` for ``MIN_WORDS`` words, then so many that sites times words is
+as large, and ``FEW_SITES`` for a passage of ten words or more.  The bar of op9
+(``fixed``) is that of its SQL: ``MIN_SITES`` for every line.
 
 Lines are compared without white space at their ends; a line of fewer than
 ``MIN_WORDS`` words is never boilerplate (a very short sentence recurs by
@@ -22,16 +27,18 @@ columns are ignored by ``spread_cut`` and kept by ``clean``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from binyard.llm.common import WORD, ship, stage
 
 MIN_SITES = 10
 MIN_WORDS = 4
+#: Sites that even the longest passage needs: fewer are copies of one document.
+FEW_SITES = 4
 #: Sketch size (2**10 buckets: 3.25 % standard error) and the half-width of
 #: the band around the threshold that is counted exactly (5 errors).
 LG_K = 10
@@ -40,25 +47,41 @@ BAND = 0.17
 _ENDS = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
 _TOP = 2**63 - 1
 
+#: Words of a line to the sites it needs, null if it is never boilerplate.
+Bar = Callable[[Column], Column]
+
+
+def fixed(words: Column) -> Column:
+    """The bar of op9, as in ``ORACLE``."""
+    return F.when(words >= MIN_WORDS, F.lit(MIN_SITES))
+
+
+def by_length(words: Column) -> Column:
+    """The bar of the pipeline: the longer a line, the fewer sites."""
+    product = F.ceil(F.lit(MIN_SITES * MIN_WORDS) / words).cast("int")
+    return F.when(words >= MIN_WORDS, F.greatest(product, F.lit(FEW_SITES)))
+
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, text_hash, pos, line, site) of every line that may be boilerplate."""
+def _lines(docs: DataFrame, bar: Bar) -> DataFrame:
+    """(doc, text_hash, pos, line, site, need) of every line that may be boilerplate."""
     site = F.when(F.col("source").isNull(), F.lit(0)).otherwise(F.xxhash64("source"))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_TOP)).alias("doc"), F.xxhash64("text").alias("text_hash"),
                        site.alias("site"), F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    rows = rows.filter(F.regexp_count("raw", F.lit(WORD)) >= MIN_WORDS)
-    return rows.select("doc", "text_hash", "pos", F.xxhash64(F.regexp_replace("raw", _ENDS, "")).alias("line"), "site")
+    rows = rows.withColumn("need", bar(F.regexp_count("raw", F.lit(WORD)))).filter("need is not null")
+    return rows.select("doc", "text_hash", "pos", F.xxhash64(F.regexp_replace("raw", _ENDS, "")).alias("line"), "site", "need")
 
 
-def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def boilerplate(lines: DataFrame) -> DataFrame:
     """(line, keeper): boilerplate lines and the document that keeps each."""
-    per = lines.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites"), F.min("doc").alias("keeper"))
-    per = stage(per.filter(F.col("sites") >= min_sites * (1 - BAND)), "spread")
-    near = per.filter(F.col("sites") <= min_sites * (1 + BAND))
-    exact = (lines.join(near.select("line"), "line", "left_semi").select("line", "site").distinct()
-             .groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") >= min_sites))
-    sure = per.filter(F.col("sites") > min_sites * (1 + BAND)).select("line", "keeper")
-    return sure.unionByName(near.join(exact.select("line"), "line", "left_semi").select("line", "keeper"))
+    per = lines.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites"),
+                                    F.min("doc").alias("keeper"), F.max("need").alias("need"))
+    per = stage(per.filter(F.col("sites") >= F.col("need") * (1 - BAND)), "spread")
+    sure = F.col("sites") > F.col("need") * (1 + BAND)
+    near = per.filter(~sure)
+    exact = (lines.join(near.select("line"), "line", "left_semi").select("line", "need", "site").distinct()
+             .groupBy("line").agg(F.count("*").alias("n"), F.max("need").alias("need")).filter("n >= need"))
+    return per.filter(sure).select("line", "keeper").unionByName(
+        near.join(exact.select("line"), "line", "left_semi").select("line", "keeper"))
 
 
 def _cut(columns: list[str]):
@@ -78,12 +101,12 @@ def _cut(columns: list[str]):
     return run
 
 
-def spread_cut(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def spread_cut(docs: DataFrame, bar: Bar = fixed) -> DataFrame:
     """``docs`` with the boilerplate lines cut from ``text``, and a column
     ``_removed`` (how many lines went)."""
     ship(docs.sparkSession)
-    lines = stage(_lines(docs.select("doc_id", "source", F.col("text").cast("string").alias("text"))), "lines")
-    found = boilerplate(lines, min_sites)
+    lines = stage(_lines(docs.select("doc_id", "source", F.col("text").cast("string").alias("text")), bar), "lines")
+    found = boilerplate(lines)
     # every row of an id that repeats a text has the same places: once is enough
     cuts = (lines.join(found, "line").filter("doc <> keeper").groupBy("doc", "text_hash")
             .agg(F.collect_set("pos").alias("_cut")))
@@ -96,11 +119,11 @@ def spread_cut(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return out.mapInArrow(_cut([*docs.columns, "_removed"]), schema)
 
 
-def clean(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def clean(docs: DataFrame, bar: Bar = by_length) -> DataFrame:
     """``docs`` without boilerplate lines (``n_chars``, where there is such a
     column, follows); a document that loses all its words that way goes: each
     of its lines is kept elsewhere."""
-    out = spread_cut(docs, min_sites)
+    out = spread_cut(docs, bar)
     out = out.filter((F.col("_removed") == 0) | F.col("text").rlike(WORD))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]

@@ -21,7 +21,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_spread(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of ten sites or more go from all documents but one."""
+    """Lines on many sites for their length go from all documents but one."""
     return line_dedup.clean(docs)
 
 

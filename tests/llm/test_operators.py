@@ -228,6 +228,40 @@ def test_line_dedup(spark, empty):
     assert line_dedup.clean(empty).count() == 0
 
 
+def test_line_dedup_by_length(spark):
+    passage = "a passage of some twenty words that a handful of sites hold " * 2
+    hot = "one site alone repeats this passage of more than ten words in all its documents"
+    rows = [(i, f"own text {i}\n{passage}", "en", f"s{i % 4}", 1, None) for i in range(5)]
+    rows += [(100 + i, f"{hot}\n{passage if i == 7 else 'own'}", "en", "hot", 1, None) for i in range(60)]
+    rows += [(200 + i, f"five words on eight sites\nfive words on seven sites{' x' * (i == 7)}\nown {i}", "en", f"t{i}", 1, None) for i in range(8)]
+    rows += [(300 + i, "ten words that are found on no more than three\nz", "en", f"u{i % 3}", 1, None) for i in range(9)]
+    out = {r.doc_id: r.text for r in line_dedup.clean(spark.createDataFrame(rows, DOCS)).collect()}
+    assert out[0] == rows[0][1] and [out[i] for i in range(1, 5)] == [f"own text {i}" for i in range(1, 5)]
+    assert out[107] == hot and all(out[100 + i].startswith(hot) for i in range(60))
+    assert out[200] == rows[65][1] and out[203] == "five words on seven sites\nown 3"
+    assert all(out[300 + i] == rows[73 + i][1] for i in range(9))
+
+
+def test_line_spread_stage(spark):
+    import corpus_pipeline
+    docs = documents(spark).select("doc_id", "source", "text", "n_chars")
+    rows, sites, words = docs.collect(), defaultdict(set), {}
+    for r in rows:
+        for x in (r.text or "").split("\n"):
+            line = x.strip(" \t\n\x0b\x0c\r")
+            sites[line].add(r.source)
+            words[line] = len(WORD.findall(x))
+    need = dict(zip(range(4, 10), (10, 8, 7, 6, 5, 5), strict=True))
+    gone = {x for x, n in words.items() if n >= 4 and len(sites[x]) >= need.get(n, 4)}
+    keeper, want = {}, {}
+    for r in sorted(rows, key=lambda r: r.doc_id):
+        lines = [(x, x.strip(" \t\n\x0b\x0c\r")) for x in (r.text or "").split("\n")]
+        kept = [x for x, y in lines if y not in gone or keeper.setdefault(y, r.doc_id) == r.doc_id]
+        if len(kept) == len(lines) or WORD.search("\n".join(kept)):
+            want[r.doc_id] = r.text if len(kept) == len(lines) else "\n".join(kept)
+    assert {r.doc_id: r.text for r in corpus_pipeline.line_spread(spark, docs, SF).collect()} == want
+
+
 def test_url_rules(spark):
     urls = [None, "no host", "HTTP://WWW.Example.ORG/es/1?q#f", "https://example.org/en/12", "http://a.com/de/x", "http://com/fr/", "http://xcom/fr/", "http://h.net/a/?utm_source=f", "https://m.h.net:80/a#x", "://", "http://h.net/b"]
     pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, verdict string")
