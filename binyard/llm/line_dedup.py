@@ -10,12 +10,14 @@ share is not lost altogether.
 
 The bar of the corpus pipeline (``by_length``) falls with the line's words:
 ``MIN_SITES`` for ``MIN_WORDS`` words, then so many that sites times words is
-as large, and ``FEW_SITES`` for a passage of ten words or more.  The bar of op9
-(``fixed``) is that of its SQL: ``MIN_SITES`` for every line.
-
-Lines are compared without white space at their ends; a line of fewer than
-``MIN_WORDS`` words is never boilerplate (a very short sentence recurs by
-chance).  Only hashes, ids and places of lines are shuffled for the counts; the
+as large, and ``FEW_SITES`` for a passage of ten words or more.  A
+line of fewer than ``MIN_WORDS`` words, which may recur by chance, needs
+``SHORT_STEP`` sites more for each word that it lacks.  The bar of op9
+(``fixed``) is that of its SQL: ``MIN_SITES`` for ``MIN_WORDS`` words and more,
+and no shorter line is boilerplate.
+
+Lines are compared without white space at their ends; blank lines do not
+count.  Only hashes, ids and places of lines are shuffled for the counts; the
 texts move once, to meet the places to be cut.
 
 Edge cases: a null source is a site of its own; a null text has no lines and
@@ -39,6 +41,8 @@ MIN_SITES = 10
 MIN_WORDS = 4
 #: Sites that even the longest passage needs: fewer are copies of one document.
 FEW_SITES = 4
+#: Sites more for each word below MIN_WORDS.
+SHORT_STEP = 2
 #: Sketch size (2**10 buckets: 3.25 % standard error) and the half-width of
 #: the band around the threshold that is counted exactly (5 errors).
 LG_K = 10
@@ -57,9 +61,11 @@ def fixed(words: Column) -> Column:
 
 
 def by_length(words: Column) -> Column:
-    """The bar of the pipeline: the longer a line, the fewer sites."""
+    """The bar of the pipeline: the longer a line, the fewer sites; a line
+    without words never counts."""
     product = F.ceil(F.lit(MIN_SITES * MIN_WORDS) / words).cast("int")
-    return F.when(words >= MIN_WORDS, F.greatest(product, F.lit(FEW_SITES)))
+    short = (F.lit(MIN_SITES) + SHORT_STEP * (F.lit(MIN_WORDS) - words)).cast("int")
+    return F.when(words >= MIN_WORDS, F.greatest(product, F.lit(FEW_SITES))).when(words >= 1, short)
 
 
 def _lines(docs: DataFrame, bar: Bar) -> DataFrame:

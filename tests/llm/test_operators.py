@@ -242,6 +242,15 @@ def test_line_dedup_by_length(spark):
     assert all(out[300 + i] == rows[73 + i][1] for i in range(9))
 
 
+def test_line_dedup_of_short_lines(spark):
+    short = ("All rights reserved.", "Two words", "One")
+    for n in (11, 12, 13, 14, 15, 16):
+        rows = [(i, "\n".join((f"own text {i}", " \t", *short)), "en", f"s{i % n}", 1, None) for i in range(n + 1)]
+        out = {r.doc_id: r.text for r in line_dedup.clean(spark.createDataFrame(rows, DOCS)).collect()}
+        left = [x for x, need in zip(short, (12, 14, 16), strict=True) if n < need]
+        assert out[0] == rows[0][1] and all(out[i] == "\n".join((f"own text {i}", " \t", *left)) for i in range(1, n + 1))
+
+
 def test_line_spread_stage(spark):
     import corpus_pipeline
     docs = documents(spark).select("doc_id", "source", "text", "n_chars")
