@@ -41,6 +41,8 @@ SKIP = frozenset("script style noscript template svg math canvas iframe object s
 RAW = frozenset("script style textarea title noscript iframe".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
+#: What may stand in a head; any other start tag ends it, as text does.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 #: A start tag that ends an open element of the same kind.
 SELF_CLOSING = {
     "p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -123,6 +125,8 @@ def blocks(page: str) -> list[Block]:
     for m in _TOKEN.finditer(page):
         if m.start() < at:
             continue
+        if stack[-1][0] == "head" and page[at : m.start()].strip():
+            pop(len(stack) - 1)
         if m.start() > at and not stack[-1][3]:
             run.append(page[at : m.start()])
             if in_link:
@@ -142,6 +146,8 @@ def blocks(page: str) -> list[Block]:
                 in_link = 0
                 stack[:] = [("" if i and x[0] == "a" else x[0], *x[1:]) for i, x in enumerate(stack)]
             continue
+        if stack[-1][0] == "head" and tag not in IN_HEAD:
+            pop(len(stack) - 1)
         if tag == "br":
             run.append(" ")
             continue
@@ -170,6 +176,8 @@ def blocks(page: str) -> list[Block]:
             end = re.compile(rf"</{tag}\b[^>]*(?:>|$)", re.I).search(page, at)
             at = end.end() if end else n
             pop(len(stack) - 1)
+    if stack[-1][0] == "head" and page[at:].strip():
+        pop(len(stack) - 1)
     if at < n and not stack[-1][3]:
         run.append(page[at:])
     close()

@@ -172,3 +172,12 @@ def test_bloom_never_misses():
             words[(x >> 32) % 50, i] |= np.uint64(1 << ((x & 0xFFFFFFFF) * salt >> 16) % 64)
     assert url_filter.maybe_listed(words, h).all()
     assert url_filter.maybe_listed(words, rng.integers(-2**63, 2**63 - 1, 2000, dtype=np.int64)).mean() < 0.2
+
+
+def test_open_head():
+    head = "<!doctype html><html><head><meta charset=utf-8><title>Not this</title><style>p {}</style>\n<script>x = '<p>';</script>"
+    text = "This is the text of a page whose head is left open."
+    for body in (f"<body><p>{text}", f"<div><p>{text}</p></div>", f"<p>{text}", f"<br>{text}", text, f"<a name=x></a><p>{text}"):
+        assert html_text.main_text(head + body) == text, body
+    assert html_text.main_text(f"{head}<template><p>Not this sentence either.</p></template></head><body><p>{text}") == text
+    assert html_text.main_text(head) == ""
