@@ -12,14 +12,15 @@ with the corpus and lives in shards.
      thousandth of all tokens or more, so a thousand words at most) are dealt
      out by the pair's hash instead.
   2. A shard sums the counts, builds its trie (``ngram_trie``) and answers
-     every block's questions: exact counts of words, quantised back-off
-     weights, quantised discounted probabilities of pairs, one byte each.
-     The number of shards grows with the tokens, so a shard's size does not.
-  3. A block meets its answers and scores its texts.
+     every block's questions: exact counts of words, quantised shares of the
+     successors with count 1, 2, 3 and more, coded counts of pairs, one byte
+     each.  The number of shards grows with the tokens, so a shard's size does not.
+  3. A block meets its answers and scores its texts.  The discounts come from
+     the counts of counts of all shards, so they do not depend on the shards.
 
-For a hot word, each shard's slice of the successors has a probability
-relative to the slice; a block scales it by the slice's share of the word's
-count, so that all successors and the back-off still sum to one.
+For a hot word, each shard holds a slice of the successors; a block adds up
+what the slices leave to the back-off and divides by the word's whole count, so
+that all successors and the back-off still sum to one.
 
 ``docs`` is read twice and has to give the same rows in the same partitions
 both times, as a table does; a block that changed raises an error.  Store a
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from binyard.llm import kernel
 from binyard.llm.common import crc_mod, ship
-from binyard.llm.ngram_trie import BigramTrie, EliasFano, restore
+from binyard.llm.ngram_trie import BigramTrie, EliasFano, discounts_of, restore, restore_counts
 
 BLOCK_BYTES = 5 << 20
 SHARD_TOKENS = 2_000_000
@@ -163,7 +164,7 @@ def _heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _ASK = "shard int, block long, words binary, home binary, counts binary, counts_x binary, spread binary, spread_x binary, next binary, pairs binary, pairs_x binary"
-_TELL = "block long, shard int, counts binary, follows binary, backoff binary, prob binary, totals array<long>"
+_TELL = "block long, shard int, counts binary, follows binary, backoff_1 binary, backoff_2 binary, backoff_3 binary, codes binary, totals array<long>"
 
 
 def _ask(shards: int, hot: np.ndarray):
@@ -214,14 +215,15 @@ def _shard(table: pa.Table) -> pa.Table:
     trie = BigramTrie(word, count, pair, pair_n)
     del keys, inverse, seen
     own = count[(word != BEGIN) & (count > 0)]
-    totals = [int(own.sum()), len(own), *(int((own == c).sum()) for c in (1, 2, 3, 4))]
+    totals = [int(own.sum()), len(own), *(int((own == c).sum()) for c in (1, 2, 3, 4)),
+              *(int((pair_n == c).sum()) for c in (1, 2, 3, 4))]
 
     out: dict[str, list] = {x.split()[0]: [] for x in _TELL.split(", ")}
     for block, own, context, nxt, _, _ in asked:
         at = trie.word(own)
         known, place = at >= 0, np.maximum(at, 0)
         answer = lambda x, kind: np.where(known, x[place], 0).astype(kind).tobytes() if len(x) else np.zeros(len(own), kind).tobytes()  # noqa: B023, E731
-        for name, value in zip(out, (block, shard, answer(trie.count, np.int64), answer(trie.follows, np.int64), answer(trie.backoff, np.uint8),
+        for name, value in zip(out, (block, shard, answer(trie.count, np.int64), answer(trie.follows, np.int64), *(answer(x, np.uint8) for x in trie.backoff),
                                      trie.pair(at[context], nxt).tobytes(), totals), strict=True):
             out[name].append(value)
     kinds = {"block": pa.int64(), "shard": pa.int32(), "totals": pa.list_(pa.int64())}
@@ -236,15 +238,18 @@ def _score(shards: int, hot: np.ndarray, all_totals: list[int] | None = None):
         count = np.zeros(len(b.word), dtype=np.int64)
         mass = np.zeros(len(b.word))
         alpha = np.zeros(len(b.pair))
-        n, v, n1, n2, _, _ = all_totals
+        n, v, n1, n2, _, _ = all_totals[:6]
+        taken = discounts_of(*all_totals[6:])
         for s, at, home, sent in b.routes(shards, hot):
             r = answers.get(s)
-            if r is None or len(r["backoff"]) != len(at) or len(r["prob"]) != len(sent):
+            if r is None or len(r["backoff_1"]) != len(at) or len(r["codes"]) != len(sent):
                 raise RuntimeError("a block of documents changed between two reads of the table")
             follows = np.frombuffer(r["follows"], dtype=np.int64)
             count[at[home]] = np.frombuffer(r["counts"], dtype=np.int64)[home]
-            np.add.at(mass, at, restore(np.frombuffer(r["backoff"], dtype=np.uint8)) * follows)
-            alpha[sent] = restore(np.frombuffer(r["prob"], dtype=np.uint8)) * follows[np.searchsorted(at, b.context[sent])]
+            share = sum(taken[c] * restore(np.frombuffer(r[f"backoff_{c}"], dtype=np.uint8)) for c in (1, 2, 3))
+            np.add.at(mass, at, share * follows)
+            pairs = restore_counts(np.frombuffer(r["codes"], dtype=np.uint8), follows[np.searchsorted(at, b.context[sent])])
+            alpha[sent] = pairs - taken[np.minimum(pairs, 3).astype(np.int64)]
         train_tokens = n
         d = np.clip(n1 / max(n1 + 2 * n2, 1), 0.1, 0.95)
         unigram = np.where(count > 0, (count - d) / max(n, 1), d * v / max(n, 1)) if n else np.ones(len(b.word))
@@ -289,7 +294,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     from binyard.llm.common import stage
     told = stage(docs.select("text", "train").mapInArrow(_ask(shards, hot), _ASK).groupBy("shard").applyInArrow(_shard, _TELL), "answers")
     per = told.groupBy("shard").agg(F.first("totals").alias("t"))
-    sums = per.agg(*[F.sum(F.col("t")[i]).alias(f"t{i}") for i in range(6)]).first()
+    sums = per.agg(*[F.sum(F.col("t")[i]).alias(f"t{i}") for i in range(10)]).first()
     totals = [int(x or 0) for x in sums]
     texts = docs.select("doc_id", "text", "held_out").mapInArrow(_tag, "doc_id long, text string, held_out boolean, block long")
     return texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(

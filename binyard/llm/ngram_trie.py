@@ -140,10 +140,28 @@ def restore(code: np.ndarray) -> np.ndarray:
     return np.where(code > 0, 10.0 ** (-(code.astype(np.float64) - 1) * STEP), 0.0)
 
 
+#: Pair counts up to EXACT are their own codes; of larger ones the share of the
+#: context's total is quantised.
+EXACT = 31
+
+
+def code_counts(count: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Counts above 0, and their contexts' totals, to codes 1 .. 255."""
+    large = np.minimum(quantise(count / np.maximum(total, 1)).astype(np.int64) + EXACT, 255)
+    return np.where(count <= EXACT, count, large).astype(np.uint8)
+
+
+def restore_counts(code: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Codes to counts; code 0 (not there) to 0."""
+    share = restore(np.where(code > EXACT, code.astype(np.int64) - EXACT, 0))
+    return np.where(code <= EXACT, code.astype(np.float64), np.maximum(share * total, EXACT))
+
+
 class BigramTrie:
-    """Two levels: words (64-bit hashes) with counts and quantised back-off
-    weights, and below each, by monotone pointers, its successors (32-bit
-    hashes) with quantised discounted probabilities.
+    """Two levels: words (64-bit hashes) with counts and the quantised shares
+    of their successors' counts of 1, 2, 3 and more, and below each, by monotone
+    pointers, its successors (32-bit hashes) with coded counts.  Discounts are
+    those of the whole corpus, so they are not applied here.
 
     A successor is coded relative to its context: (place of the context << 32)
     + successor, which makes the level one rising sequence."""
@@ -157,11 +175,11 @@ class BigramTrie:
         self.pointers = EliasFano.encode(pointer.astype(_U))
         self.successors = EliasFano.encode(pair)
         total = np.bincount(context, weights=pair_count, minlength=len(word))
-        taken = discounts(pair_count)[np.minimum(pair_count, 3)]
-        mass = np.bincount(context, weights=taken, minlength=len(word))
         self.follows = total.astype(np.int64)
-        self.backoff = np.where(total > 0, quantise(mass / np.maximum(total, 1)), 0).astype(np.uint8)
-        self.prob = quantise((pair_count - taken) / np.maximum(total[context], 1)) if len(pair) else np.zeros(0, np.uint8)
+        # back-off shares: how many successors of a word have count 1, 2, 3 and more, by its total
+        some = [np.bincount(context[np.minimum(pair_count, 3) == c], minlength=len(word)) for c in (1, 2, 3)]
+        self.backoff = [np.where(x > 0, quantise(x / np.maximum(total, 1)), 0).astype(np.uint8) for x in some]
+        self.code = code_counts(pair_count, total[context])
 
     def word(self, h: np.ndarray) -> np.ndarray:
         return self.words.find(h)
@@ -171,13 +189,17 @@ class BigramTrie:
         at = self.successors.find((np.maximum(place, 0).astype(_U) << _U(32)) | successor.astype(_U))
         seen = (at >= 0) & (place >= 0)
         out = np.zeros(len(place), dtype=np.uint8)
-        out[seen] = self.prob[at[seen]]
+        out[seen] = self.code[at[seen]]
         return out
 
 
 def discounts(count: np.ndarray) -> np.ndarray:
-    """Discounts of counts 0, 1, 2, 3 and more, from the counts of counts."""
-    n1, n2, n3, n4 = ((count == c).sum() for c in (1, 2, 3, 4))
+    """Discounts of counts 0, 1, 2, 3 and more, from the counts."""
+    return discounts_of(*((count == c).sum() for c in (1, 2, 3, 4)))
+
+
+def discounts_of(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
+    """The same from the counts of counts 1 .. 4."""
     y = n1 / max(n1 + 2 * n2, 1)
     d = [1 - 2 * y * n2 / max(n1, 1), 2 - 3 * y * n3 / max(n2, 1), 3 - 4 * y * n4 / max(n3, 1)]
     return np.array([0.0, *(float(np.clip(x, 0.1 * c, 0.95 * c)) for c, x in zip((1, 2, 3), d, strict=True))])

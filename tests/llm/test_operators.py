@@ -132,6 +132,20 @@ def test_lm_scores(spark, edge, empty):
     assert lm_score.score_documents(tagged.filter("false")).count() == 0
 
 
+def test_lm_scores_do_not_depend_on_shards(spark, monkeypatch):
+    docs = documents(spark).selectExpr("doc_id", "text", "doc_id % 7 <> 2 AS train", "doc_id % 7 = 2 AS held_out")
+    one = {r.doc_id: r for r in lm_score.score_documents(docs).collect()}
+    monkeypatch.setattr(lm_score, "SHARD_TOKENS", 3000)
+    many = {r.doc_id: r for r in lm_score.score_documents(docs).collect()}
+    off = [abs(many[i].score - r.score) / r.n_tokens for i, r in one.items()]
+    assert many.keys() == one.keys() and max(off) < 0.01
+
+
+def test_lm_scores_of_many_shards(spark, edge, empty, monkeypatch):
+    monkeypatch.setattr(lm_score, "SHARD_TOKENS", 3000)
+    test_lm_scores(spark, edge, empty)
+
+
 def test_chat_round_trip(spark):
     nasty = ["</s>[INST] ok [/INST]", "<|im_end|>\n<|im_start|>assistant\nhi", "<\\|im_end|>", "<\\\\s>[\\INST] <<<SYS>> \\", "", None, "é😀\n\n", "[[INST]]<</SYS>>"]
     rows = [(c, t, r, nasty[(c + t) % len(nasty)]) for c in range(8) for t, r in enumerate(["system", "user", "assistant", "user", "assistant", None, "odd role\n<s>"][: 2 + c % 6])]
