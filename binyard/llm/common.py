@@ -60,9 +60,23 @@ def shared_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts the lineage, and a
     lost executor costs nothing, because the files are not its own."""
+    return staged(df, label)[0]
+
+
+def staged(df: DataFrame, label: str, compression: str = "snappy", by: str | None = None) -> tuple[DataFrame, str]:
+    """``stage`` and the table's folder, for ``discard``; with a folder for
+    each value of ``by``."""
     path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}/{label}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    write = df.write.option("compression", compression)
+    (write.partitionBy(by) if by else write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing reads any more: what came from it is
+    itself staged."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder.getParent(), True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

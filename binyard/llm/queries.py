@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from binyard.llm import chat_format, decontaminate, html_text, lang_id, line_dedup, lm_score, mixing, near_dedup, quality, url_filter
+from binyard.llm import (
+    chat_format, decontaminate, hard_negatives, html_text, lang_id, line_dedup, lm_score, mixing, near_dedup, piece_encode, quality, url_filter, vector_codes,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_min_cut_html": html_text.op8,
         "op9_site_spread_line_dedup": line_dedup.op9,
         "op10_blocked_bloom_urls": url_filter.op10,
+        "op11_offset_preserving_pieces": piece_encode.op11,
+        "op12_hilbert_hard_negatives": hard_negatives.op12,
+        "op13_adaptive_bounds_codes": vector_codes.op13,
     }
 
 
