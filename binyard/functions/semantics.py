@@ -90,6 +90,7 @@ def half_even(c, digits: int = 0) -> Column:
     return F.bround(_col(c), digits)
 
 
+_HEX = r"^\s*([+-]?)0[xX]([0-9a-fA-F]+)\s*$"
 _NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
@@ -99,10 +100,13 @@ def to_int(c) -> Column:
     Parse as double, truncate toward zero, and give NULL for text that is not
     a number or values outside the 32-bit range: '12.7' -> 12, 'abc' -> NULL.
     The text must look like a number: a cast alone would take Java's type
-    suffixes ('12d', '45F').
+    suffixes ('12d', '45F').  Whole hexadecimal texts count ('0x1A' -> 26).
     """
-    d = _col(c).try_cast("double")
-    ok = _col(c).cast("string").rlike(_NUMBER) & ~F.isnan(d) & (d > F.lit(_INT_MIN_EXCLUSIVE)) & (d < F.lit(_INT_MAX_EXCLUSIVE))
+    text = _col(c).cast("string")
+    digits = F.regexp_extract(text, _HEX, 2)
+    hexadecimal = F.conv(digits, 16, 10).cast("double") * F.when(F.regexp_extract(text, _HEX, 1) == "-", -1).otherwise(1)
+    d = F.when(text.rlike(_HEX), F.when(F.length(F.ltrim(digits, F.lit("0"))) <= 8, hexadecimal)).otherwise(_col(c).try_cast("double"))
+    ok = (text.rlike(_NUMBER) | text.rlike(_HEX)) & ~F.isnan(d) & (d > F.lit(_INT_MIN_EXCLUSIVE)) & (d < F.lit(_INT_MAX_EXCLUSIVE))
     return F.when(ok, d.cast("int"))
 
 
@@ -196,26 +200,39 @@ def _ntz(year: int) -> Column:
     return F.expr(f"TIMESTAMP_NTZ'{year:04d}-01-01 00:00:00'")
 
 
+def season_bands(seasons: Iterable[int],
+                 config: ReportConfig = DEFAULT_CONFIG) -> list[tuple[int, int]]:
+    """The requested timestamp seasons as half-open year bands ``[a, b)``,
+    adjacent years merged."""
+    years = sorted({int(s) for s in seasons} & set(config.timestamp_seasons))
+    bands: list[tuple[int, int]] = []
+    for y in years:
+        if bands and bands[-1][1] == y:
+            bands[-1] = (bands[-1][0], y + 1)
+        else:
+            bands.append((y, y + 1))
+    return bands
+
+
+def _in_bands(c, bands, bound) -> Column:
+    c, cond = _col(c), None
+    for a, b in bands:
+        part = (c >= bound(a)) & (c < bound(b))
+        cond = part if cond is None else (cond | part)
+    return F.lit(False) if cond is None else cond
+
+
 def timestamp_season_filter(c, seasons: Iterable[int],
                             config: ReportConfig = DEFAULT_CONFIG) -> Column:
     """``Season %in% seasons`` for timestamp bands, as OR-ed half-open ranges
-    (adjacent years merged) so Parquet receives the range predicates."""
-    years = sorted({int(s) for s in seasons} & set(config.timestamp_seasons))
-    if not years:
-        return F.lit(False)
-    runs, start, prev = [], years[0], years[0]
-    for y in years[1:]:
-        if y != prev + 1:
-            runs.append((start, prev))
-            start = y
-        prev = y
-    runs.append((start, prev))
-    c = _col(c)
-    cond = None
-    for a, b in runs:
-        part = (c >= _ntz(a)) & (c < _ntz(b + 1))
-        cond = part if cond is None else (cond | part)
-    return cond
+    so Parquet receives the range predicates."""
+    return _in_bands(c, season_bands(seasons, config), _ntz)
+
+
+def year_season_filter(c, seasons: Iterable[int],
+                       config: ReportConfig = DEFAULT_CONFIG) -> Column:
+    """The same bands on a column of creation years (a partition column)."""
+    return _in_bands(c, season_bands(seasons, config), F.lit)
 
 
 def season_text_filter(c, seasons: Iterable[int]) -> Column:

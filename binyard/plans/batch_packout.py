@@ -38,7 +38,7 @@ from binyard import config as C
 from binyard.config import CURRENT, DEFAULT_CONFIG, LEGACY, ReportConfig
 from binyard.functions.semantics import (
     days_between, fill_zero, ieee_div, map_label, norm_owner, season_code_filter,
-    season_from_code, server_sum, sum_or_zero, timestamp_season_filter, to_int,
+    season_from_code, server_sum, sum_or_zero, to_int,
 )
 from binyard.operators.joins import attach, keep_keys, lookup
 from binyard.operators.unions import union_all
@@ -68,24 +68,34 @@ def _header_lookups(hdr: DataFrame, cat: Catalog, gen: str) -> DataFrame:
     return lookup(hdr, D("sw_Pick_NoT"), "PickNoID", ["PickNo"])
 
 
-def juice_weight(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Per presize output batch: juiceKgs of the season's juice bins (SQL sum)."""
+def juice_rows(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The season's juice bins: GraderBatchID (the presize output batch), SeasonID, TotalWeight."""
     return (cat.table(CURRENT, "ma_Bin_DeliveryT")
             .filter((F.col("PresizeProductID") == config.juice_product_id)
                     & season_code_filter("SeasonID", seasons, CURRENT, config))
-            .groupBy(F.col("PresizeOutputFromGraderBatchID").alias("GraderBatchID"))
+            .select(F.col("PresizeOutputFromGraderBatchID").alias("GraderBatchID"), "SeasonID", "TotalWeight"))
+
+
+def juice_weight(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Per presize output batch: juiceKgs of the season's juice bins (SQL sum)."""
+    return (juice_rows(cat, seasons, config).groupBy("GraderBatchID")
             .agg(server_sum("TotalWeight").alias("juiceKgs")))
 
 
-def exported_rows(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
-    """(GraderBatchID, _kg): the season's export-bin weight of each pallet, a
-    pallet of any season (T10); pallets without a weight give no row."""
-    weighed = (cat.table(CURRENT, "ma_Export_Bin_DetailT")
-               .filter(timestamp_season_filter("CreatedDateTime", seasons, config))
-               .groupBy("PalletDetailID")
+def exported_by_created(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG, *by) -> DataFrame:
+    """(GraderBatchID, _kg, *by): the season's export-bin weight of each pallet
+    (per value of ``by``), a pallet of any season (T10); pallets without a
+    weight give no row."""
+    weighed = (cat.created_in(CURRENT, "ma_Export_Bin_DetailT", seasons, config)
+               .groupBy("PalletDetailID", *by)
                .agg(server_sum("KGWeight").alias("_kg")).filter(F.col("_kg").isNotNull()))
     pallets = cat.table(CURRENT, "ma_Pallet_DetailT").select("PalletDetailID", "GraderBatchID")
-    return weighed.join(pallets, "PalletDetailID", "inner").select("GraderBatchID", "_kg")
+    return weighed.join(pallets, "PalletDetailID", "inner").drop("PalletDetailID")
+
+
+def exported_rows(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    """(GraderBatchID, _kg): ``exported_by_created`` over all seasons together."""
+    return exported_by_created(cat, seasons, config).select("GraderBatchID", "_kg")
 
 
 def export_weight(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -94,6 +104,24 @@ def export_weight(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG)
             .agg(server_sum("_kg").alias("exportKgs")))
 
 
+def pallets_by_product(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG, *by) -> DataFrame:
+    """The season's pallets as (GraderBatchID, ProductID, *by, _units,
+    NetFruitWeight, SampleFlag, _is_loose), the last: of a weighed pool and
+    without an export-bin row of any season.
+
+    Units are summed per (batch, product) before the product lookup: the net
+    weight is one per product, and a hot product is one row per batch."""
+    pallets = cat.created_in(CURRENT, "ma_Pallet_DetailT", seasons, config)
+    exported = cat.table(CURRENT, "ma_Export_Bin_DetailT").select("PalletDetailID").distinct().withColumn("_exported", F.lit(True))
+    p = attach(pallets, exported, "PalletDetailID")
+    p = (p.groupBy("GraderBatchID", "ProductID", F.col("_exported").isNull().alias("_loose"), *by)
+         .agg(F.sum(F.col("NoOfUnits").cast("double")).alias("_units")))
+    p = lookup(p, pallet_product(cat), "ProductID",
+               ["NetFruitWeight", "SampleFlag", "GradeDesc", "PoolByRule"])
+    return p.withColumn("_is_loose", F.col("_loose") & (F.col("PoolByRule") == C.POOL_BY_WEIGHT)
+                        & (F.col("GradeDesc") != C.EXCLUDED_LOOSE_GRADE))
+
+
 def pallet_measures(cat: Catalog, seasons: Iterable[int],
                     config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
     """Per batch: sampleKgs (SQL sum) and looseKgs (R na.rm sum).
@@ -102,44 +130,34 @@ def pallet_measures(cat: Catalog, seasons: Iterable[int],
     (with an existence test against the export keys) and export rows of the
     season.  Only the two key columns of pallets are read without it, for
     export rows of the season on pallets of any season (T10)."""
-    t = _t(cat, CURRENT)
-    in_season = timestamp_season_filter("CreatedDateTime", seasons, config)
-    exports, pallets = t("ma_Export_Bin_DetailT"), t("ma_Pallet_DetailT")
-    exported = exports.select("PalletDetailID").distinct().withColumn("_exported", F.lit(True))
-    # Units are summed per (batch, product) before the product lookup: the net
-    # weight is one per product, and a hot product is one row per batch.
-    p = attach(pallets.filter(in_season), exported, "PalletDetailID")
-    p = (p.groupBy("GraderBatchID", "ProductID", F.col("_exported").isNull().alias("_loose"))
-         .agg(F.sum(F.col("NoOfUnits").cast("double")).alias("_units")))
-    p = lookup(p, pallet_product(cat), "ProductID",
-               ["NetFruitWeight", "SampleFlag", "GradeDesc", "PoolByRule"])
+    p = pallets_by_product(cat, seasons, config)
     weight = F.col("_units") * F.col("NetFruitWeight")
-    is_loose = (F.col("_loose") & (F.col("PoolByRule") == C.POOL_BY_WEIGHT)
-                & (F.col("GradeDesc") != C.EXCLUDED_LOOSE_GRADE))
     by_units = p.select("GraderBatchID", F.when(F.col("SampleFlag"), weight).alias("_sample"),
-                        F.when(is_loose, weight).alias("_kg"))
+                        F.when(F.col("_is_loose"), weight).alias("_kg"))
     by_weight = exported_rows(cat, seasons, config).select(
         "GraderBatchID", F.lit(None).cast("double").alias("_sample"), "_kg")
     return (by_units.unionByName(by_weight).groupBy("GraderBatchID")
             .agg(server_sum("_sample").alias("sampleKgs"), sum_or_zero("_kg").alias("looseKgs")))
 
 
-def _current(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
-    t = _t(cat, CURRENT)
-    hdr = t("ma_Grader_BatchT").filter(
+def current_header(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The season's batches that the report shows, with their lookups."""
+    hdr = cat.table(CURRENT, "ma_Grader_BatchT").filter(
         ~F.col("PresizeInputFlag")
         & season_code_filter("SeasonID", seasons, CURRENT, config)
         & F.col("WasteOtherKgs").isNotNull() & ~F.isnan("WasteOtherKgs"))
-    hdr = _header_lookups(hdr, cat, CURRENT)
+    return _header_lookups(hdr, cat, CURRENT)
+
+
+def bins_tipped(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Per batch with bin usage in season: fieldBinsTipped (R na.rm sum)."""
+    return (cat.created_in(CURRENT, "ma_Bin_UsageT", seasons, config)
+            .groupBy("GraderBatchID")
+            .agg(sum_or_zero("BinQty").alias("fieldBinsTipped")))
 
-    tipped = (t("ma_Bin_UsageT")
-              .filter(timestamp_season_filter("CreatedDateTime", seasons, config))
-              .groupBy("GraderBatchID")
-              .agg(sum_or_zero("BinQty").alias("fieldBinsTipped")))
 
-    out = attach(attach(attach(hdr, juice_weight(cat, seasons, config), "GraderBatchID"),
-                        pallet_measures(cat, seasons, config), "GraderBatchID"),
-                 tipped, "GraderBatchID")
+def finish_current(out: DataFrame, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The report's rows from the header with the measures attached."""
     reject = (F.col("WasteOtherKgs") + fill_zero("juiceKgs") + fill_zero("sampleKgs")
               + fill_zero("looseKgs"))
     return out.select(
@@ -158,7 +176,15 @@ def _current(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
         "PickNo")
 
 
-def _legacy(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
+def _current(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
+    out = current_header(cat, seasons, config)
+    for measures in (juice_weight, pallet_measures, bins_tipped):
+        out = attach(out, measures(cat, seasons, config), "GraderBatchID")
+    return finish_current(out, config)
+
+
+def legacy_packout(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The legacy branch; a batch's rows do not depend on the other seasons asked for."""
     t = _t(cat, LEGACY)
     D = _d(cat, LEGACY)
     batches = t("ma_Grader_BatchT").filter(season_code_filter("SeasonID", seasons, LEGACY, config))
@@ -205,6 +231,6 @@ def batch_packout(cat: Catalog, seasons: Iterable[int],
                   config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
     """Pack-out per grader batch for the requested seasons (both generations)."""
     seasons = [int(s) for s in seasons]
-    build = {LEGACY: _legacy, CURRENT: _current}
+    build = {LEGACY: legacy_packout, CURRENT: _current}
     branches = [build[g](cat, seasons, config) for g in config.generations_for(seasons)]
     return union_all(cat.spark, branches, BATCH_PACKOUT)

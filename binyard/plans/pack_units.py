@@ -61,6 +61,21 @@ def season_batch_ids(cat: Catalog, seasons) -> tuple[DataFrame, bool]:
     return ids, cat.fits_broadcast(ids, cat.row_bound(CURRENT, "ma_Grader_BatchT"))
 
 
+def in_season(df: DataFrame, cat: Catalog, seasons) -> DataFrame:
+    """Rows, pre-aggregated, of the requested seasons' batches.
+
+    A staged list of batch ids is one scan with a selective filter: Spark
+    broadcasts it where it is small, and then filters before the aggregation;
+    else it makes a runtime Bloom filter of it, which it pushes through the
+    aggregation to the fact's scan, so that rows of other seasons are not
+    shuffled either way."""
+    staged = cat.batch_ids(seasons)
+    if staged is not None:
+        return df.join(staged, "GraderBatchID", "left_semi")
+    ids, small = season_batch_ids(cat, seasons)
+    return keep_keys(df, ids, "GraderBatchID", small=small)
+
+
 def tube_rows(cat: Catalog, seasons) -> DataFrame:
     """(GraderBatchID, code, units) per batch and product in season.
 
@@ -74,8 +89,7 @@ def tube_rows(cat: Catalog, seasons) -> DataFrame:
          .filter(F.col("NoOfUnits") != 0)
          .groupBy("GraderBatchID", "ProductID")
          .agg(F.sum(F.col("NoOfUnits").cast("double")).alias("NoOfUnits")))
-    ids, small = season_batch_ids(cat, seasons)
-    p = keep_keys(p, ids, "GraderBatchID", small=small)
+    p = in_season(p, cat, seasons)
     p = p.join(tube_product(cat), "ProductID", "inner")
     units = F.col("NoOfUnits") * F.col("TubesPerCarton") * F.col("RTEConversion")
     return p.select("GraderBatchID", "code", units.alias("units"))
@@ -88,31 +102,35 @@ def tube_split(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) ->
                       tempz_prefix=C.TEMPZ_PREFIX, tempz_first_key=config.tempz_first_batch_id)
 
 
-def presize_units(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG,
-                  exact: bool = True) -> DataFrame:
-    t = lambda n: cat.table(CURRENT, n)
-    D = lambda n: cat.dim(CURRENT, n)
+def presize_rows(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    """(GraderBatchID, SeasonDesc, _units): units of the presize bins of the
+    requested seasons, by the batch that they came from."""
     w = F.col("TotalWeight")
-    bins = (t("ma_Bin_DeliveryT")
+    bins = (cat.table(CURRENT, "ma_Bin_DeliveryT")
             .select("TotalWeight", "PresizeProductID", "SeasonID",
                     "PresizeOutputFromGraderBatchID", "PresizeFlag")
             .filter(F.col("PresizeFlag")
                     & ~((w.isNull() | F.isnan(w))
                         & (F.col("PresizeProductID") == config.presize_skip_null_weight_product_id))))
-    season = D("sw_SeasonT").filter(season_text_filter("SeasonDesc", seasons))
-    bins = bins.join(season.select("SeasonID"), "SeasonID", "left_semi")
+    season = cat.dim(CURRENT, "sw_SeasonT").filter(season_text_filter("SeasonDesc", seasons))
+    bins = bins.join(season.select("SeasonID", "SeasonDesc"), "SeasonID", "inner")
     p = lookup(bins, presize_product(cat), ("PresizeProductID", "ProductID"),
                ["PresizeAvgTubeWeight", "RTEConversion"], how="inner")
     ps = ieee_div("TotalWeight", "PresizeAvgTubeWeight") * F.col("RTEConversion")
-    per_batch = (p.groupBy(F.col("PresizeOutputFromGraderBatchID").alias("GraderBatchID"))
-                 .agg(half_even(strict_sum(ps), 0).alias("PSgrowerRTEs")))
+    return p.select(F.col("PresizeOutputFromGraderBatchID").alias("GraderBatchID"), "SeasonDesc", ps.alias("_units"))
+
+
+def presize_units(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG,
+                  exact: bool = True) -> DataFrame:
+    per_batch = (presize_rows(cat, seasons, config).groupBy("GraderBatchID")
+                 .agg(half_even(strict_sum("_units"), 0).alias("PSgrowerRTEs")))
     # Only output batches that exist (the reference's inner join with the
     # batch keys).  Filtering on the grouping key commutes with the
     # aggregation, so it is applied to the per-batch rows - and skipped
     # altogether for a caller that joins the result to its batches anyway.
     if not exact:
         return per_batch
-    ids = t("ma_Grader_BatchT").select("GraderBatchID")
+    ids = cat.table(CURRENT, "ma_Grader_BatchT").select("GraderBatchID")
     return keep_keys(per_batch, ids, "GraderBatchID",
                      small=cat.fits_broadcast(ids, cat.row_bound(CURRENT, "ma_Grader_BatchT")))
 
@@ -124,30 +142,44 @@ def repack_units(cat: Catalog, seasons) -> DataFrame:
     cartons = (t("ma_Repack_Input_CartonT")
                .groupBy("FromPalletDetailID")
                .agg(F.count(F.lit(1)).alias("RepackedNoOfUnits")))
-    r = lookup(cartons, t("ma_Pallet_DetailT"), ("FromPalletDetailID", "PalletDetailID"),
-               ["GraderBatchID", "ProductID"], how="inner")
+    # Staged pallets of the season's batches are one selective scan, of which
+    # Spark makes a runtime filter for the cartons; else all cartons are
+    # counted and the season is applied to the counts.
+    staged = cat.batch_pallets(seasons)
+    r = lookup(cartons, t("ma_Pallet_DetailT") if staged is None else staged,
+               ("FromPalletDetailID", "PalletDetailID"), ["GraderBatchID", "ProductID"], how="inner")
     r = r.groupBy("GraderBatchID", "ProductID").agg(F.sum("RepackedNoOfUnits").alias("RepackedNoOfUnits"))
-    ids, small = season_batch_ids(cat, seasons)
-    r = keep_keys(r, ids, "GraderBatchID", small=small)
+    if staged is None:
+        r = in_season(r, cat, seasons)
     r = lookup(r, carton_product(cat), "ProductID", ["TubesPerCarton", "RTEConversion"])
     units = (F.col("RepackedNoOfUnits").cast("double") * F.col("TubesPerCarton")
              * F.col("RTEConversion"))
     return r.groupBy("GraderBatchID").agg(half_even(sum_or_zero(units), 0).alias("repackRTEs"))
 
 
-def pack_units(cat: Catalog, seasons: Iterable[int],
-               config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
-    seasons = [int(s) for s in seasons]
+def unit_header(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The season's batches with all their units but the presize ones, which
+    are the only ones that depend on the other seasons asked for (T10)."""
     hdr = season_batches(cat, seasons)
     hdr = lookup(hdr, cat.table(CURRENT, "sw_FarmT"), "FarmID", ["FarmName"])
     hdr = lookup(hdr, cat.table(CURRENT, "sw_Farm_BlockT"), "BlockID", ["BlockName"])
-    # Every measure is left-joined to the season's batches below, which
-    # restricts it; the measures' own batch filters save work.
+    # Every measure is left-joined to the season's batches, which restricts
+    # it; the measures' own batch filters save work.
     out = attach(hdr, tube_split(cat, seasons, config), "GraderBatchID")
-    out = attach(out, presize_units(cat, seasons, config, exact=False), "GraderBatchID")
-    out = attach(out, repack_units(cat, seasons), "GraderBatchID")
+    return attach(out, repack_units(cat, seasons), "GraderBatchID")
+
+
+def finish_units(out: DataFrame) -> DataFrame:
+    """Presize and repack units zero-filled, and the total."""
     out = (out.withColumn("PSgrowerRTEs", fill_zero("PSgrowerRTEs"))
               .withColumn("repackRTEs", fill_zero("repackRTEs")))
     total = (F.col("tubePacks") + F.col("exportBins") + F.col("japanTrayPacks")
              + F.col("tempZPacks") + F.col("PSgrowerRTEs") + F.col("repackRTEs"))
-    return to_schema(out.withColumn("totalGrowerRTEs", total), PACK_UNITS)
+    return out.withColumn("totalGrowerRTEs", total)
+
+
+def pack_units(cat: Catalog, seasons: Iterable[int],
+               config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+    seasons = [int(s) for s in seasons]
+    out = attach(unit_header(cat, seasons, config), presize_units(cat, seasons, config, exact=False), "GraderBatchID")
+    return to_schema(finish_units(out), PACK_UNITS)

@@ -17,14 +17,21 @@ from a server becomes double here), so column pruning still reaches the scan.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 
-import pyarrow.dataset as ds
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from binyard.sources.schemas import BOUNDED, schema_of
+from binyard.config import CURRENT, DEFAULT_CONFIG, ReportConfig
+from binyard.functions.semantics import (
+    season_bands, season_text_filter, timestamp_season_filter, year_season_filter,
+)
+from binyard.sources.schemas import (
+    BATCH_SEASON, BOUNDED, CREATED, CREATED_YEAR, DERIVED, FACTS, PALLET_SEASON, schema_of,
+)
+from binyard.sources.storage import Folder
 
 
 def conform(df: DataFrame, generation: str, name: str) -> DataFrame:
@@ -96,6 +103,20 @@ class Catalog:
             cache[key] = conform(self._load(generation, name), generation, name)
         return cache[key]
 
+    def created_in(self, generation: str, name: str, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+        """Rows of a table created in the requested seasons' years."""
+        return self.table(generation, name).filter(timestamp_season_filter(CREATED, seasons, config))
+
+    def batch_ids(self, seasons) -> DataFrame | None:
+        """Ids of the current batches whose season text is requested, each
+        once, as one scan; None where no such list is staged."""
+        return None
+
+    def batch_pallets(self, seasons) -> DataFrame | None:
+        """(PalletDetailID, GraderBatchID, ProductID) of the pallets of those
+        batches, as one scan; None where they are not staged."""
+        return None
+
     #: Largest code list (rows) that is broadcast by hint.
     broadcast_row_limit: int = 100_000
 
@@ -153,61 +174,138 @@ class Catalog:
 
 
 class ParquetCatalog(Catalog):
+    """A staged catalog.  ``MANIFEST`` at its root, written by
+    ``sinks.write_catalog``, holds every table's row count: size proofs read
+    that one small file, whatever the storage and the number of data files.
+    Without a manifest nothing is known, and Spark plans by its own sizes."""
+
+    MANIFEST = "manifest.json"
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _raw(self, generation, name):
+        cache = self.__dict__.setdefault("_read", {})
+        key = (generation, name)
+        if key not in cache:
+            if self.row_bound(generation, name) == 0:  # an empty partitioned table has no file
+                cache[key] = self.spark.createDataFrame([], schema_of(generation, name))
+            else:
+                cache[key] = self.spark.read.parquet(f"{self.root}/{generation}/{name}")
+        return cache[key]
+
     def _load(self, generation, name):
         # conform() restores the declared column order and types (a partition
         # column such as SeasonID comes back last, as discovered).
-        return self.spark.read.parquet(f"{self.root}/{generation}/{name}")
+        return self._raw(generation, name)
+
+    def created_in(self, generation, name, seasons, config=DEFAULT_CONFIG):
+        """Where the table is staged by creation year, the bands are a filter
+        of that partition column too: other years' folders are not listed."""
+        raw = self._raw(generation, name)
+        if CREATED_YEAR not in raw.columns:
+            return super().created_in(generation, name, seasons, config)
+        raw = raw.filter(year_season_filter(CREATED_YEAR, seasons, config))
+        return conform(raw, generation, name).filter(timestamp_season_filter(CREATED, seasons, config))
+
+    def manifest(self) -> dict:
+        """``{generation: {table: {"rows": n}}}``, read once; empty without one."""
+        if "_manifest" not in self.__dict__:
+            text = Folder(self.spark, self.root).read(self.MANIFEST)
+            self._manifest = json.loads(text)["tables"] if text else {}
+        return self._manifest
 
     def row_bound(self, generation, name):
-        """The rows by the table's Parquet footers, read once by the driver (no
-        Spark job); None where the path is one that only Spark can read."""
-        cache = self.__dict__.setdefault("_rows", {})
-        key = (generation, name)
-        if key not in cache:
-            try:
-                cache[key] = ds.dataset(f"{self.root}/{generation}/{name}", format="parquet").count_rows()
-            except (OSError, ValueError):
-                cache[key] = None
-        return cache[key]
+        found = self.manifest().get(generation, {}).get(name)
+        return None if found is None else found["rows"]
+
+    def _derived(self, name, seasons):
+        if name not in self.manifest().get(CURRENT, {}):
+            return None
+        cache = self.__dict__.setdefault("_read", {})
+        if name not in cache:
+            cache[name] = (self.spark.read.schema(DERIVED[name]).parquet(f"{self.root}/{CURRENT}/{name}")
+                           if self.row_bound(CURRENT, name) else self.spark.createDataFrame([], DERIVED[name]))
+        return cache[name].filter(season_text_filter("SeasonDesc", seasons)).drop("SeasonDesc")
+
+    def batch_ids(self, seasons):
+        return self._derived(BATCH_SEASON, seasons)
+
+    def batch_pallets(self, seasons):
+        return self._derived(PALLET_SEASON, seasons)
 
 
 class JdbcCatalog(Catalog):
     """One JDBC source per generation: ``options[generation]`` holds the
     reader options (``url``, ``user``, ``password``, ``driver``...).
 
-    A plain JDBC read is ONE task over one connection, so every fact table
-    must be given a partitioned read in ``partitioning``, keyed by table name
-    or ``(generation, name)``:
+    A plain JDBC read is ONE task over one connection, so a fact table is
+    always read in splits.  They are planned from what the reports know:
 
-    * ``{"partitionColumn": "PalletDetailID", "lowerBound": 1,
-      "upperBound": 10**10, "numPartitions": 2000}`` - range splits; or
-    * ``{"predicates": ["SeasonID = 6", "SeasonID = 7", ...]}`` - one task per
-      predicate (e.g. per season code, or per id range).
+    * a table with a season code is split by the season map, one predicate per
+      code, and one for all other codes and NULL;
+    * a table with a creation time is split by the years of the season bands,
+      and one predicate for all other times and NULL;
+    * ``ids[(generation, name)] = (lower, upper, parts)`` cuts each of these
+      splits - or, for a table with neither, the whole - into ranges of the
+      table's id column (``schemas.FACTS``), open at both ends, NULL ids in
+      the first.
+
+    The splits of a table are disjoint and cover every row.  Explicit
+    ``partitioning``, keyed by table name or ``(generation, name)``, overrules
+    the planner: ``{"partitionColumn": ..., "lowerBound": ..., "upperBound":
+    ..., "numPartitions": ...}`` or ``{"predicates": [...]}``.  A fact table
+    without any of these raises instead of becoming one task.
 
     Simple filters of the reports (season codes, flags, id ranges) are still
-    pushed into each partition's WHERE clause by Spark.
+    pushed into each split's WHERE clause by Spark.
     """
 
     def __init__(self, spark: SparkSession, options: Mapping[str, Mapping[str, str]],
-                 partitioning: Mapping | None = None, rows: Mapping | None = None):
+                 partitioning: Mapping | None = None, rows: Mapping | None = None,
+                 ids: Mapping | None = None, config: ReportConfig = DEFAULT_CONFIG):
         """``rows``: upper bounds on tables' rows, keyed by (generation, name),
         which prove that a broadcast fits."""
         self.spark, self.options, self.rows = spark, options, dict(rows or {})
-        self.partitioning = dict(partitioning or {})
+        self.partitioning, self.ids, self.config = dict(partitioning or {}), dict(ids or {}), config
 
     def known_rows(self) -> dict:
         return self.rows
 
+    def splits(self, generation: str, name: str) -> list[str]:
+        """Predicates that cut a fact table; none for a lookup."""
+        if (generation, name) not in FACTS:
+            return []
+        columns = schema_of(generation, name).fieldNames()
+        if "SeasonID" in columns:
+            codes = sorted(self.config.season_codes[generation])
+            first = [f"SeasonID = {c}" for c in codes]
+            first.append(f"SeasonID IS NULL OR SeasonID NOT IN ({', '.join(map(str, codes))})")
+        elif CREATED in columns:
+            bands = [b for y in self.config.timestamp_seasons for b in season_bands([y], self.config)]
+            day = "'{:04d}-01-01T00:00:00'".format
+            first = [f"{CREATED} >= {day(a)} AND {CREATED} < {day(b)}" for a, b in bands]
+            first.append(" AND ".join([f"NOT ({x})" for x in first]) + f" OR {CREATED} IS NULL")
+        else:
+            first = []
+        ranges = id_ranges(FACTS[(generation, name)], *self.ids[(generation, name)]) if (generation, name) in self.ids else []
+        if first and ranges:
+            return [f"({a}) AND ({b})" for a in first for b in ranges]
+        return first or ranges
+
     def read_plan(self, generation: str, name: str) -> dict:
         """Reader options for one table (exposed for inspection and tests)."""
         part = self.partitioning.get((generation, name), self.partitioning.get(name, {}))
         # the ERP's timestamps are wall-clock: never shifted by a zone
         opts = {"preferTimestampNTZ": "true", **self.options[generation], "dbtable": name}
         opts.update({k: str(v) for k, v in part.items() if k != "predicates"})
-        return {"options": opts, "predicates": list(part.get("predicates", []))}
+        predicates = list(part.get("predicates", []))
+        if not part:
+            predicates = self.splits(generation, name)
+            if not predicates and (generation, name) in FACTS:
+                raise ValueError(f"{generation}.{name} grows with the data and would be read by one task: "
+                                 f"give the bounds of {FACTS[(generation, name)]} in ids, or its partitioning")
+        return {"options": opts, "predicates": predicates}
 
     def _load(self, generation, name):
         plan = self.read_plan(generation, name)
@@ -219,6 +317,19 @@ class JdbcCatalog(Catalog):
         return self.spark.read.format("jdbc").options(**plan["options"]).load()
 
 
+def id_ranges(column: str, lower: int, upper: int, parts: int) -> list[str]:
+    """``parts`` predicates on an integer column, near even between ``lower``
+    and ``upper``; the outer two are open, and NULL is in the first."""
+    if parts < 1 or upper < lower:
+        raise ValueError(f"no ranges of {column}: {lower} to {upper} in {parts}")
+    cuts = sorted({lower + (upper - lower + 1) * i // parts for i in range(1, parts)} - {lower})
+    if not cuts:
+        return [f"{column} IS NULL OR {column} IS NOT NULL"]
+    return ([f"{column} < {cuts[0]} OR {column} IS NULL"]
+            + [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
+            + [f"{column} >= {cuts[-1]}"])
+
+
 class FrameCatalog(Catalog):
     """Tables given as DataFrames or as zero-argument factories."""
 

@@ -105,6 +105,42 @@ BOUNDED = frozenset({
 })
 
 
+#: Tables that grow with the fruit, and the id column that splits a read of
+#: each.  A read of one of them must not be a single task.
+FACTS = {
+    (CURRENT, "ma_Grader_BatchT"): "GraderBatchID", (CURRENT, "ma_Bin_DeliveryT"): "BinDeliveryID",
+    (CURRENT, "ma_Pallet_DetailT"): "PalletDetailID",
+    (CURRENT, "ma_Export_Bin_DetailT"): "ExportBinDetailID",
+    (CURRENT, "ma_Bin_UsageT"): "GraderBatchID",
+    (CURRENT, "ma_Repack_Input_CartonT"): "FromPalletDetailID",
+    (CURRENT, "qa_AssessmentT"): "AssessmentID",
+    (CURRENT, "qa_Assessment_DefectT"): "AssessmentDefectID",
+    (LEGACY, "ma_Grader_BatchT"): "GraderBatchID", (LEGACY, "ma_BinT"): "BinID",
+    (LEGACY, "ma_Bin_UsageT"): "GraderBatchID", (LEGACY, "qa_AssessmentT"): "AssessmentID",
+    (LEGACY, "qa_Assessment_DefectT"): "AssessmentDefectID",
+}
+
+#: Tables that no report joins to many-to-one.
+_NO_KEY = {"ma_Bin_UsageT", "ma_Repack_Input_CartonT", "ma_Export_Bin_DetailT",
+           "qa_Assessment_DefectT"}
+
+#: Column that must be unique in a table: every lookup and header is joined on
+#: it many-to-one.  NULL keys are allowed (they match nothing).
+KEYS = {(gen, name): schema.fieldNames()[0]
+        for gen, tables in SCHEMAS.items() for name, schema in tables.items() if name not in _NO_KEY}
+
+#: Column of a derived partition: the year a row was created in.
+CREATED, CREATED_YEAR = "CreatedDateTime", "CreatedYear"
+
+#: Derived tables of a staged catalog, partitioned by the season text of the
+#: batch: every current batch, and every pallet of one.
+BATCH_SEASON, PALLET_SEASON = "BatchSeason", "PalletSeason"
+DERIVED = {
+    BATCH_SEASON: _schema(("GraderBatchID", L), ("SeasonDesc", S)),
+    PALLET_SEASON: _schema(("PalletDetailID", L), ("GraderBatchID", L), ("ProductID", L), ("SeasonDesc", S)),
+}
+
+
 def schema_of(generation: str, name: str) -> T.StructType:
     try:
         return SCHEMAS[generation][name]

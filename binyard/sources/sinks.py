@@ -2,21 +2,31 @@
 
 The reference returns its frame to the caller; here a report is a DataFrame
 the caller writes, partitioned by season so later reads prune.
-``write_catalog`` stages a whole ERP catalog as Parquet in the layout
-``ParquetCatalog`` reads, partitioning every table that carries a season code
-by ``SeasonID``: the reports' inverted season filter then prunes directories
-(``PartitionFilters``) instead of only row groups.
+
+* ``publish_report`` / ``read_report`` - versioned: readers see a whole version
+  or the one before it, never a half-written one (``sources.versions``).
+* ``write_report`` - plain partitioned files for other tools; a reader beside
+  it may see some seasons replaced and others not.
+* ``write_catalog`` stages a whole ERP catalog as Parquet in the layout
+  ``ParquetCatalog`` reads: tables with a season code partitioned by it, tables
+  with a creation time by its year, so that the reports' season filters prune
+  directories (``PartitionFilters``) instead of only row groups; keys checked,
+  rows counted on the way into a manifest.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from binyard.config import CURRENT
+from binyard.sources import versions
 from binyard.sources.catalog import Catalog, ParquetCatalog
-from binyard.sources.schemas import SCHEMAS
+from binyard.sources.schemas import BATCH_SEASON, CREATED, CREATED_YEAR, KEYS, PALLET_SEASON, SCHEMAS
+from binyard.sources.storage import Folder
 
 
 SEASON_COLUMNS = ("Season", "SeasonDesc")
@@ -32,7 +42,7 @@ def write_report(df: DataFrame, path: str, mode: str = "overwrite",
 
     Pack-out and defect share take fact seasons from the facts' own times, so
     a batch's figures depend on the set of seasons asked for together (T10):
-    always ask for, and refresh, the same set."""
+    always ask for, and refresh, the same set, or keep a ``SeasonStore``."""
     if partition_col is None:
         partition_col = next((c for c in SEASON_COLUMNS if c in df.columns), None)
     if partition_col not in df.columns:
@@ -48,19 +58,77 @@ def write_report(df: DataFrame, path: str, mode: str = "overwrite",
             folder.getFileSystem(conf).delete(folder, True)
 
 
-def write_catalog(cat: Catalog, root: str, partition_col: str = "SeasonID",
-                  mode: str = "overwrite") -> ParquetCatalog:
-    """Write every ERP table of ``cat`` under ``root/<generation>/<table>``.
+REPORT = "report"
+
+
+def publish_report(df: DataFrame, path: str, seasons: Iterable[int], partition_col: str | None = None) -> int:
+    """Publish the report of ``seasons`` as a new version under ``path``; other
+    seasons published before stay.  Returns the version's number.
+
+    Pack-out, defect share and presize units depend on the set of seasons asked
+    for together (T10); to refresh season by season, keep them in a
+    ``plans.season_store.SeasonStore`` instead."""
+    if partition_col is None:
+        partition_col = next((c for c in SEASON_COLUMNS if c in df.columns), None)
+    return versions.publish(df.sparkSession, path, {REPORT: (df, partition_col)}, seasons)
+
+
+def read_report(spark: SparkSession, path: str, seasons: Iterable[int] | None = None,
+                version: int | None = None) -> DataFrame:
+    """A published report, by default its latest version and all its seasons."""
+    return versions.read(spark, path, REPORT, seasons, version)
+
+
+def check_key(df: DataFrame, key: str, label: str) -> None:
+    """Raise if a non-NULL ``key`` occurs twice: a doubled lookup key multiplies
+    every row that is joined to it, and voids the proof that a flattened
+    dimension is no longer than its base table.  One grouped count, partial
+    before its shuffle."""
+    twice = (df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col(key).isNotNull() & (F.col("rows") > 1))
+             .orderBy(F.desc("rows"), key).limit(3).collect())
+    if twice:
+        raise ValueError(f"{label}: {key} is not unique: " + ", ".join(f"{r[0]} ({r[1]} rows)" for r in twice))
+
+
+def _layout(df: DataFrame) -> tuple[DataFrame, str | None]:
+    """The frame with its partition column, if the table has one."""
+    if "SeasonID" in df.columns:
+        return df, "SeasonID"
+    if CREATED in df.columns:
+        return df.withColumn(CREATED_YEAR, F.year(CREATED)), CREATED_YEAR
+    return df, None
+
+
+def write_catalog(cat: Catalog, root: str, mode: str = "overwrite", check_keys: bool = True) -> ParquetCatalog:
+    """Write every ERP table of ``cat`` under ``root/<generation>/<table>``,
+    beside them every current batch and its pallets by season text, and last the manifest
+    with the rows that each write observed.  ``check_keys``: read each written
+    key column back and raise if it is not unique (``schemas.KEYS``).
 
     ``root`` must be shared storage on a cluster (for example a path under the
     cluster's ``spark.checkpoint.dir``), never an executor-local folder.
     """
-    root = root.rstrip("/")
+    spark, root = cat.spark, root.rstrip("/")
+    folder, counts = Folder(spark, root), {}
+    folder.delete(ParquetCatalog.MANIFEST)  # a half-written catalog proves nothing
+    out = ParquetCatalog(spark, root)
+    out._manifest = counts  # grows as tables are written
+
+    def write(gen: str, name: str, df: DataFrame, partition: str | None) -> None:
+        seen = Observation()
+        w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+        (w.partitionBy(partition) if partition else w).parquet(f"{root}/{gen}/{name}")
+        counts.setdefault(gen, {})[name] = {"rows": seen.get["rows"]}
+
     for gen, tables in SCHEMAS.items():
         for name in tables:
-            df = cat.table(gen, name)
-            w = df.write.mode(mode)
-            if partition_col in df.columns:
-                w = w.partitionBy(partition_col)
-            w.parquet(f"{root}/{gen}/{name}")
-    return ParquetCatalog(cat.spark, root)
+            write(gen, name, *_layout(cat.table(gen, name)))
+            if check_keys and (gen, name) in KEYS:
+                check_key(out.table(gen, name).select(KEYS[(gen, name)]), KEYS[(gen, name)], f"{gen}.{name}")
+    season = out.table(CURRENT, "sw_SeasonT")
+    batches = out.table(CURRENT, "ma_Grader_BatchT").select("GraderBatchID", "SeasonID").join(season, "SeasonID", "inner")
+    write(CURRENT, BATCH_SEASON, batches.select("GraderBatchID", "SeasonDesc"), "SeasonDesc")
+    pallets = out.table(CURRENT, "ma_Pallet_DetailT").select("PalletDetailID", "GraderBatchID", "ProductID")
+    write(CURRENT, PALLET_SEASON, pallets.join(batches.select("GraderBatchID", "SeasonDesc"), "GraderBatchID", "inner"), "SeasonDesc")
+    folder.replace(ParquetCatalog.MANIFEST, json.dumps({"tables": counts}))
+    return ParquetCatalog(spark, root)
