@@ -14,10 +14,11 @@ from binyard.plans.defect_share import defect_share
 from binyard.plans.pack_units import pack_units
 from binyard.session import build_session, materialize
 from binyard.sources.catalog import FrameCatalog, JdbcCatalog, ParquetCatalog
-from binyard.sources.sinks import write_catalog, write_report
+from binyard.plans.season_store import SeasonStore
+from binyard.sources.sinks import publish_report, read_report, write_catalog, write_report
 
 __all__ = [
     "DEFAULT_CONFIG", "ReportConfig", "batch_packout", "bin_intake", "defect_share", "pack_units",
-    "FrameCatalog", "JdbcCatalog", "ParquetCatalog", "build_session", "materialize",
-    "write_catalog", "write_report",
+    "FrameCatalog", "JdbcCatalog", "ParquetCatalog", "SeasonStore", "build_session", "materialize",
+    "publish_report", "read_report", "write_catalog", "write_report",
 ]

@@ -93,6 +93,9 @@ class ReportConfig:
         LEGACY: LEGACY_TEMPLATES,
         CURRENT: CURRENT_TEMPLATES,
     })
+    #: Collation of texts that the server compares with literals (site names,
+    #: QA templates); None: trailing blanks are ignored and case counts.
+    server_collation: str | None = None
     juice_product_id: int = JUICE_PRODUCT_ID
     presize_skip_null_weight_product_id: int = PRESIZE_SKIP_NULL_WEIGHT_PRODUCT_ID
     tempz_first_batch_id: int = TEMPZ_FIRST_BATCH_ID

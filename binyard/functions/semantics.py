@@ -140,24 +140,31 @@ def starts_with_ci(c, prefix: str) -> Column:
     return F.upper(_col(c)).startswith(prefix.upper())
 
 
-def server_equals(c, literal: str) -> Column:
-    """String equality as the SQL server does it: trailing blanks ignored."""
+def server_equals(c, literal: str, collation: str | None = None) -> Column:
+    """String equality as the SQL server does it (T7): trailing blanks ignored.
+
+    ``collation`` names a Spark collation that ignores them too, for servers
+    whose collation also ignores case or accents: ``UTF8_LCASE_RTRIM``,
+    ``UNICODE_CI_RTRIM``, ``UNICODE_CI_AI_RTRIM``...  Without one case counts."""
+    if collation:
+        return F.collate(_col(c), collation) == F.lit(literal)
     return F.rtrim(_col(c)) == F.lit(literal.rstrip(" "))
 
 
 # --------------------------------------------------------------- label maps
 
 
-def map_label(c, pairs: Sequence[tuple], default=None, *, server_side=False) -> Column:
+def map_label(c, pairs: Sequence[tuple], default=None, *, server_side=False,
+              collation: str | None = None) -> Column:
     """First-match code/label map as one CASE expression.
 
     ``default`` may be a literal or a Column (e.g. the input itself).  With
-    ``server_side=True`` string keys compare with trailing blanks ignored.
+    ``server_side=True`` string keys compare as ``server_equals`` does.
     """
     c = _col(c)
     expr = None
     for key, label in pairs:
-        cond = server_equals(c, key) if (server_side and isinstance(key, str)) else (c == F.lit(key))
+        cond = server_equals(c, key, collation) if (server_side and isinstance(key, str)) else (c == F.lit(key))
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     if default is None:
         return expr

@@ -86,6 +86,10 @@ def exported_by_created(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CO
     """(GraderBatchID, _kg, *by): the season's export-bin weight of each pallet
     (per value of ``by``), a pallet of any season (T10); pallets without a
     weight give no row."""
+    staged = cat.export_batches(seasons, config)
+    if staged is not None:
+        return (staged.groupBy("GraderBatchID", "PalletDetailID", *by)
+                .agg(server_sum("KGWeight").alias("_kg")).filter(F.col("_kg").isNotNull()).drop("PalletDetailID"))
     weighed = (cat.created_in(CURRENT, "ma_Export_Bin_DetailT", seasons, config)
                .groupBy("PalletDetailID", *by)
                .agg(server_sum("KGWeight").alias("_kg")).filter(F.col("_kg").isNotNull()))
@@ -111,10 +115,8 @@ def pallets_by_product(cat: Catalog, seasons, config: ReportConfig = DEFAULT_CON
 
     Units are summed per (batch, product) before the product lookup: the net
     weight is one per product, and a hot product is one row per batch."""
-    pallets = cat.created_in(CURRENT, "ma_Pallet_DetailT", seasons, config)
-    exported = cat.table(CURRENT, "ma_Export_Bin_DetailT").select("PalletDetailID").distinct().withColumn("_exported", F.lit(True))
-    p = attach(pallets, exported, "PalletDetailID")
-    p = (p.groupBy("GraderBatchID", "ProductID", F.col("_exported").isNull().alias("_loose"), *by)
+    p = (cat.pallets_created_in(seasons, config)
+         .groupBy("GraderBatchID", "ProductID", (~F.col("_exported")).alias("_loose"), *by)
          .agg(F.sum(F.col("NoOfUnits").cast("double")).alias("_units")))
     p = lookup(p, pallet_product(cat), "ProductID",
                ["NetFruitWeight", "SampleFlag", "GradeDesc", "PoolByRule"])
@@ -176,10 +178,27 @@ def finish_current(out: DataFrame, config: ReportConfig = DEFAULT_CONFIG) -> Dat
         "PickNo")
 
 
+def _pallet_measures_attached(hdr: DataFrame, cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
+    """The header with sampleKgs and looseKgs.  Over staged export rows, which
+    carry their batch, the two sources of loose weight are attached apart:
+    over a bucketed catalog neither is then exchanged, as a union would be."""
+    if cat.export_batches(seasons, config) is None:
+        return attach(hdr, pallet_measures(cat, seasons, config), "GraderBatchID")
+    weight = F.col("_units") * F.col("NetFruitWeight")
+    units = (pallets_by_product(cat, seasons, config).groupBy("GraderBatchID")
+             .agg(server_sum(F.when(F.col("SampleFlag"), weight)).alias("sampleKgs"),
+                  sum_or_zero(F.when(F.col("_is_loose"), weight)).alias("_looseUnits")))
+    exported = (exported_rows(cat, seasons, config).groupBy("GraderBatchID")
+                .agg(sum_or_zero("_kg").alias("_looseExport")))
+    out = attach(attach(hdr, units, "GraderBatchID"), exported, "GraderBatchID")
+    return out.withColumn("looseKgs", fill_zero("_looseUnits") + fill_zero("_looseExport"))
+
+
 def _current(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
     out = current_header(cat, seasons, config)
-    for measures in (juice_weight, pallet_measures, bins_tipped):
-        out = attach(out, measures(cat, seasons, config), "GraderBatchID")
+    out = attach(out, juice_weight(cat, seasons, config), "GraderBatchID")
+    out = _pallet_measures_attached(out, cat, seasons, config)
+    out = attach(out, bins_tipped(cat, seasons, config), "GraderBatchID")
     return finish_current(out, config)
 
 

@@ -40,13 +40,13 @@ def _place_lookups(df: DataFrame, cat: Catalog, gen: str) -> DataFrame:
                   ["CompanyName"], rename={"CompanyName": _SITE})
 
 
-def current_storage_site(config_split: int = C.CURRENT_SITE_SPLIT_SEASON_ID):
+def current_storage_site(config_split: int = C.CURRENT_SITE_SPLIT_SEASON_ID, collation: str | None = None):
     site, sid = F.col(_SITE), F.col("SeasonID")
-    te_ipu = server_equals(site, C.CURRENT_SITE_COMPANY)
+    te_ipu = server_equals(site, C.CURRENT_SITE_COMPANY, collation)
     expr = (F.when(te_ipu & (sid > config_split), F.lit(C.CURRENT_SITE_NEW))
             .when(te_ipu & (sid <= config_split), F.lit(C.CURRENT_SITE_OLD)))
     for name, label in C.CURRENT_SITE_BY_NAME:
-        expr = expr.when(server_equals(site, name), F.lit(label))
+        expr = expr.when(server_equals(site, name, collation), F.lit(label))
     return expr.otherwise(F.lit(C.CURRENT_SITE_DEFAULT))
 
 
@@ -70,7 +70,7 @@ def _current(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
         norm_owner("owner").alias("owner"),
         "PickNoDesc", "TreatmentDesc", "TagDesc", "GrowingTypeDesc", "MaturityCode",
         map_label("StorageTypeID", C.STORAGE_TYPE_BY_ID, C.STORAGE_TYPE_DEFAULT).alias("StorageType"),
-        current_storage_site().alias("StorageSite"))
+        current_storage_site(collation=config.server_collation).alias("StorageSite"))
 
 
 def _legacy(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
@@ -82,7 +82,8 @@ def _legacy(cat: Catalog, seasons, config: ReportConfig) -> DataFrame:
         & (season == F.year("HarvestDate")))
     bins = _place_lookups(bins, cat, LEGACY)
     bins = lookup(bins, D("sw_ESPT"), "ESPID", ["ESPCode"])
-    site = map_label(_SITE, C.LEGACY_SITE_BY_NAME, F.col(_SITE), server_side=True)
+    site = map_label(_SITE, C.LEGACY_SITE_BY_NAME, F.col(_SITE), server_side=True,
+                     collation=config.server_collation)
     none = F.lit(None).cast("string")
     return bins.select(
         F.col("BinID").alias("BinDeliveryID"),

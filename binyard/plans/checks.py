@@ -28,11 +28,14 @@ from binyard.functions.semantics import (
 from binyard.operators.joins import anti, attach, lookup, semi
 from binyard.operators.unions import schema_columns, union_all
 from binyard.plans import oracle as O
-from binyard.plans.batch_packout import batch_packout, export_weight, juice_weight, pallet_measures
+from binyard.plans.batch_packout import (
+    batch_packout, current_header, export_weight, finish_current, juice_weight, pallet_measures,
+)
 from binyard.plans.bin_intake import bin_intake
-from binyard.plans.defect_share import defect_share, sample_sizes
+from binyard.plans.defect_share import _union, defect_share, sample_sizes
 from binyard.plans.pack_units import pack_units, presize_units, repack_units, tube_split
 from binyard.plans.schemas import BATCH_PACKOUT, BIN_INTAKE, DEFECT_SHARE, PACK_UNITS
+from binyard.plans.season_store import STATE, measures, merge_state, packout_state, presize_state
 from binyard.sources.catalog import Catalog
 from binyard.sources.testdata import TestdataCatalog
 
@@ -261,6 +264,10 @@ def _int_text():
     return (F.when(k % 20 == 2, F.concat(k.cast("string"), F.lit("d")))
             .when(k % 20 == 6, F.concat(k.cast("string"), F.lit("F")))
             .when(k % 20 == 10, F.concat(F.lit(" "), k.cast("string"), F.lit(" ")))
+            .when(k % 20 == 14, F.concat(k.cast("string"), F.lit("e2")))
+            .when(k % 20 == 18, F.concat(F.lit("0x"), F.lower(F.hex(k))))
+            .when(k % 20 == 3, F.concat(F.lit("0X"), F.hex(k), F.lit(" ")))
+            .when(k % 20 == 7, F.concat(F.lit("-"), k.cast("string"), F.lit(".")))
             .when(m == 0, k.cast("string"))
             .when(m == 1, F.concat(k.cast("string"), F.lit(".7")))
             .when(m == 2, F.concat(F.lit("abc"), k.cast("string")))
@@ -273,6 +280,22 @@ def to_int_text(cat):
     return b.select("GraderBatchID", "rawText", to_int("rawText").alias("asInt"))
 
 
+def _each_season(build, cat):
+    """State computed season by season, then merged."""
+    return merge_state(*[build(cat, [s]) for s in CURRENT_ONLY])
+
+
+def packout_from_state(cat):
+    """The current pack-out from state that was computed season by season."""
+    header = _union([current_header(cat, [s]) for s in CURRENT_ONLY])
+    return finish_current(attach(header, measures(_each_season(packout_state, cat)), "GraderBatchID"))
+
+
+def season_state(cat):
+    """A1-A5 and A11 as (sum, non-NULL count, row count) per batch and fact season."""
+    return packout_state(cat, CURRENT_ONLY).unionByName(presize_state(cat, CURRENT_ONLY))
+
+
 def storage_days(cat):
     """Whole days from harvest to packing, as a double."""
     return _cur(cat, "ma_Grader_BatchT").select(
@@ -333,6 +356,10 @@ def _sql_int_text():
     return (f"CASE WHEN {k} % 20 = 2 THEN CAST({k} AS VARCHAR) || 'd' "
             f"WHEN {k} % 20 = 6 THEN CAST({k} AS VARCHAR) || 'F' "
             f"WHEN {k} % 20 = 10 THEN ' ' || CAST({k} AS VARCHAR) || ' ' "
+            f"WHEN {k} % 20 = 14 THEN CAST({k} AS VARCHAR) || 'e2' "
+            f"WHEN {k} % 20 = 18 THEN '0x' || printf('%x', {k}) "
+            f"WHEN {k} % 20 = 3 THEN '0X' || printf('%X', {k}) || ' ' "
+            f"WHEN {k} % 20 = 7 THEN '-' || CAST({k} AS VARCHAR) || '.' "
             f"WHEN {k} % 4 = 0 THEN CAST({k} AS VARCHAR) "
             f"WHEN {k} % 4 = 1 THEN CAST({k} AS VARCHAR) || '.7' "
             f"WHEN {k} % 4 = 2 THEN 'abc' || CAST({k} AS VARCHAR) "
@@ -411,6 +438,7 @@ _SQL = {
             LEFT JOIN cur_sw_Tube_TypeT tt ON pr.TubeTypeID = tt.TubeTypeID) s""",
     "to_int_text": lambda: f"""SELECT GraderBatchID, rawText, {O.to_int('rawText')} AS asInt
       FROM (SELECT GraderBatchID, {_sql_int_text()} AS rawText FROM cur_ma_Grader_BatchT) s""",
+    "season_state": lambda: O.season_state_sql(CURRENT_ONLY),
     "storage_days": lambda: """SELECT GraderBatchID, CAST(PackDate - HarvestDate AS DOUBLE) AS storageDays
       FROM cur_ma_Grader_BatchT""",
     "juice_weight": lambda: f"""SELECT PresizeOutputFromGraderBatchID AS GraderBatchID,
@@ -555,6 +583,10 @@ _add("batch_packout_legacy", lambda cat: batch_packout(cat, LEGACY_ONLY),
      lambda: O.batch_packout_sql(LEGACY_ONLY), BATCH_PACKOUT)
 _add("batch_packout_current", lambda cat: batch_packout(cat, CURRENT_ONLY),
      lambda: O.batch_packout_sql(CURRENT_ONLY), BATCH_PACKOUT)
+_add("packout_from_state", packout_from_state,
+     lambda: O.batch_packout_sql(CURRENT_ONLY), BATCH_PACKOUT,
+     note="T10: the state of each season computed apart, then merged")
+_add("season_state", season_state, _SQL["season_state"], STATE)
 _add("defect_share", lambda cat: defect_share(cat, ALL_SEASONS),
      lambda: O.defect_share_sql(ALL_SEASONS), DEFECT_SHARE)
 _add("pack_units", lambda cat: pack_units(cat, PACK_SEASONS),

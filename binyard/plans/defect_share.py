@@ -5,10 +5,12 @@ Plan per generation (only generations whose seasons meet the request):
 
 * assessments of the wanted template and seasons (template filter applied to
   the small template list, then a broadcast semi join);
-* defects pre-aggregated per (AssessmentID, DefectID) *before* the shuffle
-  join to assessments: a hot assessment collapses to one row per defect, and
-  the strict (NULL-poisoning) sum is carried as partial sum + counts so it can
-  be combined again per (Season, GraderBatchID, Defect);
+* raw defects joined to those assessments in one exchange (Spark filters the
+  defect scan by a runtime Bloom filter of the wanted assessments where that
+  pays, and splits a hot assessment), then summed per (Season, GraderBatchID,
+  DefectID) with map-side partial sums; the strict (NULL-poisoning) sum is
+  carried as partial sum + counts so it can be combined again per (Season,
+  GraderBatchID, Defect);
 * sample size per (Season, GraderBatchID) as a SQL sum.
 
 Then the union of both generations is joined to the sample sizes and to
@@ -37,10 +39,9 @@ from binyard.sources.catalog import Catalog
 
 
 def _wanted_assessments(cat: Catalog, gen: str, seasons, config: ReportConfig) -> DataFrame:
-    names = config.templates[gen]
-    cond = None
-    for n in names:
-        cond = server_equals("TemplateName", n) if cond is None else (cond | server_equals("TemplateName", n))
+    cond = F.lit(False)
+    for name in config.templates[gen]:
+        cond = cond | server_equals("TemplateName", name, config.server_collation)
     templates = cat.dim(gen, "qa_TemplateT").filter(cond).select("TemplateID")
     a = cat.table(gen, "qa_AssessmentT").filter(season_code_filter("SeasonID", seasons, gen, config))
     a = a.join(templates, "TemplateID", "left_semi")

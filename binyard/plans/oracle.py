@@ -249,7 +249,9 @@ def norm_owner(col: str) -> str:
 
 
 def to_int(col: str) -> str:
-    d = f"TRY_CAST({col} AS DOUBLE)"
+    plain = f"lower(trim({col}))"
+    d = (f"CASE WHEN starts_with({plain}, '0x') THEN CAST(TRY_CAST({plain} AS BIGINT) AS DOUBLE) "
+         f"ELSE TRY_CAST({col} AS DOUBLE) END")
     return (f"CASE WHEN {d} > -2147483648.0 AND {d} < 2147483648.0 "
             f"THEN CAST(trunc({d}) AS INTEGER) END")
 
@@ -271,6 +273,50 @@ def storage_type_by_id(col: str) -> str:
 # ------------------------------------------------------------------ reports
 
 
+def season_state_sql(seasons) -> str:
+    """Sum, non-NULL count and row count per batch, measure and fact season.
+    Sample and loose units are summed per product (and export row), export
+    weights per pallet, before their rows are counted."""
+    s = in_list(seasons)
+    juice, made = season_case("b.SeasonID", CURRENT), ts_season("p.CreatedDateTime")
+    return f"""WITH
+pal AS (
+  SELECT p.GraderBatchID, p.ProductID, {made} AS FactSeason, x.PalletDetailID IS NULL AS loose, sum(p.NoOfUnits) AS units
+  FROM cur_ma_Pallet_DetailT p
+  LEFT JOIN (SELECT DISTINCT PalletDetailID FROM cur_ma_Export_Bin_DetailT) x ON p.PalletDetailID = x.PalletDetailID
+  WHERE {made} IN {s} GROUP BY 1, 2, 3, 4),
+weighed AS (
+  SELECT pal.*, pal.units * pr.NetFruitWeight AS v, pr.SampleFlag, g.GradeDesc, pt.PoolByRule
+  FROM pal LEFT JOIN cur_sw_ProductT pr ON pal.ProductID = pr.ProductID
+  LEFT JOIN cur_sw_GradeT g ON pr.GradeID = g.GradeID
+  LEFT JOIN cur_sys_fi_Pool_TypeT pt ON g.PoolTypeID = pt.PoolTypeID),
+exported AS (
+  SELECT q.GraderBatchID, p.PalletDetailID, {made} AS FactSeason, sum(p.KGWeight) AS v
+  FROM cur_ma_Export_Bin_DetailT p JOIN cur_ma_Pallet_DetailT q ON p.PalletDetailID = q.PalletDetailID
+  WHERE {made} IN {s} GROUP BY 1, 2, 3 HAVING sum(p.KGWeight) IS NOT NULL),
+presize AS (
+  SELECT bd.PresizeOutputFromGraderBatchID AS GraderBatchID, CAST(se.SeasonDesc AS INTEGER) AS FactSeason,
+         (bd.TotalWeight / tt.PresizeAvgTubeWeight) * tt.RTEConversion AS v
+  FROM cur_ma_Bin_DeliveryT bd
+  JOIN cur_sw_ProductT pr ON bd.PresizeProductID = pr.ProductID
+  LEFT JOIN cur_sw_Tube_TypeT tt ON pr.TubeTypeID = tt.TubeTypeID
+  LEFT JOIN cur_sw_GradeT g ON pr.GradeID = g.GradeID
+  LEFT JOIN cur_sw_SeasonT se ON bd.SeasonID = se.SeasonID
+  WHERE bd.PresizeFlag AND g.JuiceFlag = FALSE AND se.SeasonDesc IN {in_list([str(y) for y in seasons])}
+    AND NOT (bd.TotalWeight IS NULL AND bd.PresizeProductID = {C.PRESIZE_SKIP_NULL_WEIGHT_PRODUCT_ID})),
+rows_ AS (
+  SELECT b.PresizeOutputFromGraderBatchID AS GraderBatchID, {juice} AS FactSeason, 'juice' AS measure, b.TotalWeight AS v
+  FROM cur_ma_Bin_DeliveryT b WHERE b.PresizeProductID = {C.JUICE_PRODUCT_ID} AND {juice} IN {s}
+  UNION ALL SELECT GraderBatchID, FactSeason, 'sample', v FROM weighed WHERE SampleFlag
+  UNION ALL SELECT GraderBatchID, FactSeason, 'loose', v FROM weighed
+    WHERE loose AND PoolByRule = {q(C.POOL_BY_WEIGHT)} AND GradeDesc <> {q(C.EXCLUDED_LOOSE_GRADE)}
+  UNION ALL SELECT GraderBatchID, FactSeason, 'loose', v FROM exported
+  UNION ALL SELECT p.GraderBatchID, {made}, 'tipped', p.BinQty FROM cur_ma_Bin_UsageT p WHERE {made} IN {s}
+  UNION ALL SELECT GraderBatchID, FactSeason, 'presize', v FROM presize)
+SELECT GraderBatchID, FactSeason, measure, sum(v) AS total, count(v) AS present, count(*) AS rows
+FROM rows_ WHERE GraderBatchID IS NOT NULL GROUP BY GraderBatchID, FactSeason, measure"""
+
+
 def batch_packout_sql(seasons) -> str:
     """Body (CTEs + SELECT) of the batch pack-out report for ``seasons``."""
     s = in_list(seasons)

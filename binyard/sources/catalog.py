@@ -17,6 +17,7 @@ from a server becomes double here), so column pruning still reaches the scan.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable, Mapping
 
@@ -28,8 +29,10 @@ from binyard.config import CURRENT, DEFAULT_CONFIG, ReportConfig
 from binyard.functions.semantics import (
     season_bands, season_text_filter, timestamp_season_filter, year_season_filter,
 )
+from binyard.operators.joins import attach
 from binyard.sources.schemas import (
-    BATCH_SEASON, BOUNDED, CREATED, CREATED_YEAR, DERIVED, FACTS, PALLET_SEASON, schema_of,
+    BATCH_SEASON, BOUNDED, CREATED, CREATED_YEAR, DERIVED, EXPORT_BATCH, EXPORTED, FACTS,
+    PALLET_SEASON, schema_of,
 )
 from binyard.sources.storage import Folder
 
@@ -107,6 +110,19 @@ class Catalog:
         """Rows of a table created in the requested seasons' years."""
         return self.table(generation, name).filter(timestamp_season_filter(CREATED, seasons, config))
 
+    def pallets_created_in(self, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame:
+        """Current pallets created in the seasons, with ``_exported``: whether
+        an export row of any time names the pallet."""
+        pallets = self.created_in(CURRENT, "ma_Pallet_DetailT", seasons, config)
+        exported = (self.table(CURRENT, "ma_Export_Bin_DetailT").select("PalletDetailID").distinct()
+                    .withColumn("_exported", F.lit(True)))
+        return attach(pallets, exported, "PalletDetailID").withColumn("_exported", F.col("_exported").isNotNull())
+
+    def export_batches(self, seasons, config: ReportConfig = DEFAULT_CONFIG) -> DataFrame | None:
+        """(GraderBatchID, PalletDetailID, KGWeight, CreatedDateTime) of the
+        export rows created in the seasons; None where they are not staged."""
+        return None
+
     def batch_ids(self, seasons) -> DataFrame | None:
         """Ids of the current batches whose season text is requested, each
         once, as one scan; None where no such list is staged."""
@@ -189,11 +205,32 @@ class ParquetCatalog(Catalog):
         key = (generation, name)
         if key not in cache:
             if self.row_bound(generation, name) == 0:  # an empty partitioned table has no file
-                cache[key] = self.spark.createDataFrame([], schema_of(generation, name))
+                cache[key] = self.spark.createDataFrame([], DERIVED.get(name) or schema_of(generation, name))
             else:
-                cache[key] = self.spark.read.parquet(f"{self.root}/{generation}/{name}")
+                cache[key] = self._open(generation, name)
         return cache[key]
 
+    def _open(self, generation, name):
+        path = f"{self.root}/{generation}/{name}"
+        found = self.manifest().get(generation, {}).get(name, {})
+        if "buckets" not in found:
+            return self.spark.read.schema(DERIVED[name]).parquet(path) if name in DERIVED else self.spark.read.parquet(path)
+        # bucketed files mean something only to a table that knows its buckets
+        table = self.bucket_table(generation, name)
+        if not self.spark.catalog.tableExists(table):
+            schema = T.StructType.fromJson(found["schema"])
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            part = f"PARTITIONED BY ({found['partition']})" if found["partition"] else ""
+            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {part} CLUSTERED BY ({found['by']}) "
+                           f"SORTED BY ({found['by']}) INTO {found['buckets']} BUCKETS LOCATION '{path}'")
+            if part:
+                self.spark.catalog.recoverPartitions(table)
+        return self.spark.table(table)
+
+    def bucket_table(self, generation, name) -> str:
+        """The session's name for a bucketed table of this catalog."""
+        return f"binyard_{hashlib.sha256(self.root.encode()).hexdigest()[:12]}_{generation}_{name}".lower()
+
     def _load(self, generation, name):
         # conform() restores the declared column order and types (a partition
         # column such as SeasonID comes back last, as discovered).
@@ -205,11 +242,27 @@ class ParquetCatalog(Catalog):
         raw = self._raw(generation, name)
         if CREATED_YEAR not in raw.columns:
             return super().created_in(generation, name, seasons, config)
-        raw = raw.filter(year_season_filter(CREATED_YEAR, seasons, config))
-        return conform(raw, generation, name).filter(timestamp_season_filter(CREATED, seasons, config))
+        return conform(self._years(raw, seasons, config), generation, name)
+
+    @staticmethod
+    def _years(raw, seasons, config):
+        return raw.filter(year_season_filter(CREATED_YEAR, seasons, config) & timestamp_season_filter(CREATED, seasons, config))
+
+    def pallets_created_in(self, seasons, config=DEFAULT_CONFIG):
+        """Where the pallets are staged with the flag, nothing is joined."""
+        raw = self._raw(CURRENT, "ma_Pallet_DetailT")
+        if EXPORTED not in raw.columns:
+            return super().pallets_created_in(seasons, config)
+        return self._years(raw, seasons, config).drop(CREATED_YEAR).withColumnRenamed(EXPORTED, "_exported")
+
+    def export_batches(self, seasons, config=DEFAULT_CONFIG):
+        if EXPORT_BATCH not in self.manifest().get(CURRENT, {}):
+            return None
+        return self._years(self._raw(CURRENT, EXPORT_BATCH), seasons, config).drop(CREATED_YEAR)
 
     def manifest(self) -> dict:
-        """``{generation: {table: {"rows": n}}}``, read once; empty without one."""
+        """``{generation: {table: {"rows": n, ...}}}``, with the buckets of a
+        bucketed table; read once, empty without one."""
         if "_manifest" not in self.__dict__:
             text = Folder(self.spark, self.root).read(self.MANIFEST)
             self._manifest = json.loads(text)["tables"] if text else {}
@@ -222,11 +275,7 @@ class ParquetCatalog(Catalog):
     def _derived(self, name, seasons):
         if name not in self.manifest().get(CURRENT, {}):
             return None
-        cache = self.__dict__.setdefault("_read", {})
-        if name not in cache:
-            cache[name] = (self.spark.read.schema(DERIVED[name]).parquet(f"{self.root}/{CURRENT}/{name}")
-                           if self.row_bound(CURRENT, name) else self.spark.createDataFrame([], DERIVED[name]))
-        return cache[name].filter(season_text_filter("SeasonDesc", seasons)).drop("SeasonDesc")
+        return self._raw(CURRENT, name).filter(season_text_filter("SeasonDesc", seasons)).drop("SeasonDesc")
 
     def batch_ids(self, seasons):
         return self._derived(BATCH_SEASON, seasons)

@@ -132,12 +132,25 @@ KEYS = {(gen, name): schema.fieldNames()[0]
 #: Column of a derived partition: the year a row was created in.
 CREATED, CREATED_YEAR = "CreatedDateTime", "CreatedYear"
 
-#: Derived tables of a staged catalog, partitioned by the season text of the
-#: batch: every current batch, and every pallet of one.
-BATCH_SEASON, PALLET_SEASON = "BatchSeason", "PalletSeason"
+#: Derived tables of a staged catalog.  Partitioned by the season text of the
+#: batch: every current batch, and every pallet of one.  Partitioned by
+#: creation year: every export row with the batch of its pallet.
+BATCH_SEASON, PALLET_SEASON, EXPORT_BATCH = "BatchSeason", "PalletSeason", "ExportBatch"
 DERIVED = {
     BATCH_SEASON: _schema(("GraderBatchID", L), ("SeasonDesc", S)),
     PALLET_SEASON: _schema(("PalletDetailID", L), ("GraderBatchID", L), ("ProductID", L), ("SeasonDesc", S)),
+    EXPORT_BATCH: _schema(("GraderBatchID", L), ("PalletDetailID", L), ("KGWeight", D), (CREATED, TS), (CREATED_YEAR, I)),
+}
+
+#: Derived column of the staged pallets: an export row of any time names it.
+EXPORTED = "Exported"
+
+#: Column that a bucketed catalog deals each batch fact out by.
+BUCKETED = {
+    (CURRENT, "ma_Grader_BatchT"): "GraderBatchID", (CURRENT, "ma_Bin_UsageT"): "GraderBatchID",
+    (CURRENT, "ma_Pallet_DetailT"): "GraderBatchID", (CURRENT, EXPORT_BATCH): "GraderBatchID",
+    (CURRENT, "ma_Bin_DeliveryT"): "PresizeOutputFromGraderBatchID",
+    (LEGACY, "ma_Grader_BatchT"): "GraderBatchID", (LEGACY, "ma_Bin_UsageT"): "GraderBatchID",
 }
 
 

@@ -23,9 +23,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from binyard.config import CURRENT
+from binyard.operators.joins import attach
 from binyard.sources import versions
 from binyard.sources.catalog import Catalog, ParquetCatalog
-from binyard.sources.schemas import BATCH_SEASON, CREATED, CREATED_YEAR, KEYS, PALLET_SEASON, SCHEMAS
+from binyard.sources.schemas import (
+    BATCH_SEASON, BUCKETED, CREATED, CREATED_YEAR, EXPORT_BATCH, EXPORTED, KEYS, PALLET_SEASON, SCHEMAS,
+)
 from binyard.sources.storage import Folder
 
 
@@ -99,11 +102,18 @@ def _layout(df: DataFrame) -> tuple[DataFrame, str | None]:
     return df, None
 
 
-def write_catalog(cat: Catalog, root: str, mode: str = "overwrite", check_keys: bool = True) -> ParquetCatalog:
-    """Write every ERP table of ``cat`` under ``root/<generation>/<table>``,
-    beside them every current batch and its pallets by season text, and last the manifest
-    with the rows that each write observed.  ``check_keys``: read each written
-    key column back and raise if it is not unique (``schemas.KEYS``).
+def write_catalog(cat: Catalog, root: str, mode: str = "overwrite", check_keys: bool = True,
+                  buckets: int | None = None) -> ParquetCatalog:
+    """Write every ERP table of ``cat`` under ``root/<generation>/<table>``;
+    beside them what the reports would otherwise join again and again: every
+    current batch and its pallets by season text, every export row with the
+    batch of its pallet, and on each pallet whether it was exported; and last
+    the manifest, with the rows that each write observed.
+
+    ``check_keys``: read each written key column back and raise if it is not
+    unique (``schemas.KEYS``).  ``buckets``: deal the batch facts out by batch
+    (``schemas.BUCKETED``) into so many files per partition, each sorted; what
+    is grouped or joined by batch is then not exchanged.
 
     ``root`` must be shared storage on a cluster (for example a path under the
     cluster's ``spark.checkpoint.dir``), never an executor-local folder.
@@ -115,20 +125,39 @@ def write_catalog(cat: Catalog, root: str, mode: str = "overwrite", check_keys:
     out._manifest = counts  # grows as tables are written
 
     def write(gen: str, name: str, df: DataFrame, partition: str | None) -> None:
-        seen = Observation()
-        w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
-        (w.partitionBy(partition) if partition else w).parquet(f"{root}/{gen}/{name}")
-        counts.setdefault(gen, {})[name] = {"rows": seen.get["rows"]}
+        seen, by = Observation(), BUCKETED.get((gen, name)) if buckets else None
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        w = (df.repartition(buckets, by) if by else df).write.mode(mode)
+        w = w.partitionBy(partition) if partition else w
+        if by:
+            table = out.bucket_table(gen, name)
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            w.bucketBy(buckets, by).sortBy(by).option("path", f"{root}/{gen}/{name}").format("parquet").saveAsTable(table)
+        else:
+            w.parquet(f"{root}/{gen}/{name}")
+        entry = {"rows": seen.get["rows"]}
+        if by:
+            order = [c for c in df.columns if c != partition] + [partition] * bool(partition)
+            entry |= {"buckets": buckets, "by": by, "partition": partition, "schema": df.select(order).schema.jsonValue()}
+        counts.setdefault(gen, {})[name] = entry
 
     for gen, tables in SCHEMAS.items():
         for name in tables:
-            write(gen, name, *_layout(cat.table(gen, name)))
+            df, partition = _layout(cat.table(gen, name))
+            if (gen, name) == (CURRENT, "ma_Pallet_DetailT"):
+                flag = cat.table(CURRENT, "ma_Export_Bin_DetailT").select("PalletDetailID").distinct().withColumn(EXPORTED, F.lit(True))
+                df = attach(df, flag, "PalletDetailID").withColumn(EXPORTED, F.col(EXPORTED).isNotNull())
+            write(gen, name, df, partition)
             if check_keys and (gen, name) in KEYS:
                 check_key(out.table(gen, name).select(KEYS[(gen, name)]), KEYS[(gen, name)], f"{gen}.{name}")
     season = out.table(CURRENT, "sw_SeasonT")
     batches = out.table(CURRENT, "ma_Grader_BatchT").select("GraderBatchID", "SeasonID").join(season, "SeasonID", "inner")
-    write(CURRENT, BATCH_SEASON, batches.select("GraderBatchID", "SeasonDesc"), "SeasonDesc")
+    batches = batches.select("GraderBatchID", "SeasonDesc")
+    write(CURRENT, BATCH_SEASON, batches, "SeasonDesc")
     pallets = out.table(CURRENT, "ma_Pallet_DetailT").select("PalletDetailID", "GraderBatchID", "ProductID")
-    write(CURRENT, PALLET_SEASON, pallets.join(batches.select("GraderBatchID", "SeasonDesc"), "GraderBatchID", "inner"), "SeasonDesc")
+    write(CURRENT, PALLET_SEASON, pallets.join(batches, "GraderBatchID", "inner"), "SeasonDesc")
+    exports = out.table(CURRENT, "ma_Export_Bin_DetailT").select("PalletDetailID", "KGWeight", CREATED)
+    exports = exports.join(pallets.select("PalletDetailID", "GraderBatchID"), "PalletDetailID", "inner")
+    write(CURRENT, EXPORT_BATCH, *_layout(exports.select("GraderBatchID", "PalletDetailID", "KGWeight", CREATED)))
     folder.replace(ParquetCatalog.MANIFEST, json.dumps({"tables": counts}))
     return ParquetCatalog(spark, root)
