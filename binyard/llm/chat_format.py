@@ -125,3 +125,18 @@ def op3(spark, sf_dir: str) -> DataFrame:
     rows = ", ".join(f"(-7L, {i}L, '{r}', '{_CHECK_TEXT}')" for i, r in enumerate(("user", "assistant")))
     check = spark.sql(f"SELECT * FROM VALUES {rows} AS t(conv_id, turn, role, text)")
     return digest(examples(turns.unionByName(check)))
+
+
+ORACLE = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+k AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+    24 + length(url_encode(role)) + length(regexp_replace(text,
+      '([<\[])(\\*)(\|im_start\||\|im_end\||\|endoftext\||/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')) AS size FROM t),
+e AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY k) AS upto, k = count(*) OVER (PARTITION BY conv_id) AS is_last FROM k)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(upto) FILTER (role = 'assistant' OR is_last)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""

@@ -83,6 +83,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free(columns, name: str) -> str:
+    """``name``, or with underscores after it, as none of ``columns`` is called
+    (in any case: Spark compares names without it)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(doc_id, m: int):
     """crc32 of the id as text, modulo ``m``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string")) % F.lit(m)

@@ -162,9 +162,9 @@ def _blocks(items: DataFrame, k: int) -> Iterator[tuple[list[int | None], Index]
     n = max(1, -(-total // BLOCK_BYTES) * 2 if total > BLOCK_BYTES else 1)
     items = stage(items.withColumn("b", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))), "items") if n > 1 else items.withColumn("b", F.lit(0))
     for block in range(n):
-        own = items.filter(F.col("b") == block).toPandas()
-        ids = [None if x is None or x != x else int(x) for x in own["item_id"].tolist()]
-        data, offsets = kernel.buffers(pa.array(own["text"].tolist(), pa.string()))
+        own = items.filter(F.col("b") == block).select("item_id", "text").toArrow()  # ids stay integers beside nulls
+        ids = own.column("item_id").to_pylist()
+        data, offsets = kernel.buffers(own.column("text"))
         yield ids, Index([x for _, x in kernel.shingle_sets(data, offsets, k)])
 
 

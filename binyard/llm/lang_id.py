@@ -36,7 +36,6 @@ BUCKETS = 1 << 15
 MATRIX_BYTES = 32 << 20
 ALPHA = 0.5
 
-_LETTER = re.compile(r"[^\W\d_]")
 _SPACE = re.compile(r"\s+")
 _U = np.uint32
 _PIECE = 1 << 19
@@ -128,7 +127,7 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarra
     names, score = ["und"] * len(texts), np.zeros(len(texts))
     if not model.langs:
         return names, score
-    use = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)]
+    use = [i for i, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))]  # numerals such as '½' are no letters
     own = [texts[i] for i in use]
     for a, n, bucket, row in _grams(own, len(model.matrix)):
         # a column at a time keeps the working set at one float per n-gram

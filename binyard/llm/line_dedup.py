@@ -8,13 +8,10 @@ sites as its bar asks is cross-site boilerplate and goes from every document
 but the one with the smallest id that holds it, so a passage that many copies
 share is not lost altogether.
 
-The bar of the corpus pipeline (``by_length``) falls with the line's words:
-``MIN_SITES`` for ``MIN_WORDS`` words, then so many that sites times words is
-as large, and ``FEW_SITES`` for a passage of ten words or more.  A
-line of fewer than ``MIN_WORDS`` words, which may recur by chance, needs
-``SHORT_STEP`` sites more for each word that it lacks.  The bar of op9
-(``fixed``) is that of its SQL: ``MIN_SITES`` for ``MIN_WORDS`` words and more,
-and no shorter line is boilerplate.
+The bar falls with the line's words: ``MIN_SITES`` for ``MIN_WORDS`` words, then
+so many that sites times words is as large, and ``FEW_SITES`` for a passage of
+ten words or more.  A line of fewer than ``MIN_WORDS`` words, which may recur by
+chance, needs ``SHORT_STEP`` sites more for each word that it lacks.
 
 Lines are compared without white space at their ends; blank lines do not
 count.  Only hashes, ids and places of lines are shuffled for the counts; the
@@ -35,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from binyard.llm.common import WORD, ship, stage
+from binyard.llm.common import WORD, free, ship, stage
 
 MIN_SITES = 10
 MIN_WORDS = 4
@@ -55,14 +52,8 @@ _TOP = 2**63 - 1
 Bar = Callable[[Column], Column]
 
 
-def fixed(words: Column) -> Column:
-    """The bar of op9, as in ``ORACLE``."""
-    return F.when(words >= MIN_WORDS, F.lit(MIN_SITES))
-
-
 def by_length(words: Column) -> Column:
-    """The bar of the pipeline: the longer a line, the fewer sites; a line
-    without words never counts."""
+    """The longer a line, the fewer sites; a line without words never counts."""
     product = F.ceil(F.lit(MIN_SITES * MIN_WORDS) / words).cast("int")
     short = (F.lit(MIN_SITES) + SHORT_STEP * (F.lit(MIN_WORDS) - words)).cast("int")
     return F.when(words >= MIN_WORDS, F.greatest(product, F.lit(FEW_SITES))).when(words >= 1, short)
@@ -90,50 +81,51 @@ def boilerplate(lines: DataFrame) -> DataFrame:
         near.join(exact.select("line"), "line", "left_semi").select("line", "keeper"))
 
 
-def _cut(columns: list[str]):
+def _cut(columns: list[str], places_: str, removed_: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, removed = batch.column("text").to_pylist(), []
-            for i, places in enumerate(batch.column("_cut").to_pylist()):
+            for i, places in enumerate(batch.column(places_).to_pylist()):
                 removed.append(0)
                 if places:
                     gone = set(places)
                     lines = texts[i].split("\n")
                     texts[i] = "\n".join(x for j, x in enumerate(lines) if j not in gone)
                     removed[-1] = len(gone)
-            arrays = [pa.array(texts, pa.string()) if c == "text" else pa.array(removed, pa.int64()) if c == "_removed" else batch.column(c)
-                      for c in columns]
-            yield pa.RecordBatch.from_arrays(arrays, names=columns)
+            arrays = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(removed, pa.int64())], names=[*columns, removed_])
     return run
 
 
-def spread_cut(docs: DataFrame, bar: Bar = fixed) -> DataFrame:
+def spread_cut(docs: DataFrame, bar: Bar = by_length, removed: str = "removed") -> DataFrame:
     """``docs`` with the boilerplate lines cut from ``text``, and a column
-    ``_removed`` (how many lines went)."""
+    ``removed`` (how many lines went), whose name must be free."""
     ship(docs.sparkSession)
-    lines = stage(_lines(docs.select("doc_id", "source", F.col("text").cast("string").alias("text")), bar), "lines")
+    cols = docs.columns
+    doc, text, places = (free([*cols, removed], c) for c in ("doc", "text_hash", "places"))
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    lines = stage(_lines(docs.select("doc_id", "source", "text"), bar), "lines")
     found = boilerplate(lines)
     # every row of an id that repeats a text has the same places: once is enough
-    cuts = (lines.join(found, "line").filter("doc <> keeper").groupBy("doc", "text_hash")
-            .agg(F.collect_set("pos").alias("_cut")))
-    keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_TOP))).withColumn("_hash", F.xxhash64("text"))
+    cuts = (lines.join(found, "line").filter("doc <> keeper").groupBy(F.col("doc").alias(doc), F.col("text_hash").alias(text))
+            .agg(F.collect_set("pos").alias(places)))
+    keyed = docs.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(_TOP))).withColumn(text, F.xxhash64("text"))
     # a merge join at every size: the cuts grow with the corpus and are no broadcast
-    cuts = cuts.withColumnRenamed("doc", "_doc").withColumnRenamed("text_hash", "_hash").hint("merge")
-    out = keyed.join(cuts, ["_doc", "_hash"], "left")
-    out = out.select(*docs.columns, "_cut")
-    schema = docs.select(*[F.col(c) for c in docs.columns], F.lit(0).cast("long").alias("_removed")).schema
-    return out.mapInArrow(_cut([*docs.columns, "_removed"]), schema)
+    out = keyed.join(cuts.hint("merge"), [doc, text], "left").select(*cols, places)
+    schema = docs.select(*[F.col(c) for c in cols], F.lit(0).cast("long").alias(removed)).schema
+    return out.mapInArrow(_cut(cols, places, removed), schema)
 
 
 def clean(docs: DataFrame, bar: Bar = by_length) -> DataFrame:
     """``docs`` without boilerplate lines (``n_chars``, where there is such a
     column, follows); a document that loses all its words that way goes: each
     of its lines is kept elsewhere."""
-    out = spread_cut(docs, bar)
-    out = out.filter((F.col("_removed") == 0) | F.col("text").rlike(WORD))
+    gone = free(docs.columns, "removed")
+    out = spread_cut(docs, bar, gone)
+    out = out.filter((F.col(gone) == 0) | F.col("text").rlike(WORD))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
-        out = out.withColumn("n_chars", F.when(F.col("_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(gone) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
@@ -141,10 +133,10 @@ def op9(spark, sf_dir: str) -> DataFrame:
     """Every document without cross-site boilerplate lines."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     out = spread_cut(docs)
-    n_lines = F.coalesce(F.regexp_count("text", F.lit("\n")) + 1, F.lit(0)) + F.col("_removed")
-    blank = (F.col("text") == "") & (F.col("_removed") > 0)  # every line went
-    return out.select("doc_id", F.when(blank, F.col("_removed")).otherwise(n_lines).cast("long").alias("n_lines"),
-                      F.col("_removed").alias("n_removed"), "text")
+    n_lines = F.coalesce(F.regexp_count("text", F.lit("\n")) + 1, F.lit(0)) + F.col("removed")
+    blank = (F.col("text") == "") & (F.col("removed") > 0)  # every line went
+    return out.select("doc_id", F.when(blank, F.col("removed")).otherwise(n_lines).cast("long").alias("n_lines"),
+                      F.col("removed").alias("n_removed"), "text")
 
 
 ORACLE = r"""
@@ -152,9 +144,10 @@ WITH l AS (
   SELECT doc_id, source, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos
   FROM documents),
 w AS (SELECT doc_id, pos, raw, coalesce('s' || source, 'n') AS site, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line,
-    len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) >= 4 AS counts FROM l),
-b AS (SELECT line, min(doc_id) AS keeper FROM w WHERE counts GROUP BY line HAVING count(DISTINCT site) >= 10),
-f AS (SELECT w.doc_id, w.pos, w.raw, w.counts AND b.line IS NOT NULL AND w.doc_id <> b.keeper AS gone
+    len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS words FROM l),
+b AS (SELECT line, min(doc_id) AS keeper FROM w WHERE words > 0 GROUP BY line
+  HAVING count(DISTINCT site) >= max(CASE WHEN words >= 4 THEN greatest(ceil(40 / words), 4) ELSE 10 + 2 * (4 - words) END)),
+f AS (SELECT w.doc_id, w.pos, w.raw, b.line IS NOT NULL AND w.doc_id <> b.keeper AS gone
   FROM w LEFT JOIN b ON w.line = b.line),
 g AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
     coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text FROM f GROUP BY doc_id)

@@ -13,7 +13,8 @@ so a source with a third of all rows costs no task more than its buckets do.
 The running sums go over at most ``2 ** BITS`` rows of a source.
 
 Edge cases: a null or blank text has size 0; a null source is a source of its
-own, the last; rows of one id (and null ids) share a hash and so a fate;
+own, the last; rows of one id share a hash and so a fate, and so do rows of one
+text where the id is null;
 sources without words get a target of 0; an empty table gives no rows;
 further columns are ignored by ``mix`` and kept by ``mix_documents``.
 """
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from binyard.llm.common import WORD, stage
+from binyard.llm.common import WORD, free, stage
 
 #: Hash bits that each level resolves, and the number of levels.
 BITS, LEVELS = 12, 4
@@ -90,8 +91,13 @@ def _thresholds(sizes: DataFrame, goal: DataFrame) -> DataFrame:
 def sizes_of(docs: DataFrame, seed: int = 4) -> DataFrame:
     """(doc_id, source, size, hash): words, and the hash's leading bits."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    h = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    return docs.select("doc_id", "source", size.alias("size"), F.shiftrightunsigned(h, 64 - BITS * LEVELS).alias("hash"))
+    return docs.select("doc_id", "source", size.alias("size"), _hash(seed).alias("hash"))
+
+
+def _hash(seed: int):
+    """The leading bits of a row's hash: by its id, or by its text without one."""
+    h = F.when(F.col("doc_id").isNull(), F.xxhash64(F.col("text"), F.lit(seed), F.lit("text"))).otherwise(F.xxhash64(F.col("doc_id"), F.lit(seed)))
+    return F.shiftrightunsigned(h, 64 - BITS * LEVELS)
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 4) -> DataFrame:
@@ -118,14 +124,12 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most:
     rows that it never takes go.  The cut is applied to the rows where they
     are: no text is shuffled by it."""
     cols = docs.columns
-    name = "copies"
-    while name in cols:
-        name += "_"
+    name = free(cols, "copies")
+    own, passes, cut = (free([*cols, name], c) for c in ("mix_source", "mix_passes", "mix_cut"))
     sizes = stage(sizes_of(docs, seed), "sizes")
     goal = stage(targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "targets")
     plan = _thresholds(sizes, goal)
-    plan = stage(plan.select(F.col("source").alias("_mix_source"), F.col("passes").alias("_mix_passes"), F.col("cut").alias("_mix_cut")), "plan")
-    h = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit(seed)), 64 - BITS * LEVELS)
-    out = docs.join(plan, F.col("source").eqNullSafe(F.col("_mix_source")))
-    copies = F.least(F.col("_mix_passes") + F.when(h < F.col("_mix_cut"), 1).otherwise(0), F.lit(int(most))).cast("long")
+    plan = stage(plan.select(F.col("source").alias(own), F.col("passes").alias(passes), F.col("cut").alias(cut)), "plan")
+    out = docs.join(plan, F.col("source").eqNullSafe(F.col(own)))
+    copies = F.least(F.col(passes) + F.when(_hash(seed) < F.col(cut), 1).otherwise(0), F.lit(int(most))).cast("long")
     return out.withColumn(name, copies).filter(F.col(name) > 0).select(*cols, name)

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from binyard.llm import kernel
-from binyard.llm.common import components, merged, ship, stage
+from binyard.llm.common import components, free, merged, ship, stage
 
 REGISTERS = 128
 MANTISSA = 10
@@ -58,6 +58,8 @@ MARGIN = 5.0
 ROUNDS = 3
 #: 64-bit words of a shingle set's bitmap.
 BITMAP = 32
+#: Stands for a null id: the largest.
+_TOP = 2**63 - 1
 
 _LOG = REGISTERS.bit_length() - 1
 _U = np.uint64
@@ -148,9 +150,9 @@ def _sketch(k: int):
                 h2.append(int(kernel.mix(x ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U)))
                 regs.append(registers(x).tobytes() if len(x) else None)
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(size, pa.int64()),
+                batch.column("doc_id"), batch.column("t"), pa.array(size, pa.int64()),
                 pa.array(np.array(h1, dtype=_U).view(np.int64)), pa.array(np.array(h2, dtype=_U).view(np.int64)),
-                pa.array(regs, pa.binary())], names=["doc_id", "n_shingles", "h1", "h2", "regs"])
+                pa.array(regs, pa.binary())], names=["doc_id", "t", "n_shingles", "h1", "h2", "regs"])
     return run
 
 
@@ -240,28 +242,45 @@ def _confirmed(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * common >= percent * (F.size("a") + F.size("b") - common)).select("lo", "hi")
 
 
-def near_classes(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id") -> DataFrame:
-    """One row per row of ``docs`` (key, text): doc_id, n_shingles,
-    component_id, kept.  Links at ``percent`` Jaccard of k-word shingles."""
+def _named(docs: DataFrame, k: int, percent: int, key: str) -> tuple[DataFrame, DataFrame]:
+    """(sketch, classes): doc_id, t (the text's hash), n_shingles, h1, h2 of
+    every row; and of every shingle set h1, h2, the smallest id and text of
+    its rows, and its component ``part``."""
     spark = docs.sparkSession
     ship(spark)
     base = docs.select(F.col(key).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = stage(base.mapInArrow(_sketch(k), "doc_id long, n_shingles long, h1 long, h2 long, regs binary"), "sketch")
+    sketch = stage(base.withColumn("t", F.xxhash64("text")).mapInArrow(
+        _sketch(k), "doc_id long, t long, n_shingles long, h1 long, h2 long, regs binary"), "sketch")
     # one class per shingle set; a class is named by its smallest id
     classes = (sketch.filter("n_shingles > 0").groupBy("h1", "h2")
-               .agg(F.min(F.struct(F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)).alias("id"), "n_shingles", "regs")).alias("m"))
-               .select(F.col("m.id").alias("id"), "h1", "h2", F.col("m.n_shingles").alias("n"), F.col("m.regs").alias("regs")))
+               .agg(F.min(F.struct(F.coalesce(F.col("doc_id"), F.lit(_TOP)).alias("id"), "t", "n_shingles", "regs")).alias("m"))
+               .select(F.col("m.id").alias("id"), F.col("m.t").alias("t"), "h1", "h2", F.col("m.n_shingles").alias("n"), F.col("m.regs").alias("regs")))
     # an id shared by unlike texts may name several classes: number those apart
-    classes = stage(classes.select("id", "h1", "h2", "n", "regs"), "classes")
-    shared = classes.groupBy("id").agg(F.count("*").alias("c")).filter("c > 1 or id = 9223372036854775807").agg(F.count("*")).first()[0]
+    classes = stage(classes, "classes")
+    shared = classes.groupBy("id").agg(F.count("*").alias("c")).filter(f"c > 1 or id = {_TOP}").agg(F.count("*")).first()[0]
     if shared:
-        return _by_set(docs, sketch, classes, base, k, percent)
-    classes = classes.withColumnRenamed("id", "cls")
-    return _rows(sketch, classes, _components(classes, base.select(F.col("doc_id").alias("row"), "text"), k, percent))
+        classes, comp = _by_set(classes, base, k, percent)
+    else:
+        classes = classes.withColumn("cls", F.col("id"))
+        comp = _components(classes, base.select(F.col("doc_id").alias("row"), "text"), k, percent)
+    own = classes.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
+    return sketch, own.select("h1", "h2", "id", "t", F.coalesce("component", "cls").alias("part"))
+
+
+def near_classes(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id") -> DataFrame:
+    """One row per row of ``docs`` (key, text): doc_id, n_shingles,
+    component_id, kept.  Links at ``percent`` Jaccard of k-word shingles."""
+    sketch, own = _named(docs, k, percent, key)
+    least = own.groupBy("part").agg(F.min("id").alias("component"))
+    own = own.join(least, "part").select("h1", "h2", "component")
+    out = sketch.select("doc_id", "n_shingles", "h1", "h2").join(own, ["h1", "h2"], "left")
+    comp_id = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.when(F.col("component") < _TOP, F.col("component")))
+    return out.select("doc_id", "n_shingles", comp_id.alias("component_id"),
+                      F.coalesce(F.col("doc_id") == comp_id, F.lit(False)).alias("kept"))
 
 
-def _by_set(docs, sketch, classes, base, k, percent) -> DataFrame:
-    """As ``near_classes``, where an id names several texts or none: classes
+def _by_set(classes, base, k, percent) -> tuple[DataFrame, DataFrame]:
+    """(classes, components) where an id names several texts or none: classes
     are numbered by their set hash, and the texts are found by it."""
     classes = classes.withColumn("cls", F.xxhash64("h1", "h2"))
     def hashed(batches):
@@ -274,11 +293,7 @@ def _by_set(docs, sketch, classes, base, k, percent) -> DataFrame:
                                              names=["h1", "h2", "text"])
     texts = base.select("text").mapInArrow(hashed, "h1 long, h2 long, text string")
     texts = texts.groupBy("h1", "h2").agg(F.min("text").alias("text")).select(F.xxhash64("h1", "h2").alias("row"), "text")
-    comp = _components(classes.drop("id"), texts, k, percent)
-    least = (comp.join(classes.select(F.col("cls").alias("node"), "id"), "node")
-             .groupBy("component").agg(F.min("id").alias("least")))
-    comp = comp.join(least, "component").select("node", F.col("least").alias("component"))
-    return _rows(sketch, classes, comp)
+    return classes, _components(classes.drop("id", "t"), texts, k, percent)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -346,32 +361,50 @@ def _components(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> D
     return merged(comp, stage(_confirmed(_likely_pairs(pairs, classes, percent), sets, percent), "restlinks"))
 
 
-def _rows(sketch: DataFrame, classes: DataFrame, comp: DataFrame) -> DataFrame:
-    own = classes.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
-    name = F.col("id") if "id" in classes.columns else F.col("cls")
-    own = own.select("h1", "h2", F.coalesce("component", name).alias("component"))
-    out = sketch.select("doc_id", "n_shingles", "h1", "h2").join(own, ["h1", "h2"], "left")
-    comp_id = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(
-        F.when(F.col("component") < 2**63 - 1, F.col("component")))
-    return out.select("doc_id", "n_shingles", comp_id.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == comp_id, F.lit(False)).alias("kept"))
-
-
 def op1(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: 3-word shingles, 85 %."""
     return near_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"), k=3, percent=85)
 
 
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]
+    WHEN len(w) > 0 THEN ['short ' || array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT x, y FROM p JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE 100 * c >= 85 * (a.n + b.n - c)),
+r(id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.y, r.c FROM r JOIN e ON r.id = e.x),
+m AS (SELECT id, min(c) AS c FROM r GROUP BY id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
+FROM documents d JOIN m ON d.doc_id = m.id LEFT JOIN n ON d.doc_id = n.doc_id
+"""
+
+
 def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each near-duplicate component (the one
-    with the smallest id); documents without words all stay, rows with a null
-    id stay, and of repeated rows of a kept id one stays."""
+    """``docs`` with one row of each near-duplicate component: of its rows the
+    one with the smallest id, null ids last, and then the smallest set and text
+    hash.  Decisions go by row, that is by id and text: unlike texts of one id
+    are documents of their own.  Rows without words all stay."""
     cols = docs.columns
-    found = near_classes(docs, k, percent)
-    drop = found.filter("not kept and doc_id is not null").select("doc_id").distinct()
-    kept = docs.join(drop.hint("merge"), "doc_id", "left_anti").select(*cols)
-    again = found.filter("kept").groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1").select("doc_id")
+    doc, text = free(cols, "doc"), free(cols, "text_hash")
+    sketch, own = _named(docs, k, percent, "doc_id")
+    first = own.groupBy("part").agg(F.min(F.struct("id", "h1", "h2", "t")).alias("first"))
+    rows = sketch.filter("n_shingles > 0").select(F.coalesce("doc_id", F.lit(_TOP)).alias(doc), F.col("t").alias(text), "h1", "h2")
+    rows = rows.join(own.join(first, "part").select("h1", "h2", "first"), ["h1", "h2"])
+    is_first = (F.col(doc) == F.col("first.id")) & (F.col("h1") == F.col("first.h1")) & (F.col("h2") == F.col("first.h2")) & (F.col(text) == F.col("first.t"))
+    verdict = rows.groupBy(doc, text).agg(F.max(is_first).alias("stays"), F.count("*").alias("rows"))
+    verdict = stage(verdict.filter("not stays or rows > 1"), "verdict")
+    keyed = docs.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(_TOP))).withColumn(text, F.xxhash64(F.col("text").cast("string")))
+    # a merge join at every size: the verdicts grow with the corpus
+    kept = keyed.join(verdict.select(doc, text).hint("merge"), [doc, text], "left_anti").select(*cols)
+    again = verdict.filter("stays").select(doc, text)  # the row that stays is there several times
     if again.limit(1).count() == 0:
         return kept
-    once = kept.join(again, "doc_id", "left_semi").select(*cols).dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").select(*cols).unionByName(once)
+    once = keyed.join(again, [doc, text], "left_semi").groupBy(doc, text).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.xxhash64(*_hashable(docs))).alias("row"))
+    return kept.unionByName(once.select("row.*"))
+
+
+def _hashable(docs: DataFrame) -> list[str]:
+    """Columns that tell otherwise equal rows apart, in any order of them."""
+    return [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]

@@ -33,6 +33,8 @@ def oracle_sql() -> dict[str, str]:
     """For the queries that SQL can express; the others are tested against
     brute force, exact round trips or held-out accuracy."""
     return {
+        "op1_hyperminhash_near_dedup": near_dedup.ORACLE,
+        "op3_prefix_target_chat": chat_format.ORACLE,
         "op6_minhash_containment": decontaminate.ORACLE,
         "op9_site_spread_line_dedup": line_dedup.ORACLE,
         "op10_blocked_bloom_urls": url_filter.ORACLE,

@@ -87,9 +87,66 @@ def test_near_dedup_edges(spark, edge, empty):
     assert got == [(0, 3, None, False), (1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (4, 1, 4, True), (5, 1, 5, True), (6, 1, 6, True)]
     kept = near_dedup.near_dedup(edge, 3, 85)
     assert kept.columns == edge.columns and kept.count() == len(EDGE) - 1  # the repeated row once
+    assert near_dedup.near_dedup(empty).count() == 0
     assert near_dedup.near_classes(empty).count() == 0
 
 
+def test_near_dedup_decides_by_row(spark):
+    """Repeated ids with unlike texts, copies under a null id, clashing names."""
+    a, b, c, q, r = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcqr")
+    near_c = c.replace("c29", "other")
+    rows = [(1, a, "x"), (1, b, "x"), (2, c, "x"), (3, a, "x"), (5, q, "x"), (4, q, "x"), (5, r, "x"), (None, "null " + b, "x"), (None, "null " + b, "x"),
+            (None, near_c, "x"), (7, None, "x"), (7, None, "y"), (8, "", "x"), (9, r, "y"), (5, r, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, doc string").selectExpr("*", "doc AS text_hash", "1 AS rows", "0 AS first", "doc AS h1", "map(1, 2) AS m")
+    kept = near_dedup.near_dedup(df, 5, 80)
+    assert kept.columns == df.columns
+    got = sorted((x.doc_id or 0, x.text) for x in kept.collect() if x.text)
+    assert got == sorted([(1, a), (1, b), (2, c), (4, q), (5, r)])  # "null b" is b but for one word, near_c is c
+    assert sum(not x.text for x in kept.collect()) == 3
+    # against brute force, with components named by row
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("uvwxyz") + str(rng.randrange(50)) for _ in range(40)) for _ in range(25)]
+    texts += [t + f" more{i}" for i, t in enumerate(texts[:12])] + texts[:8]
+    rows = [(rng.choice([None, 1, 2, 3, 4, 5]), t, str(i)) for i, t in enumerate(texts)]
+    want = brute_components(list(enumerate(t for _, t, _ in rows)), 5, 80)
+    groups = defaultdict(list)
+    for i, (_, top) in want.items():
+        groups[top].append(rows[i])
+    out = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string, place string"), 5, 80).collect()
+    assert len(out) == len(groups)
+    for own in groups.values():
+        assert sum(tuple(x) in own for x in out) == 1
+        top = min((x[0] is None, x[0] or 0) for x in own)
+        assert all((x.doc_id is None, x.doc_id or 0) == top for x in out if tuple(x) in own)
+
+
+def test_clashing_names_and_odd_ids(spark):
+    names = "_cut _removed _doc _hash removed doc text_hash places copies mix_source mix_passes mix_cut _mix_source _mix_passes source_size Doc_ hash size".split()
+    line = "a passage of some twenty words that a handful of sites hold and that goes"
+    rows = [(i, f"own text {i}\n{line}", f"s{i % 6}") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", *[f"'{n}' AS `{n}`" for n in names])
+    out = line_dedup.clean(df)
+    assert out.columns == df.columns and sorted(r.text for r in out.collect()) == sorted([rows[0][1], *(f"own text {i}" for i in range(1, 12))])
+    assert all(r[n] == n for r in out.collect() for n in names)
+    mixed = mixing.mix_documents(df)
+    assert mixed.columns == [*df.columns, "copies_"] and all(r[n] == n for r in mixed.collect() for n in names)
+    # item ids beyond what doubles hold, beside a null one
+    big = 9007199254740993
+    items = spark.createDataFrame([(big, "own text 3"), (None, "own text 4"), (big + 2, "own text 5")], "item_id long, text string")
+    docs = spark.createDataFrame([(3, "own text 3"), (4, "own text 4"), (5, "own text 5")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.find(docs, items).collect()) == [(3, big), (4, None), (5, big + 2)]
+
+
+def test_mix_of_rows_without_an_id(spark):
+    rng = random.Random(1)
+    rows = [(None, " ".join(rng.choice("abcdefgh") for _ in range(100)) + f" {i}", "only") for i in range(200)] + [(i, "x " * 100, "other") for i in range(100)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for source in ("only", "other"):
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 101
+        assert 0 < len({r.copies for r in own}) and all(r.taken <= 2 * r.size for r in own)
+
+
 def test_lm_scores(spark, edge, empty):
     docs = documents(spark)
     rows = {r.doc_id: r for r in lm_score.op2(spark, SF).collect()}
@@ -197,6 +254,46 @@ def test_mix(spark, edge, empty):
     assert out.columns == [*edge.columns, "copies_"]
 
 
+def test_numerals_are_no_letters(spark):
+    model = lang_id.train(spark.createDataFrame([("some text", "en")], "text string, lang string"))
+    texts = ["²", "½ ①", "12 !?", "Ⅷ", "٣", "_", "a", "漢", "ª"]
+    got = lang_id.predict(model, texts)[0]
+    assert got == ["und"] * 6 + ["en"] * 3
+
+
+def brute_bayes(train, tests, order, buckets, alpha):
+    """Multinomial naive Bayes with plain dictionaries, over the same hash."""
+    import numpy as np
+    def grams(text):
+        out = []
+        for _, _, bucket, _ in lang_id._grams([text], buckets):
+            out += bucket.tolist()
+        return Counter(out)
+    counts, docs = defaultdict(Counter), Counter()
+    for text, lang in train:
+        counts[lang] += grams(text)
+        docs[lang] += 1
+    out = []
+    for text in tests:
+        g = grams(text)
+        like = {x: math.log(docs[x] / sum(docs.values())) + sum(n * math.log((counts[x][b] + alpha) / (sum(counts[x].values()) + alpha * buckets)) for b, n in g.items())
+                for x in docs}
+        best = min(docs, key=lambda x: (-like[x], x))
+        rel = [math.exp((v - like[best]) / math.sqrt(sum(g.values()))) for v in like.values()]
+        out.append((best, 1 / sum(rel)))
+    return out
+
+
+def test_language_id_is_naive_bayes(spark):
+    docs = documents(spark).filter("text is not null and lang is not null").limit(120).collect()
+    train, tests = [(r.text, r.lang) for r in docs[:60]], [r.text for r in docs[60:] if any(map(str.isalpha, r.text))]
+    model = lang_id.train(spark.createDataFrame(train, "text string, lang string"), 1 << 12)
+    names, score = lang_id.predict(model, tests)
+    want = brute_bayes(train, tests, lang_id.ORDER, 1 << 12, lang_id.ALPHA)
+    assert names == [x for x, _ in want]
+    assert all(abs(a - b) < 1e-3 for a, (_, b) in zip(score, want, strict=True))
+
+
 def test_language_id(spark, edge, empty):
     lang = {r.doc_id: r.lang for r in documents(spark).collect()}
     rows = lang_id.op5(spark, SF).collect()
@@ -299,7 +396,7 @@ def test_url_rules(spark):
 def test_oracles(spark):
     import duckdb
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark"):
+    for name in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     for name, sql in queries.oracle_sql().items():
         assert not compare(queries.queries()[name](spark, SF), con, sql), name
