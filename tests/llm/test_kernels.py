@@ -95,15 +95,93 @@ def test_containment_recall():
     assert len(want) > 30
 
 
+def nested(rng, n):
+    """A chain's capacities and random arcs that nest, one earlier end a node."""
+    inside, arcs, open_ = [0.0], [(-1, 0.0)], [0]
+    for i in range(1, n):
+        inside.append(rng.uniform(0, 2))
+        while len(open_) > 1 and rng.random() < 0.4:
+            open_.pop()
+        if rng.random() < 0.5 and open_[-1] < i - 1:
+            arcs.append((open_[-1], rng.uniform(0, 2)))
+            open_[-1] = i
+        else:
+            arcs.append((-1, 0.0))
+            if rng.random() < 0.5:
+                open_.append(i)
+    return inside, arcs
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(8)
-    for _ in range(60):
-        n = rng.randrange(1, 9)
-        weights = [rng.uniform(-3, 3) for _ in range(n)]
-        edges = [(a, b, rng.uniform(0, 2)) for a in range(n) for b in range(a + 1, n) if rng.random() < 0.4]
+    for _ in range(300):
+        n = rng.randrange(1, 11)
+        weights = [rng.choice([rng.uniform(-3, 3), 0.0, 1.0, -1.0]) for _ in range(n)]
+        inside, arcs = nested(rng, n)
+        edges = [(i - 1, i, inside[i]) for i in range(1, n)] + [(a, i, c) for i, (a, c) in enumerate(arcs) if a >= 0]
         cost = lambda keep: sum(abs(w) for w, k in zip(weights, keep, strict=True) if (w > 0) != k and w) + sum(c for a, b, c in edges if keep[a] != keep[b])  # noqa: E731, B023
         best = min(cost([bool(m >> i & 1) for i in range(n)]) for m in range(1 << n))
-        assert abs(cost(html_text.cut(weights, edges)) - best) < 1e-6
+        assert abs(cost(html_text.cut(weights, inside, arcs)) - best) < 1e-6
+    assert html_text.cut([], [], []) == []
+
+
+def signs(page, model=html_text.PLAIN):
+    return "\n".join(b.text for b in html_text.blocks(page) if model.log_odds(b) > 0)
+
+
+def test_the_cut_decides_where_the_sign_is_wrong():
+    """Short, link-heavy or unmarked blocks go with what they stand among."""
+    text = "A paragraph of the story that says what happened, and to whom. It goes on for a while."
+    story = f"<div><p>{text}</p><p>{text}</p><div><a href=/x>Read the document</a></div><p>{text}</p><p>Yes.</p><p>{text}</p></div>"
+    menu = "".join(f"<li><a href=/{i}>Topic number {i}</a></li>" for i in range(6))
+    page = f"<body><ul>{menu}<li>Our own page for news of every kind.</li>{menu}</ul><section>{story.replace('<div><a', '<span></span><p><a').replace('document</a></div>', 'document</a></p>')}</section></body>"
+    got = html_text.main_text(page).split("\n")
+    assert got == [text, text, "Read the document", text, "Yes.", text]
+    assert signs(page).split("\n") != got and "Our own page for news of every kind." in signs(page)
+
+
+def test_names_and_attributes():
+    text = "Some text of the article that stands here. It has two sentences."
+    for page in (f"<p class=it's>{text}", f"<body class='no-sidebar'><p>{text}</p>", f"<div class='entry-content social'><p>{text}</p></div>",
+                 f"<body class='has-sidebar with-footer'><div id=main><p title='a>b'>{text}</p></div>", f"<div data-class=sidebar><p>{text}</p></div>",
+                 f"<p class=x'y\"z>{text}</p>", f"<p class = 'a>b' id=\"c>d\">{text}</p>", f"<div class=noSidebar><p>{text}</p></div>"):
+        assert html_text.main_text(page) == text, page
+    for page in (f"<div class='content sidebar'><p>{text}</p></div>", f"<div class='x-nav'><p>{text}</p></div>", f"<div class=mainMenu><p>{text}</p></div>",
+                 f"<div id=comments class=content><p>{text}</p></div>", f"<div role=navigation><p>{text}</p></div>", f"<div hidden><p>{text}</p></div>"):
+        assert html_text.main_text(page) == "", page
+    inside = f"<article><p>{text}</p><p class=ad>Buy this now. It is cheap.</p><p>{text}</p></article>"
+    assert html_text.main_text(inside) == f"{text}\n{text}"
+
+
+def test_large_pages_take_linear_time():
+    import time
+    text = "<p>Some text of a paragraph that stands here.</p>"
+    for page in (text * 40000, "".join(f"<div>{text}" for _ in range(4000)), "".join(f"<section>{text}<ul><li><a href=x>link {i}</a></ul></section>" for i in range(12000))):
+        began = time.process_time()
+        got = html_text.main_text(page)
+        assert time.process_time() - began < 8 and got.count("Some text") >= 4000
+
+
+def test_a_classifier_learns_from_labelled_blocks():
+    rng = random.Random(3)
+    word = lambda n: " ".join(rng.choice("one two river stone green walk far low".split()) for _ in range(n))
+    def page(i):
+        para = "".join(f"<div class='q7'>{word(rng.randrange(8, 40))}</div>" for _ in range(6))
+        links = "".join(f"<div class='zz9'>{word(12)}</div>" for _ in range(4))
+        return f"<nav>{links}</nav><article>{para}</article><aside>{links}</aside>", f"<div>{links}</div><section>{para}</section><div>{links}</div>"
+    rows, pairs = [], np.zeros((2, 2))
+    for i in range(60):
+        found = html_text.blocks(page(i)[0])
+        rows += [(html_text.label(b), *html_text.features(b)) for b in found if html_text.label(b) >= 0]
+        for a, b in zip(found, found[1:], strict=False):
+            pairs[int(a.section != b.section), int(html_text.label(a) != html_text.label(b))] += 1
+    model = html_text.fit(rows, pairs)
+    assert model.inside == html_text.INSIDE and model.across == html_text.ACROSS_RANGE[1]
+    for i in range(20):  # no semantic element is left: only what was learnt tells
+        plain = page(i)[1]
+        want = [b.text for b in html_text.blocks(plain) if "q" in b.near]
+        assert html_text.main_text(plain, model).split("\n") == want
+    assert html_text.fit([], pairs) is html_text.PLAIN and html_text.fit([(1, [0], [1.0])], pairs) is html_text.PLAIN
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><article>";</script></head>

@@ -320,6 +320,19 @@ def test_pages(spark):
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in rows) == [(0, "Some text stands here.", 22), (1, "", 0), (1, "", 0)]
 
 
+def test_pages_against_their_articles(spark):
+    """The given pages mark their article: all of its text, and no other."""
+    import html as references
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    got = {r.page_id: r.text for r in html_text.op8(spark, SF).collect()}
+    squeeze = lambda x: "".join(references.unescape(x).split())
+    for r in pages.collect():
+        inside = re.search(r"<article>(.*?)(?:</article>|$)", r.html or "", re.S)
+        want = re.sub(r"<!--.*?-->|<(script|style|form|aside|nav|button|div)\b.*?</\1>|<[^>]*>", " ", inside[1], flags=re.S) if inside else ""
+        assert squeeze(got[r.page_id]) == squeeze(want), r.page_id
+    assert html_text.train(pages.filter("false")) is html_text.PLAIN
+
+
 def test_decontaminate(spark, edge, empty):
     items = spark.createDataFrame([(1, "one two", 0), (2, None, 0), (3, "", 0), (4, "never seen in here at all", 0)], "item_id long, text string, doc_id int")
     assert [(r.doc_id, r.item_id) for r in decontaminate.find(edge, items).collect()] == [(4, 1), (4, 1)]
