@@ -1,7 +1,7 @@
 """Elias-Fano coded n-gram levels (numpy, vectorised).
 
 A level is a flat run of 64-bit words, so it can be viewed in place: in an
-Arrow buffer, or in a memory-mapped file (``EliasFano.view``).
+Arrow buffer, or in a memory-mapped file (``EliasFano.view``, ``Trie.view``).
 """
 
 from __future__ import annotations
@@ -10,11 +10,12 @@ import numpy as np
 
 _U = np.uint64
 _POP = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
-#: _ZERO[b, k]: place of the k-th zero bit of byte b
-_ZERO = np.full((256, 8), 8, dtype=np.uint8)
+#: _ZERO[b, k], _ONE[b, k]: place of the k-th zero, or one, bit of byte b
+_ZERO, _ONE = np.full((256, 8), 8, dtype=np.uint8), np.full((256, 8), 8, dtype=np.uint8)
 for _b in range(256):
-    for _k, _p in enumerate([i for i in range(8) if not _b >> i & 1]):
-        _ZERO[_b, _k] = _p
+    for _bit, _table in ((0, _ZERO), (1, _ONE)):
+        for _k, _p in enumerate([i for i in range(8) if _b >> i & 1 == _bit]):
+            _table[_b, _k] = _p
 
 
 class EliasFano:
@@ -80,6 +81,20 @@ class EliasFano:
         spill = np.where(off > 0, self.low[at + 1] << ((_U(64) - off) & _U(63)), _U(0))
         return (x | spill) & _U((1 << self.width) - 1)
 
+    def access(self, i: np.ndarray) -> np.ndarray:
+        """The elements at places ``i``, which must exist."""
+        i = i.astype(np.int64, copy=False)
+        word = np.searchsorted(self.rank, i, side="right") - 1
+        left, place, done = i - self.rank[word], np.zeros(len(i), dtype=np.int64), np.zeros(len(i), dtype=bool)
+        for byte in range(8):
+            b = self._bytes[word * 8 + byte]
+            here = _POP[b].astype(np.int64)
+            hit = ~done & (left < here)
+            place = np.where(hit, word * 64 + byte * 8 + _ONE[b, np.clip(left, 0, 7)], place)
+            done |= hit
+            left = left - here
+        return ((place - i).astype(_U) << _U(self.width)) | self._lows(i)
+
     def _before(self, high: np.ndarray) -> np.ndarray:
         """How many elements have a high part below each of ``high``: the
         place of the high-th zero, less that number."""
@@ -126,8 +141,8 @@ class EliasFano:
         return out
 
 
-#: Steps of a quantised base-10 logarithm: 1 .. 255 cover 0 .. -7.05.
-STEP = 1 / 36
+#: Steps of a quantised base-10 logarithm: 1 .. 255 cover 0 .. -10.6.
+STEP = 1 / 24
 
 
 def quantise(p: np.ndarray) -> np.ndarray:
@@ -140,56 +155,90 @@ def restore(code: np.ndarray) -> np.ndarray:
     return np.where(code > 0, 10.0 ** (-(code.astype(np.float64) - 1) * STEP), 0.0)
 
 
-#: Pair counts up to EXACT are their own codes; of larger ones the share of the
-#: context's total is quantised.
-EXACT = 31
-
-
-def code_counts(count: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """Counts above 0, and their contexts' totals, to codes 1 .. 255."""
-    large = np.minimum(quantise(count / np.maximum(total, 1)).astype(np.int64) + EXACT, 255)
-    return np.where(count <= EXACT, count, large).astype(np.uint8)
+#: Bits of a successor's hash.  Of a million successors of one word, less than
+#: one pair is expected to share them.
+SUCCESSOR_BITS = 40
+SUCCESSOR_MASK = (1 << SUCCESSOR_BITS) - 1
+
+
+class Trie:
+    """A bigram trie in one buffer, read in place (Arrow, ``np.memmap``).
+
+    First level: words (64-bit hashes), their counts, the quantised back-off
+    weight of each, and, as a monotone sequence of pointers, where its
+    successors start in the level below.  Second level: the successors of all
+    words, and for each its quantised smoothed probability, the discounted
+    share of its context.
+
+    A successor is coded relative to its context: the numbers of one context
+    go on from the last of the context before, so the whole level is one rising
+    sequence.  A search takes the context's range from the pointers, adds the
+    last number before the range, looks for the sum, and takes what it finds
+    only inside the range."""
+
+    def __init__(self, words: EliasFano, count: np.ndarray, backoff: np.ndarray, pointers: EliasFano, successors: EliasFano, code: np.ndarray) -> None:
+        self.words, self.count, self.backoff, self.pointers, self.successors, self.code = words, count, backoff, pointers, successors, code
+
+    @staticmethod
+    def build(word: np.ndarray, count: np.ndarray, pair: np.ndarray, pair_count: np.ndarray, taken: np.ndarray,
+              whole: dict[int, tuple[int, int, int, int]]) -> bytes:
+        """``word`` sorted; ``pair`` sorted: (place of the word << 40) +
+        successor, with counts above 0.  ``taken``: discounts of counts 0, 1, 2,
+        3 and more.  ``whole``: of words whose successors other tries hold too,
+        how often they are followed and their numbers of successors with count
+        1, 2, 3 and more, over all tries."""
+        context, successor = (pair >> _U(SUCCESSOR_BITS)).astype(np.int64), pair & _U(SUCCESSOR_MASK)
+        n = np.bincount(context, minlength=len(word))
+        follows = np.bincount(context, weights=pair_count, minlength=len(word))
+        some = [np.bincount(context[np.minimum(pair_count, 3) == c], minlength=len(word)).astype(np.float64) for c in (1, 2, 3)]
+        for h, (total, *own) in whole.items():
+            i = int(np.searchsorted(word, _U(h)))
+            if i < len(word) and int(word[i]) == h:
+                follows[i] = total
+                for c in range(3):
+                    some[c][i] = own[c]
+        share = sum(taken[c + 1] * some[c] for c in range(3)) / np.maximum(follows, 1)
+        pointer = np.concatenate(([0], np.cumsum(n)))
+        last = pointer[1:][n > 0] - 1
+        start = np.concatenate((np.zeros(1, _U), np.cumsum(successor[last] + _U(1), dtype=_U)))[:-1]
+        if len(start) >= 1 << (63 - SUCCESSOR_BITS):
+            raise ValueError("too many contexts for one trie")
+        value = np.repeat(start, n[n > 0]) + successor + _U(1)
+        parts = [EliasFano.encode(word).tobytes(), count.astype(np.int64).tobytes(), np.where(share > 0, quantise(share), 0).astype(np.uint8).tobytes(),
+                 EliasFano.encode(pointer.astype(_U)).tobytes(), EliasFano.encode(value).tobytes(),
+                 quantise((pair_count - taken[np.minimum(pair_count, 3)]) / np.maximum(follows[context], 1)).tobytes()]
+        parts = [x + bytes(-len(x) % 8) for x in parts]
+        ends = np.cumsum([len(x) for x in parts])
+        return np.array([len(word), len(pair), *ends], dtype=np.int64).tobytes() + b"".join(parts)
 
-
-def restore_counts(code: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """Codes to counts; code 0 (not there) to 0."""
-    share = restore(np.where(code > EXACT, code.astype(np.int64) - EXACT, 0))
-    return np.where(code <= EXACT, code.astype(np.float64), np.maximum(share * total, EXACT))
-
-
-class BigramTrie:
-    """Two levels: words (64-bit hashes) with counts and the quantised shares
-    of their successors' counts of 1, 2, 3 and more, and below each, by monotone
-    pointers, its successors (32-bit hashes) with coded counts.  Discounts are
-    those of the whole corpus, so they are not applied here.
-
-    A successor is coded relative to its context: (place of the context << 32)
-    + successor, which makes the level one rising sequence."""
-
-    def __init__(self, word: np.ndarray, count: np.ndarray, pair: np.ndarray, pair_count: np.ndarray) -> None:
-        """``word`` sorted; ``pair`` sorted (place of the word << 32) + successor, counts above 0."""
-        context = (pair >> _U(32)).astype(np.int64)
-        self.words = EliasFano.encode(word)
-        self.count = count
-        pointer = np.concatenate(([0], np.cumsum(np.bincount(context, minlength=len(word)))))
-        self.pointers = EliasFano.encode(pointer.astype(_U))
-        self.successors = EliasFano.encode(pair)
-        total = np.bincount(context, weights=pair_count, minlength=len(word))
-        self.follows = total.astype(np.int64)
-        # back-off shares: how many successors of a word have count 1, 2, 3 and more, by its total
-        some = [np.bincount(context[np.minimum(pair_count, 3) == c], minlength=len(word)) for c in (1, 2, 3)]
-        self.backoff = [np.where(x > 0, quantise(x / np.maximum(total, 1)), 0).astype(np.uint8) for x in some]
-        self.code = code_counts(pair_count, total[context])
+    @classmethod
+    def view(cls, buffer) -> Trie:
+        raw = np.frombuffer(buffer, dtype=np.uint8)
+        n, m, *ends = raw[:64].view(np.int64).tolist()
+        parts = [raw[64 + a : 64 + b] for a, b in zip([0, *ends], ends, strict=False)]
+        return cls(EliasFano.view(parts[0]), parts[1].view(np.int64)[:n], parts[2][:n], EliasFano.view(parts[3]), EliasFano.view(parts[4]), parts[5][:m])
 
     def word(self, h: np.ndarray) -> np.ndarray:
+        """Places of words, -1 if unknown."""
         return self.words.find(h)
 
-    def pair(self, place: np.ndarray, successor: np.ndarray) -> np.ndarray:
-        """Codes of the successors of contexts (by place, -1: unknown)."""
-        at = self.successors.find((np.maximum(place, 0).astype(_U) << _U(32)) | successor.astype(_U))
-        seen = (at >= 0) & (place >= 0)
-        out = np.zeros(len(place), dtype=np.uint8)
-        out[seen] = self.code[at[seen]]
+    def pairs(self, place: np.ndarray, spread: np.ndarray, successor: np.ndarray) -> np.ndarray:
+        """Codes (0: not there) of successors: ``spread[i]`` of them for the
+        context at ``place[i]``, in order."""
+        out = np.zeros(len(successor), dtype=np.uint8)
+        if not self.pointers.n or not len(successor):
+            return out
+        known = np.maximum(place, 0)
+        start, end = self.pointers.access(known).astype(np.int64), self.pointers.access(known + 1).astype(np.int64)
+        end[place < 0] = start[place < 0]
+        base = np.zeros(len(place), dtype=_U)
+        some = np.flatnonzero((end > start) & (start > 0))
+        base[some] = self.successors.access(start[some] - 1)
+        asked = np.repeat(end > start, spread)
+        start, end, base = (np.repeat(x, spread)[asked] for x in (start, end, base))
+        at = self.successors.find(base + successor[asked].astype(_U) + _U(1))
+        seen = (at >= start) & (at < end)
+        out[np.flatnonzero(asked)[seen]] = self.code[at[seen]]
         return out
 
 

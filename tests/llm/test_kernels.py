@@ -55,6 +55,53 @@ def test_elias_fano(n, top):
     assert e.find(asked).tolist() == [first.get(int(x), -1) for x in asked]
 
 
+@pytest.mark.parametrize("n,top", [(1, 1), (5, 3), (700, 2**64 - 1), (3000, 60), (5000, 2**40)])
+def test_elias_fano_access(n, top):
+    rng = np.random.default_rng(n)
+    v = np.sort(rng.integers(0, top, n, dtype=np.uint64, endpoint=True))
+    e = ngram_trie.EliasFano.view(ngram_trie.EliasFano.encode(v).tobytes())
+    at = rng.permutation(n)
+    assert (e.access(at) == v[at]).all()
+
+
+@pytest.mark.parametrize("words", [0, 1, 40, 3000])
+def test_trie_in_a_mapped_file(words, tmp_path):
+    """Searches relative to a context, against a dictionary."""
+    rng = np.random.default_rng(words)
+    word = np.unique(rng.integers(0, 2**64 - 1, words, dtype=np.uint64))
+    # few successors, so that contexts share them; 0 and the largest among them
+    pool = np.concatenate((np.array([0, ngram_trie.SUCCESSOR_MASK], np.uint64), rng.integers(0, 2**40, 30, dtype=np.uint64)))
+    pairs = {}
+    for i in range(len(word)):
+        for s in rng.choice(pool, rng.integers(0, 12)).tolist():
+            pairs[i, s] = int(rng.integers(1, 9))
+    keys = sorted(pairs)
+    pair = np.array([i << 40 | s for i, s in keys], dtype=np.uint64)
+    n = np.array([pairs[k] for k in keys], dtype=np.int64)
+    taken = np.array([0.0, 0.5, 0.9, 1.2])
+    whole = {int(word[3]): (1000, 5, 6, 7)} if len(word) > 3 else {}
+    (tmp_path / "t").write_bytes(ngram_trie.Trie.build(word, np.arange(len(word)), pair, n, taken, whole))
+    trie = ngram_trie.Trie.view(np.memmap(tmp_path / "t", dtype=np.uint8, mode="r"))
+    assert trie.word(word).tolist() == list(range(len(word))) and trie.count.tolist() == list(range(len(word)))
+    asked = np.concatenate((word, rng.integers(0, 2**64 - 1, 20, dtype=np.uint64)))
+    place = trie.word(asked)
+    assert (place[len(word):] == -1).all()
+    spread = rng.integers(0, 25, len(asked))
+    successor = np.concatenate([rng.choice(pool, k) for k in spread] + [np.zeros(0, np.uint64)])
+    code = trie.pairs(place, spread, successor)
+    follows = {}
+    for (i, _), c in pairs.items():
+        follows[i] = follows.get(i, 0) + c
+    if whole:
+        follows[3] = 1000
+    got = ngram_trie.restore(code)
+    for i, s, p in zip(np.repeat(place, spread).tolist(), successor.tolist(), got.tolist(), strict=True):
+        c = pairs.get((i, s))
+        assert p == 0 if c is None else abs(np.log10(p) - np.log10((c - taken[min(c, 3)]) / follows[i])) <= ngram_trie.STEP / 2 + 1e-9
+    if whole:
+        assert abs(np.log10(ngram_trie.restore(trie.backoff[3:4])[0]) - np.log10((0.5 * 5 + 0.9 * 6 + 1.2 * 7) / 1000)) <= ngram_trie.STEP / 2 + 1e-9
+
+
 def test_elias_fano_in_a_mapped_file(tmp_path):
     v = np.arange(0, 50000, 7, dtype=np.uint64)
     (tmp_path / "level").write_bytes(ngram_trie.EliasFano.encode(v).tobytes())

@@ -179,7 +179,7 @@ def test_lm_scores(spark, edge, empty):
         for a, w in zip(["<s>", *x], x, strict=False):
             c = pair[a, w]
             exact += math.log10(((c - d2[min(c, 3)]) + sum(d2[k] * m for k, m in by[a].items()) * p1(w)) / follows[a] if follows[a] else p1(w))
-        assert abs(r.score - exact) < 0.015 * len(x) + 0.05  # quantised to 1/36 of a decade
+        assert abs(r.score - exact) < 0.015 * len(x) + 0.05  # quantised to 1/24 of a decade
     ratio = [sum(getattr(r, c) for r in rows.values() if r.held_out) for c in ("score", "base_score")]
     assert ratio[0] > ratio[1]
     from pyspark.sql import functions as F
