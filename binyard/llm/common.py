@@ -12,6 +12,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,11 +65,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return staged(df, label)[0]
 
 
+_MADE: list[list[str]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """The folders of all tables staged inside the block, in order."""
+    made: list[str] = []
+    _MADE.append(made)
+    try:
+        yield made
+    finally:
+        _MADE.remove(made)
+
+
 def staged(df: DataFrame, label: str, compression: str = "snappy", by: str | None = None) -> tuple[DataFrame, str]:
     """``stage`` and the table's folder, for ``discard``; with a folder for
     each value of ``by``."""
     path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}/{label}"
     write = df.write.option("compression", compression)
+    for made in _MADE:
+        made.append(path)
     (write.partitionBy(by) if by else write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 

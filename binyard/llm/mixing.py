@@ -38,7 +38,13 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: flo
     """(source, source_size) to (source, source_size, target): weights go by
     source in code point order, null last, repeating; a target stops at
     ``most`` times its source and the excess is shared out again by weight."""
-    rank = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
+    # a sorted table's places: those of its partition, and what stands before it
+    ordered = sources.select("source", "source_size").orderBy(F.col("source").asc_nulls_last())
+    ordered = stage(ordered.select("source", "source_size", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), "ordered")
+    parts = ordered.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("first"))  # one row a partition
+    parts = parts.select("part", "first", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before"))
+    sources = ordered.join(parts, "part")
+    rank = F.col("before") + F.col("at") - F.col("first")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights) + 1).cast("int"))
     s = stage(sources.select("source", "source_size", weight.alias("weight"), (F.col("source_size") * F.lit(float(most))).alias("limit")), "sources")
     budget, level = None, 0.0

@@ -245,7 +245,7 @@ def _confirmed(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _named(docs: DataFrame, k: int, percent: int, key: str) -> tuple[DataFrame, DataFrame]:
     """(sketch, classes): doc_id, t (the text's hash), n_shingles, h1, h2 of
     every row; and of every shingle set h1, h2, the smallest id and text of
-    its rows, and its component ``part``."""
+    its rows, its component ``part``, and that component's smallest id."""
     spark = docs.sparkSession
     ship(spark)
     base = docs.select(F.col(key).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -264,16 +264,18 @@ def _named(docs: DataFrame, k: int, percent: int, key: str) -> tuple[DataFrame,
         classes = classes.withColumn("cls", F.col("id"))
         comp = _components(classes, base.select(F.col("doc_id").alias("row"), "text"), k, percent)
     own = classes.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
-    return sketch, own.select("h1", "h2", "id", "t", F.coalesce("component", "cls").alias("part"))
+    own = own.select("h1", "h2", "id", "t", F.coalesce("component", "cls").alias("part"))
+    if not shared:  # a component is named by its smallest id already
+        return sketch, own.withColumn("component", F.col("part"))
+    least = own.groupBy("part").agg(F.min("id").alias("component"))
+    return sketch, own.join(least, "part")
 
 
 def near_classes(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs`` (key, text): doc_id, n_shingles,
     component_id, kept.  Links at ``percent`` Jaccard of k-word shingles."""
     sketch, own = _named(docs, k, percent, key)
-    least = own.groupBy("part").agg(F.min("id").alias("component"))
-    own = own.join(least, "part").select("h1", "h2", "component")
-    out = sketch.select("doc_id", "n_shingles", "h1", "h2").join(own, ["h1", "h2"], "left")
+    out = sketch.select("doc_id", "n_shingles", "h1", "h2").join(own.select("h1", "h2", "component"), ["h1", "h2"], "left")
     comp_id = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.when(F.col("component") < _TOP, F.col("component")))
     return out.select("doc_id", "n_shingles", comp_id.alias("component_id"),
                       F.coalesce(F.col("doc_id") == comp_id, F.lit(False)).alias("kept"))

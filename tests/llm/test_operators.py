@@ -137,6 +137,22 @@ def test_clashing_names_and_odd_ids(spark):
     assert sorted((r.doc_id, r.item_id) for r in decontaminate.find(docs, items).collect()) == [(3, big), (4, None), (5, big + 2)]
 
 
+def test_targets_of_many_sources(spark):
+    rows = [(f"s{i:05d}" if i else None, 100 + i) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "source string, source_size long").repartition(7)
+    got = {r.source: r.target for r in mixing.targets(frame).collect()}
+    order = sorted((s for s, _ in rows), key=lambda s: (s is None, s))
+    size, weight = dict(rows), {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    full, budget = set(), 1.5 * sum(size.values())
+    while True:
+        level = (budget - sum(2 * size[s] for s in full)) / sum(weight[s] for s in order if s not in full)
+        more = {s for s in order if s not in full and weight[s] * level > 2 * size[s]}
+        if not more:
+            break
+        full |= more
+    assert all(math.isclose(got[s], 2 * size[s] if s in full else weight[s] * level, rel_tol=1e-9) for s in order)
+
+
 def test_mix_of_rows_without_an_id(spark):
     rng = random.Random(1)
     rows = [(None, " ".join(rng.choice("abcdefgh") for _ in range(100)) + f" {i}", "only") for i in range(200)] + [(i, "x " * 100, "other") for i in range(100)]
@@ -315,6 +331,37 @@ def test_quality_keeps_good(spark, edge, empty):
     assert quality.judge(empty, None).count() == 0
 
 
+def test_quality_on_rows_it_did_not_learn_from(spark):
+    docs, labels = documents(spark), spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.train(docs, labels.filter("doc_id % 4 <> 0"))
+    held = {r.doc_id: r.quality for r in labels.filter("doc_id % 4 = 0").collect()}
+    rows = [r for r in quality.judge(docs, model).collect() if r.doc_id in held and not r.base_failed]
+    assert len(rows) > 10 and sum(r.kept == (held[r.doc_id] == 1) for r in rows) >= 0.95 * len(rows)
+
+
+def test_quality_and_mix_stages(spark):
+    """Stages 1 and 5 of the pipeline against plain Python."""
+    import corpus_pipeline
+    docs = documents(spark)
+    texts = {r.doc_id: r for r in docs.collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    kept = {r.doc_id: r for r in corpus_pipeline.quality_rules(spark, docs, SF).collect()}
+    assert all(r == texts[i] for i, r in kept.items())
+    verdict = {r.doc_id: r.kept for r in quality.op7(spark, SF).collect()}
+    for i, r in texts.items():
+        w = WORD.findall(r.text or "")
+        grams = Counter(zip(w, w[1:], w[2:], strict=False))
+        again = {j + k for j in range(len(w) - 2) if grams[w[j], w[j + 1], w[j + 2]] > 1 for k in range(3)}
+        failed = len(w) < 50 or 100 * len(again) > 50 * len(w)
+        assert (i in kept) == verdict[i] and not (failed and i in kept)
+    settled = [i for i in labels if len(WORD.findall(texts[i].text or "")) >= 50 and verdict[i] is not None]
+    assert sum((i in kept) == (labels[i] == 1) for i in settled) > 0.9 * len(settled)
+    mixed = corpus_pipeline.source_mix(spark, docs, SF).collect()
+    plan = {r.doc_id: r for r in mixing.op4(spark, SF).collect()}
+    assert {r.doc_id: r.copies * plan[r.doc_id].size for r in mixed if plan[r.doc_id].size} == {i: r.taken for i, r in plan.items() if r.taken}
+    assert all(r.text == texts[r.doc_id].text and 1 <= r.copies <= 2 for r in mixed)
+
+
 def test_pages(spark):
     rows = html_text.extract(spark.createDataFrame([(1, None, None, 1), (1, "u", "", 1), (None, "u", "<p>Some text stands here.", 1)], "page_id long, url string, html string, text int")).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in rows) == [(0, "Some text stands here.", 22), (1, "", 0), (1, "", 0)]
@@ -419,7 +466,12 @@ def test_pipeline(spark):
     import corpus_pipeline
     docs = documents(spark)
     step = lambda i, d: corpus_pipeline.STAGES[i][1](spark, d, SF)
+    import os
+    from binyard.llm.common import shared_dir
+    before = set(os.listdir(shared_dir(spark).removeprefix("file://")))
     out = corpus_pipeline.run(spark, SF)
+    left = set(os.listdir(shared_dir(spark).removeprefix("file://"))) - before
+    assert len(left) == 1 and os.listdir(os.path.join(shared_dir(spark).removeprefix("file://"), left.pop())) == ["source_mix"]
     assert out.columns == [*docs.columns, "copies"] and 0 < out.count() < docs.count()
     near = step(2, docs)
     want = brute_components([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], 5, 80)
