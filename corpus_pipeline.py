@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from binyard.llm import decontaminate, line_dedup, mixing, near_dedup, quality
-from binyard.llm.common import stage
+from binyard.llm.common import discard, scratch, staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``.  What a stage has staged goes once its
+    result is written, and a result once the next one is."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        with scratch() as made:
+            docs, path = staged(step(spark, docs, sf_dir), name)
+        for old in [p for p in made if p != path] + [before] * (before is not None):
+            discard(spark, old)
+        before = path
     return docs
