@@ -53,8 +53,8 @@ from binyard.llm.ngram_trie import SUCCESSOR_BITS, SUCCESSOR_MASK, EliasFano, Tr
 
 #: Text of a block and tokens of a shard, for a corpus of up to BASE_TOKENS
 #: tokens; and what they grow to at most.
-BLOCK_BYTES, MOST_BLOCK = 5 << 19, 8 << 20
-SHARD_TOKENS, MOST_SHARD = 1_000_000, 4_000_000
+BLOCK_BYTES, MOST_BLOCK = 5 << 18, 4 << 20
+SHARD_TOKENS, MOST_SHARD = 500_000, 2_000_000
 BASE_TOKENS = 25_000_000
 #: A word with this share of all tokens or more is hot.
 HOT_SHARE = 1 / 1000
