@@ -44,7 +44,7 @@ def rows(df):
 def test_one_season_lists_one_year_of_three_fact_tables(parquet_cat, cat):
     df = batch_packout(parquet_cat, [2021])
     text = plan(df)
-    for table in ("ma_Pallet_DetailT", "ma_Export_Bin_DetailT", "ma_Bin_UsageT"):
+    for table in ("ma_Pallet_DetailT", "ExportBatch", "ma_Bin_UsageT"):
         scans = re.findall(rf"FileScan parquet \[[^\]]*\][^\n]*current/{table}[^\n]*", text)
         years = [s for s in scans if re.search(r"PartitionFilters: \[[^\]]*CreatedYear#\d+ >= 2021\)[^\]]*CreatedYear#\d+ < 2022", s)]
         assert years, (table, scans)
