@@ -38,4 +38,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_minhash_containment": decontaminate.ORACLE,
         "op9_site_spread_line_dedup": line_dedup.ORACLE,
         "op10_blocked_bloom_urls": url_filter.ORACLE,
+        "op12_hilbert_hard_negatives": hard_negatives.ORACLE,
     }

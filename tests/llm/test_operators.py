@@ -456,7 +456,7 @@ def test_url_rules(spark):
 def test_oracles(spark):
     import duckdb
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "conversations"):
+    for name in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     for name, sql in queries.oracle_sql().items():
         assert not compare(queries.queries()[name](spark, SF), con, sql), name
