@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from binyard.llm import kernel
-from binyard.llm.common import crc_mod, shared_dir, ship, stage
+from binyard.llm.common import crc_mod, shared_dir, ship, staged
 from binyard.llm.ngram_trie import SUCCESSOR_BITS, SUCCESSOR_MASK, EliasFano, Trie, discounts_of, restore
 
 #: Text of a block and tokens of a shard, for a corpus of up to BASE_TOKENS
@@ -302,6 +302,7 @@ def _answer(folder: str):
 
 def _score(shards: int, hot: np.ndarray, totals: list[int]):
     def run(texts: pa.Table, told: pa.Table) -> pa.Table:
+        texts = pa.concat_tables([pa.ipc.open_stream(x.as_py()).read_all() for x in texts.column("rows")])
         data, offsets = kernel.buffers(texts.column("text"))
         b = Block(data, offsets)
         answers = {r["shard"]: r for r in told.to_pylist()}
@@ -333,12 +334,15 @@ def _score(shards: int, hot: np.ndarray, totals: list[int]):
     return run
 
 
-def _tag(most: int):
+def _pack(most: int):
+    """(block, rows): each block's rows as one compressed Arrow stream, so
+    that the shuffle that takes texts to their answers moves little."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, t in _blocks(batches, most):
-            t = t.combine_chunks()
-            t = t.append_column("block", pa.array(np.full(t.num_rows, block, dtype=np.int64)))
-            yield from t.to_batches()
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(t)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "rows"])
     return run
 
 
@@ -361,7 +365,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     shards = max(1, math.ceil(n / min(SHARD_TOKENS * grown, max(MOST_SHARD, SHARD_TOKENS))))
 
     asked = docs.select("text", "train").mapInArrow(_ask(shards, hot, block), _ASK)
-    sums = stage(asked.groupBy("shard").applyInArrow(_sum(hot), _SUMS), "sums")
+    sums, _ = staged(asked.groupBy("shard").applyInArrow(_sum(hot), _SUMS), "sums", "zstd")
     model = sums.filter("kind = 0")
     row = model.agg(*[F.sum(F.col("totals")[i]).alias(f"t{i}") for i in range(10)]).first()
     totals = [int(x or 0) for x in row]
@@ -373,7 +377,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     model.select("shard", "words", "spread", "spread_x", "next", "pair_n", "pair_x").mapInArrow(
         _build(folder, discounts_of(*totals[6:]), whole), "bytes long").agg(F.sum("bytes")).first()
     told = sums.filter("kind = 1").select("block", "shard", "words", "spread", "spread_x", "next").mapInArrow(_answer(folder), _TELL)
-    texts = docs.select("doc_id", "text", "held_out").mapInArrow(_tag(block), "doc_id long, text string, held_out boolean, block long")
+    texts = docs.select("doc_id", "text", "held_out").mapInArrow(_pack(block), "block long, rows binary")
     return texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
         _score(shards, hot, totals),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
